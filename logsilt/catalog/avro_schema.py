@@ -1,0 +1,138 @@
+"""Avro schema text to Spark types and back, at plan time."""
+
+from __future__ import annotations
+
+import json
+from typing import Any
+
+from pyspark.sql import types as T
+
+# Avro primitive types and their Spark types.
+_PRIMITIVES: dict[str, T.DataType] = {
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+    "bytes": T.BinaryType(),
+    "fixed": T.BinaryType(),
+    "enum": T.StringType(),
+}
+# Unions of two numeric types that widen to one.
+_WIDENED = {frozenset(("int", "long")): "long", frozenset(("float", "double")): "double"}
+
+
+def struct_from_avro(text: str) -> T.StructType:
+    """The Spark schema of an Avro record schema given as JSON text."""
+    data_type, _ = _from_avro(json.loads(text), {})
+    if not isinstance(data_type, T.StructType):
+        raise ValueError("the schema of a subject must be an Avro record")
+    return data_type
+
+
+def _kind(node: Any) -> str:
+    return "union" if isinstance(node, list) else node if isinstance(node, str) else node["type"]
+
+
+def _from_avro(node: Any, named: dict[str, tuple[T.DataType, bool]]) -> tuple[T.DataType, bool]:
+    """(type, nullable) of one schema node; ``named`` holds the named types met so far."""
+    if isinstance(node, list):
+        return _from_union(node, named)
+    if isinstance(node, str):
+        if node in _PRIMITIVES:
+            return _PRIMITIVES[node], False
+        if node in named:
+            return named[node]
+        raise ValueError(f"unsupported Avro type {node!r}")
+    kind = node["type"]
+    if not isinstance(kind, str):
+        return _from_avro(kind, named)
+    if kind == "record":
+        fields = []
+        for f in node["fields"]:
+            data_type, nullable = _from_avro(f["type"], named)
+            fields.append(T.StructField(f["name"], data_type, nullable))
+        return _remember(node, (T.StructType(fields), False), named)
+    if kind == "array":
+        element, nullable = _from_avro(node["items"], named)
+        return T.ArrayType(element, nullable), False
+    if kind == "map":
+        value, nullable = _from_avro(node["values"], named)
+        return T.MapType(T.StringType(), value, nullable), False
+    found = _from_avro(kind, named)
+    return _remember(node, found, named) if kind in ("fixed", "enum") else found
+
+
+def _remember(node: dict, found: tuple[T.DataType, bool], named: dict) -> tuple[T.DataType, bool]:
+    if "name" in node:
+        named[node["name"]] = found
+        if node.get("namespace"):
+            named[f"{node['namespace']}.{node['name']}"] = found
+    return found
+
+
+def _from_union(branches: list, named: dict) -> tuple[T.DataType, bool]:
+    present = [b for b in branches if _kind(b) != "null"]
+    nullable = len(present) < len(branches)
+    if not present:
+        raise ValueError("unsupported Avro type 'null'")
+    if len(present) == 1:
+        data_type, inner = _from_avro(present[0], named)
+        return data_type, nullable or inner
+    widened = _WIDENED.get(frozenset(_kind(b) for b in present)) if len(present) == 2 else None
+    if widened:
+        return _PRIMITIVES[widened], nullable
+    members = [
+        T.StructField(f"member{i}", _from_avro(b, named)[0]) for i, b in enumerate(present)
+    ]
+    return T.StructType(members), nullable
+
+
+# Spark types and the Avro types they are written as.
+_WRITTEN: dict[type, str] = {
+    T.ByteType: "int",
+    T.ShortType: "int",
+    T.IntegerType: "int",
+    T.LongType: "long",
+    T.FloatType: "float",
+    T.DoubleType: "double",
+    T.DecimalType: "string",
+    T.StringType: "string",
+    T.BinaryType: "bytes",
+    T.BooleanType: "boolean",
+    T.TimestampType: "long",
+}
+
+
+def avro_from_struct(
+    schema: T.StructType, record_name: str = "topLevelRecord", namespace: str = ""
+) -> str:
+    """The Avro record schema, as JSON text, that rows of ``schema`` are written with."""
+    return json.dumps(_to_avro(schema, record_name, namespace))
+
+
+def _to_avro(data_type: T.DataType, name: str, namespace: str) -> Any:
+    if isinstance(data_type, T.StructType):
+        record: dict[str, Any] = {"type": "record", "name": name}
+        if namespace:
+            record["namespace"] = namespace
+        inner = f"{namespace}.{name}" if namespace else name
+        record["fields"] = [
+            {"name": f.name, "type": _optional(_to_avro(f.dataType, f.name, inner), f.nullable)}
+            for f in data_type.fields
+        ]
+        return record
+    if isinstance(data_type, T.ArrayType):
+        items = _to_avro(data_type.elementType, name, namespace)
+        return {"type": "array", "items": _optional(items, data_type.containsNull)}
+    if isinstance(data_type, T.MapType) and isinstance(data_type.keyType, T.StringType):
+        values = _to_avro(data_type.valueType, name, namespace)
+        return {"type": "map", "values": _optional(values, data_type.valueContainsNull)}
+    if type(data_type) in _WRITTEN:
+        return _WRITTEN[type(data_type)]
+    raise ValueError(f"{data_type.simpleString()} cannot be written as Avro; cast it first")
+
+
+def _optional(avro: Any, nullable: bool) -> Any:
+    return [avro, "null"] if nullable else avro

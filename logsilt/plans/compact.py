@@ -1,0 +1,93 @@
+"""Compaction: the many folders of a partition become one."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from logsilt.catalog import ledger, tables
+from logsilt.layout import RANDOM_KEY, Store, Subject, time_keys
+from logsilt.plans.ingest import prune_partitions
+from logsilt.session import delete_path
+from logsilt.sources.sinks import write_id, write_partition_parquet
+
+# Folders handled in one round; bounds what the driver holds, not what gets compacted.
+FOLDERS_PER_ROUND = 10_000
+_DELETE_THREADS = 16
+
+
+def compact(
+    spark: SparkSession,
+    store: Store,
+    subject: Subject,
+    rule: str,
+    files: int | None = None,
+    partitions: Sequence[str] | None = None,
+    min_folders: int = 2,
+) -> int:
+    """Rewrite each partition's live folders as one folder of at most ``files`` files.
+
+    Without ``partitions`` every partition that has ``min_folders`` live folders is taken. Rows are
+    kept as they are: nothing is deduplicated. One ledger entry swaps the folders, so ledger readers
+    see either the old or the new ones; the catalog follows, new folders first, and a reader of the
+    table may see both in between. Folders that are gone from storage are only unregistered. Returns
+    the number of partitions taken.
+    """
+    tables.sync_with_ledger(spark, store, subject)
+    events = ledger.ledger_events(spark, store, subject)
+    due = ledger.due_for_compaction(events, 1 if partitions is not None else min_folders)
+    if partitions is not None:
+        due = due.where(F.col("partition").isin(list(partitions)))
+    done = 0
+    for names in _rounds(due):
+        _compact_round(spark, store, subject, time_keys(rule), files, events, names)
+        done += len(names)
+    return done
+
+
+def _rounds(due: DataFrame) -> Iterator[list[str]]:
+    """Partition names in groups of about ``FOLDERS_PER_ROUND`` folders."""
+    names: list[str] = []
+    folders = 0
+    for row in due.select("partition", "folders").toLocalIterator():
+        if names and folders + row.folders > FOLDERS_PER_ROUND:
+            yield names
+            names, folders = [], 0
+        names.append(row.partition)
+        folders += row.folders
+    if names:
+        yield names
+
+
+def _compact_round(
+    spark: SparkSession,
+    store: Store,
+    subject: Subject,
+    keys: list[str],
+    files: int | None,
+    events: DataFrame,
+    names: list[str],
+) -> None:
+    old = ledger.live_folders(events.where(F.col("partition").isin(names)))
+    old_rows = old.select("partition", RANDOM_KEY, "path").collect()
+    ids = sorted({r[RANDOM_KEY] for r in old_rows})
+
+    # exactly the folders of this snapshot; one that is registered meanwhile is left alone
+    table = prune_partitions(spark.table(store.table_name(subject)), keys, names)
+    rows = table.where(F.col(RANDOM_KEY).isin(ids)).drop(RANDOM_KEY)
+    folder_id = write_id()
+    path = write_partition_parquet(
+        rows, store.table_root(subject), keys, files, F.monotonically_increasing_id(), folder_id
+    )
+
+    removed = spark.createDataFrame(
+        [(*r, ledger.DELETE) for r in old_rows], f"partition string, {RANDOM_KEY} string, path string, op string"
+    )
+    added = ledger.written_events(spark, path, folder_id, keys)
+    ledger.record(store, subject, added.unionByName(removed))
+    tables.sync_with_ledger(spark, store, subject)
+    with ThreadPoolExecutor(_DELETE_THREADS) as pool:
+        list(pool.map(lambda r: delete_path(spark, r["path"]), old_rows))

@@ -1,0 +1,213 @@
+"""Landing a batch: read, expand, merge, write, register."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from logsilt.catalog import ledger, tables
+from logsilt.catalog.registry import load_rule, load_schema
+from logsilt.functions.action_time import fits_rule
+from logsilt.layout import RANDOM_KEY, Rule, Store, Subject, quoted, time_keys
+from logsilt.operators.shape import (
+    align_schema,
+    expand_flat,
+    expand_header,
+    with_partition_keys,
+)
+from logsilt.plans.merge import merge_new_rows
+from logsilt.session import delete_path, scratch_dir
+from logsilt.sources.avro import read_avro
+from logsilt.sources.files import read_csv_header, read_parquet_paths
+from logsilt.sources.json_lines import read_gbk_json_flat, read_json_lines
+from logsilt.sources.lines import read_paragraph_records, read_pipe_text
+from logsilt.sources.sinks import write_id, write_partition_parquet
+
+# Above this many touched partitions the stored keys are read without partition pruning.
+MAX_PRUNED_PARTITIONS = 10_000
+
+# File types of online batches.
+FILE_TYPES = ("txt", "avro", "csv", "json", "td", "json_gbk")
+
+
+@dataclass(frozen=True)
+class Landed:
+    """What one ingest wrote. ``rejects`` is the folder of rows that have no valid action time."""
+
+    subject: Subject
+    folder_id: str
+    path: str | None
+    rejects: str | None
+
+
+def layout_of(file_type: str) -> str:
+    return "flat" if file_type.lower() == "avro" else "header"
+
+
+def read_batch(
+    spark: SparkSession,
+    file_type: str,
+    files: str | Sequence[str],
+    schema: StructType | None = None,
+    record_exprs: Sequence[str] = (),
+    infer: bool = False,
+) -> DataFrame:
+    """Read an online batch by file type.
+
+    ``txt``, ``csv``, ``json`` and ``json_gbk`` are brought to the registered schema. JSON is parsed
+    with that schema right away; ``infer=True`` infers one first and aligns without casts. ``td``
+    records are parsed by the caller's ``record_exprs``.
+    """
+    kind = file_type.lower()
+    if kind not in FILE_TYPES:
+        raise ValueError(f"file type must be one of {FILE_TYPES}: {file_type!r}")
+    if kind == "avro":
+        return read_avro(spark, files)
+    if kind == "td":
+        return read_paragraph_records(spark, files, *record_exprs)
+    if schema is None:
+        raise ValueError(f"{kind} input needs a registered schema")
+    if kind == "txt":
+        return read_pipe_text(spark, files, schema)
+    if kind == "csv":
+        return align_schema(read_csv_header(spark, files), schema, cast=True)
+    if kind == "json_gbk":
+        return read_gbk_json_flat(spark, files, schema)
+    if infer:
+        return align_schema(read_json_lines(spark, files), schema)
+    return read_json_lines(spark, files, schema)
+
+
+def ingest(
+    spark: SparkSession,
+    store: Store,
+    rule: Rule,
+    batch: DataFrame,
+    layout: str = "header",
+    now: int | None = None,
+    null_safe: bool = False,
+    stage: bool = True,
+) -> Landed:
+    """Add tracking columns to a batch and land its new rows.
+
+    ``stage`` first writes the expanded batch to the shared scratch folder as Parquet, so that raw
+    input is parsed once and a time key that falls back to the current time has one value in all
+    steps. Turn it off for input that is cheap to read twice and has a fixed time key.
+    """
+    expand = {"header": expand_header, "flat": expand_flat}[layout]
+    expanded = expand(batch, rule.match_key, rule.time_key, store.names, now)
+    match = store.names.match_path(layout)
+    if not stage:
+        return _land(spark, store, rule, expanded, match, null_safe)
+    scratch = scratch_dir(spark, "stage")
+    try:
+        expanded.write.parquet(scratch)
+        staged = spark.read.schema(expanded.schema).parquet(scratch)
+        return _land(spark, store, rule, staged, match, null_safe)
+    finally:
+        delete_path(spark, scratch)
+
+
+def offline_merge(
+    spark: SparkSession, store: Store, rule: Rule, batch: DataFrame, null_safe: bool = False
+) -> Landed:
+    """Land a batch that has flat tracking columns already."""
+    return _land(spark, store, rule, batch, store.names.match_value, null_safe)
+
+
+def _land(
+    spark: SparkSession, store: Store, rule: Rule, expanded: DataFrame, match: str, null_safe: bool
+) -> Landed:
+    subject = Subject.parse(rule.subject)
+    keys = time_keys(rule.partition)
+    action_time = F.col(quoted(store.names.action_time))
+    keyed = with_partition_keys(expanded, store.names.action_time, rule.partition)
+    body = StructType([f for f in keyed.schema.fields if f.name not in keys])
+    tables.create_external_table(spark, store, subject, body, rule.partition)
+    tables.sync_with_ledger(spark, store, subject)
+
+    folder_id = write_id()
+    unfit = expanded.where(~fits_rule(action_time, rule.partition))
+    touched = touched_partitions(keyed, keys)
+    has_rejects = not unfit.isEmpty() if touched is None else None in touched
+    rejects = None
+    if has_rejects:
+        rejects = f"{store.table_root(subject)}/_rejects/{folder_id}"
+        unfit.write.parquet(rejects)
+    known = None if touched is None else [t for t in touched if t is not None]
+    if known is not None and not known:
+        return Landed(subject, folder_id, None, rejects)
+
+    stored = prune_partitions(spark.table(store.table_name(subject)), keys, known)
+    fresh = merge_new_rows(
+        keyed.dropna(subset=keys), stored, keys, match, order_by=rule.order_by, null_safe=null_safe
+    )
+    path = write_partition_parquet(
+        fresh, store.table_root(subject), keys, rule.files, F.col(match), folder_id
+    )
+    register(spark, store, subject, path, folder_id, keys)
+    return Landed(subject, folder_id, path, rejects)
+
+
+def touched_partitions(keyed: DataFrame, keys: Sequence[str]) -> list[str | None] | None:
+    """Action times in a batch, with None for rows that fit no partition.
+
+    None instead of a list when there are more than ``MAX_PRUNED_PARTITIONS``: the list goes into
+    the plan as a literal filter and must stay small.
+    """
+    values = [F.col(k) for k in keys]
+    path = F.when(values[-1].isNotNull(), F.concat_ws("/", *values))
+    rows = keyed.select(path.alias("t")).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()
+    return None if len(rows) > MAX_PRUNED_PARTITIONS else [r.t for r in rows]
+
+
+def prune_partitions(
+    table: DataFrame, keys: Sequence[str], touched: Sequence[str] | None
+) -> DataFrame:
+    """Keep the touched partitions only, by filters on partition keys alone.
+
+    The first key is filtered by plain values too, a form every metastore can evaluate itself.
+    """
+    if touched is None:
+        return table
+    first = sorted({t.split("/")[0] for t in touched})
+    return table.where(F.col(keys[0]).isin(first)).where(F.concat_ws("/", *keys).isin(list(touched)))
+
+
+def register(
+    spark: SparkSession, store: Store, subject: Subject, path: str, folder_id: str, keys: list[str]
+) -> None:
+    """Enter a written folder in the ledger, then in the catalog."""
+    entry = ledger.record(store, subject, ledger.written_events(spark, path, folder_id, keys))
+    added = spark.read.parquet(entry).select("partition", RANDOM_KEY, "path")
+    tables.add_partitions(spark, store, subject, (tuple(r) for r in added.toLocalIterator()))
+
+
+def run_online(
+    spark: SparkSession,
+    store: Store,
+    rules: DataFrame,
+    schemas: DataFrame,
+    subject: str,
+    files: str | Sequence[str],
+    record_exprs: Sequence[str] = (),
+    now: int | None = None,
+) -> Landed:
+    """Ingest files of a subject by its registered rule and schema."""
+    Subject.parse(subject)
+    rule = load_rule(rules, subject)
+    kind = rule.file_type.lower()
+    schema = None if kind in ("avro", "td") else load_schema(schemas, subject)
+    batch = read_batch(spark, kind, files, schema, record_exprs)
+    return ingest(spark, store, rule, batch, layout_of(kind), now)
+
+
+def run_offline(
+    spark: SparkSession, store: Store, rules: DataFrame, subject: str, files: str | Sequence[str]
+) -> Landed:
+    """Merge Parquet files that carry tracking columns, by the subject's registered rule."""
+    return offline_merge(spark, store, load_rule(rules, subject), read_parquet_paths(spark, files))
