@@ -20,7 +20,7 @@ from logsilt import operators as op
 from logsilt import plans, sources
 from logsilt.catalog import ledger, registry, tables
 from logsilt.layout import partition_keys, time_keys
-from logsilt.plans.ingest import register
+from logsilt.plans.landing import register
 from logsilt.session import scratch_dir
 from logsilt.streaming import start_online
 
@@ -33,8 +33,8 @@ LABELS = {
     "view": "浏览",
     "click": "点击",
     "signup": "注册誠",
-    "purchase": "购买侶",
-    "error": "错误樈",
+    "purchase": "购买億",
+    "error": "错误東",
 }
 
 EVENTS_TEXT_SCHEMA = "event_id bigint, ts string, user_id bigint, event_type string, value double"
@@ -213,6 +213,14 @@ def read_paragraph_records(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_paragraph_records(spark, path, f"from_json(value, '{ddl}') AS r").select("r.*")
 
 
+def read_avro(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "avro")
+    sources.write_avro(_table(spark, sf, "embeddings"), path)
+    return sources.read_avro(spark, path).select(
+        "vec_id", "label", F.size("embedding").alias("n"), F.get("embedding", F.lit(0)).cast("double").alias("first")
+    )
+
+
 def union_files(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "union")
     events = _events(spark, sf)
@@ -258,6 +266,14 @@ def write_backup_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(orders.drop("o_orderdate").schema).parquet(path)
 
 
+def write_avro(spark: SparkSession, sf: str) -> DataFrame:
+    """Decimals are written as text and timestamps as epoch millis."""
+    path = scratch_dir(spark, "write_avro")
+    orders = _table(spark, sf, "orders").withColumn("price", F.col("o_totalprice").cast("decimal(12,2)"))
+    sources.write_avro(orders, path, codec="deflate", deflate_level=6)
+    return sources.read_avro(spark, path)
+
+
 def write_json(spark: SparkSession, sf: str) -> DataFrame:
     """NULL fields are left out of the written text."""
     path = scratch_dir(spark, "write_json")
@@ -679,6 +695,17 @@ def _write_gbk(df: DataFrame, path: str) -> None:
     _write_lines(df.select(_json_value(*df.columns)), path, gbk=True)
 
 
+def ingest_avro(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through Avro files, which land in the flat layout."""
+    store = _store(spark, "ingest_avro")
+    for batch in _two_batches(spark, sf):
+        path = scratch_dir(spark, "batch_avro")
+        sources.write_avro(batch, path)
+        frame = plans.read_batch(spark, "avro", path)
+        plans.ingest(spark, store, _RULE, frame, layout="flat", now=NOW)
+    return _landed_table(spark, store).drop("randompath")
+
+
 def ingest_td(spark: SparkSession, sf: str) -> DataFrame:
     """Paragraph records with a header of their own, keyed by its fields."""
     store = _store(spark, "ingest_td")
@@ -771,8 +798,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         read_parquet_paths, read_pipe_text, read_csv_header, read_json_lines, read_json_typed,
         read_gbk_json_flat, read_gbk_json_typed, infer_json_schema, read_paragraph_records,
-        union_files, read_partition, read_glob,
-        write_partition_parquet, write_backup_parquet, write_json, write_text,
+        read_avro, union_files, read_partition, read_glob,
+        write_partition_parquet, write_backup_parquet, write_avro, write_json, write_text,
         expand_flat, expand_header, align_schema, project_exprs, drop_columns,
         struct_field_access, rows_from_split,
         filter_action_time, filter_top_row, drop_blank_malformed, keep_malformed, skip_hidden_files,
@@ -782,7 +809,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fn_partition_keys, fn_rule_to_keys, late_filter,
         create_external_table, add_partition, drop_partition, drop_table, partition_exists,
         partition_ledger, ledger_due, rule_lookup, latest_schema,
-        ingest_merge, ingest_td, offline_merge, rerun_adds_nothing, compact_partition,
+        ingest_merge, ingest_avro, ingest_td, offline_merge, rerun_adds_nothing, compact_partition,
         distinct_update_times, ingest_stream,
     )
 }
@@ -844,6 +871,10 @@ def oracle_sql() -> dict[str, str]:
          ('readings', 'array<double>'), ('who', 'struct<id:bigint,名称:string>'), ('who.id', 'bigint'),
          ('who.名称', 'string')) v(path, type) WHERE (SELECT count(*) FROM events) > 0""",
         "read_paragraph_records": "SELECT * FROM conversations",
+        "read_avro": """SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n,
+         CAST(embedding[1] AS DOUBLE) AS first FROM embeddings""",
+        "write_avro": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_ms(o_orderdate) AS o_orderdate,
+         o_orderpriority, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price FROM orders""",
         "union_files": _EVENTS,
         "read_partition": f"SELECT event_id, {_TS}, user_id, event_type, value, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month FROM events WHERE strftime(ts, '%Y/%m') = '2024/01'",
         "read_glob": _EVENTS,
@@ -938,6 +969,6 @@ def oracle_sql() -> dict[str, str]:
         "distinct_update_times": f"SELECT DISTINCT CAST({NOW} + user_id AS VARCHAR) AS value FROM events",
         "ingest_stream": f"SELECT event_id, {_TS}, user_id, event_type, value, {_YMD} FROM ({_LANDED})",
     }
-    for name in ("ingest_txt", "ingest_csv", "ingest_json", "ingest_json_gbk"):
+    for name in ("ingest_txt", "ingest_avro", "ingest_csv", "ingest_json", "ingest_json_gbk"):
         sql[name] = _INGESTED
     return sql

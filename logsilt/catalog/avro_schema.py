@@ -1,4 +1,4 @@
-"""Avro schema text to Spark types and back, at plan time."""
+"""Avro schema text to Spark types, at plan time."""
 
 from __future__ import annotations
 
@@ -87,52 +87,3 @@ def _from_union(branches: list, named: dict) -> tuple[T.DataType, bool]:
         T.StructField(f"member{i}", _from_avro(b, named)[0]) for i, b in enumerate(present)
     ]
     return T.StructType(members), nullable
-
-
-# Spark types and the Avro types they are written as.
-_WRITTEN: dict[type, str] = {
-    T.ByteType: "int",
-    T.ShortType: "int",
-    T.IntegerType: "int",
-    T.LongType: "long",
-    T.FloatType: "float",
-    T.DoubleType: "double",
-    T.DecimalType: "string",
-    T.StringType: "string",
-    T.BinaryType: "bytes",
-    T.BooleanType: "boolean",
-    T.TimestampType: "long",
-}
-
-
-def avro_from_struct(
-    schema: T.StructType, record_name: str = "topLevelRecord", namespace: str = ""
-) -> str:
-    """The Avro record schema, as JSON text, that rows of ``schema`` are written with."""
-    return json.dumps(_to_avro(schema, record_name, namespace))
-
-
-def _to_avro(data_type: T.DataType, name: str, namespace: str) -> Any:
-    if isinstance(data_type, T.StructType):
-        record: dict[str, Any] = {"type": "record", "name": name}
-        if namespace:
-            record["namespace"] = namespace
-        inner = f"{namespace}.{name}" if namespace else name
-        record["fields"] = [
-            {"name": f.name, "type": _optional(_to_avro(f.dataType, f.name, inner), f.nullable)}
-            for f in data_type.fields
-        ]
-        return record
-    if isinstance(data_type, T.ArrayType):
-        items = _to_avro(data_type.elementType, name, namespace)
-        return {"type": "array", "items": _optional(items, data_type.containsNull)}
-    if isinstance(data_type, T.MapType) and isinstance(data_type.keyType, T.StringType):
-        values = _to_avro(data_type.valueType, name, namespace)
-        return {"type": "map", "values": _optional(values, data_type.valueContainsNull)}
-    if type(data_type) in _WRITTEN:
-        return _WRITTEN[type(data_type)]
-    raise ValueError(f"{data_type.simpleString()} cannot be written as Avro; cast it first")
-
-
-def _optional(avro: Any, nullable: bool) -> Any:
-    return [avro, "null"] if nullable else avro

@@ -88,7 +88,7 @@ def add_partition(
 def drop_partitions(
     spark: SparkSession, store: Store, subject: Subject, specs: Iterable[str]
 ) -> None:
-    """Unregister partitions named ``year=2024/month=01/randompath=x``; a prefix drops all below it."""
+    """Unregister partitions by full name, ``year=2024/month=01/randompath=x``."""
     table = store.table_name(subject)
     for batch in _batches(specs):
         clauses = [
@@ -100,8 +100,15 @@ def drop_partitions(
 def drop_partition(
     spark: SparkSession, store: Store, subject: Subject, spec: str, path: str | None = None
 ) -> None:
-    """Unregister one partition and, given its folder, delete the data."""
-    drop_partitions(spark, store, subject, [spec])
+    """Unregister a partition and, given its folder, delete the data.
+
+    A prefix such as ``year=2024/month=01`` unregisters everything below it.
+    """
+    name = F.col("spec")
+    below = partitions(spark, store, subject).where(
+        (name == spec) | name.startswith(f"{spec.rstrip('/')}/")
+    )
+    drop_partitions(spark, store, subject, (r.spec for r in below.toLocalIterator()))
     if path:
         delete_path(spark, path)
 
@@ -133,8 +140,10 @@ def sync_with_ledger(spark: SparkSession, store: Store, subject: Subject) -> Non
     """Make the catalog show exactly the ledger's live folders.
 
     Only the differences reach the driver, a batch at a time. Safe to repeat, so it also repairs a
-    run that stopped between its ledger entry and its catalog calls.
+    run that stopped between its ledger entry and its catalog calls. File listings the session may
+    have cached are dropped.
     """
+    spark.catalog.refreshTable(store.table_name(subject))
     live = live_folders(ledger_events(spark, store, subject)).withColumn("spec", spec_column())
     shown = partitions(spark, store, subject)
     missing = live.join(shown, "spec", "left_anti").select("partition", RANDOM_KEY, "path")

@@ -43,9 +43,14 @@ def fits_rule(path: Column, rule: str) -> Column:
     return F.coalesce(path.rlike(f"^{_COMPONENT}(/{_COMPONENT}){{{more}}}$"), F.lit(False))
 
 
+def partition_parts(path: Column, rule: str) -> Column:
+    """The components of an action time as an array, NULL when it does not fit the rule."""
+    return F.split(F.when(fits_rule(path, rule), path), "/")
+
+
 def partition_values(path: Column, rule: str) -> dict[str, Column]:
     """The table's time keys out of an action time, all NULL when it does not fit the rule."""
-    parts = F.split(F.when(fits_rule(path, rule), path), "/")
+    parts = partition_parts(path, rule)
     return {key: F.get(parts, i) for i, key in enumerate(time_keys(rule))}
 
 

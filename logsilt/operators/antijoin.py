@@ -35,7 +35,7 @@ def anti_join_existing(
     right_names = [_RIGHT.format(i) for i in range(len(keys))]
     right = stored.select(*[F.col(k).alias(n) for k, n in zip(stored_keys, right_names)])
     if not null_safe:
-        right = right.dropna(subset=right_names)
+        right = right.where(reduce(Column.__and__, [F.col(n).isNotNull() for n in right_names]))
 
     left_names = [k if k in new.columns else _LEFT.format(i) for i, k in enumerate(keys)]
     added = {n: F.col(k) for n, k in zip(left_names, keys) if n != k}

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from logsilt.functions.action_time import partition_values
+from logsilt.functions.action_time import partition_parts
 from logsilt.functions.tracking import header_struct, update_time
-from logsilt.layout import TrackingNames, quoted
+from logsilt.layout import TrackingNames, partition_keys, quoted, time_keys
+
+_PARTS = "__parts"
 
 
 def expand_flat(
@@ -115,9 +117,14 @@ def filter_action_time(df: DataFrame, column: str, value: str) -> DataFrame:
 
 def with_partition_keys(df: DataFrame, action_time: str, rule: str) -> DataFrame:
     """Replace the action time by the table's time keys; NULL keys mark rows that do not fit."""
-    keys = partition_values(F.col(quoted(action_time)), rule)
-    lowered = {c.lower() for c in df.columns if c != action_time}
-    taken = sorted(key for key in keys if key in lowered)
+    keys = partition_keys(rule)
+    body = [c for c in df.columns if c != action_time]
+    taken = sorted(c for c in body if c.lower() in keys)
     if taken:
         raise ValueError(f"columns {taken} have the name of a partition key; rename them first")
-    return df.withColumns(keys).drop(action_time)
+    parts = partition_parts(F.col(quoted(action_time)), rule)
+    split = df.select(*[quoted(c) for c in body], parts.alias(_PARTS))
+    return split.select(
+        *[quoted(c) for c in body],
+        *[F.get(_PARTS, F.lit(i)).alias(key) for i, key in enumerate(time_keys(rule))],
+    )

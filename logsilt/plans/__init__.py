@@ -1,7 +1,7 @@
 """Pipelines: ingest, offline merge, compaction."""
 
-from logsilt.plans.compact import compact
-from logsilt.plans.ingest import (
+from logsilt.plans.compaction import compact
+from logsilt.plans.landing import (
     Landed,
     ingest,
     offline_merge,
@@ -9,7 +9,7 @@ from logsilt.plans.ingest import (
     run_offline,
     run_online,
 )
-from logsilt.plans.merge import merge_new_rows
+from logsilt.plans.merging import merge_new_rows
 from logsilt.plans.reports import distinct_column
 
 __all__ = [

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logsilt.catalog import ledger, tables
 from logsilt.layout import RANDOM_KEY, Store, Subject, time_keys
-from logsilt.plans.ingest import prune_partitions
+from logsilt.plans.landing import prune_partitions
 from logsilt.session import delete_path
 from logsilt.sources.sinks import write_id, write_partition_parquet
 

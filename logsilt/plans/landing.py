@@ -19,7 +19,7 @@ from logsilt.operators.shape import (
     expand_header,
     with_partition_keys,
 )
-from logsilt.plans.merge import merge_new_rows
+from logsilt.plans.merging import merge_new_rows
 from logsilt.session import delete_path, scratch_dir
 from logsilt.sources.avro import read_avro
 from logsilt.sources.files import read_csv_header, read_parquet_paths
@@ -143,8 +143,9 @@ def _land(
         return Landed(subject, folder_id, None, rejects)
 
     stored = prune_partitions(spark.table(store.table_name(subject)), keys, known)
+    fit = keyed.where(F.col(keys[-1]).isNotNull())
     fresh = merge_new_rows(
-        keyed.dropna(subset=keys), stored, keys, match, order_by=rule.order_by, null_safe=null_safe
+        fit, stored, keys, match, order_by=rule.order_by, null_safe=null_safe
     )
     path = write_partition_parquet(
         fresh, store.table_root(subject), keys, rule.files, F.col(match), folder_id

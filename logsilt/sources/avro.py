@@ -1,40 +1,20 @@
-"""Avro in and out.
-
-With the ``spark-avro`` package on the class path both directions are the built-in data source, the
-route to deploy. Without it, reading goes through Hadoop's Avro-as-JSON input format and writing
-through a Hive Avro table, so writing then needs a session with Hive support.
-"""
+"""Avro in and out."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsilt.catalog.avro_schema import avro_from_struct, struct_from_avro
 from logsilt.layout import quoted
 from logsilt.sources.files import as_paths
 
+# The Avro source ships with Spark 4.1, but only the separate package registers its short name.
+AVRO = "org.apache.spark.sql.avro.AvroFileFormat"
 CODECS = ("snappy", "deflate", "uncompressed")
-
-
-def has_avro_package(spark: SparkSession) -> bool:
-    try:
-        spark._jvm.java.lang.Class.forName(
-            "org.apache.spark.sql.avro.AvroFileFormat",
-            False,
-            spark._jvm.java.lang.Thread.currentThread().getContextClassLoader(),
-        )
-        return True
-    except Exception:
-        return False
-
-
-def has_hive(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.sql.catalogImplementation") == "hive"
+_DEFLATE_LEVEL = "spark.sql.avro.deflate.level"
 
 
 def read_avro(
@@ -44,83 +24,41 @@ def read_avro(
     skip_other_suffixes: bool = True,
 ) -> DataFrame:
     """Avro files; the schema is the caller's, or the one in the header of a sample file."""
-    if has_avro_package(spark):
-        reader = spark.read.format("avro")
-        if avro_schema:
-            reader = reader.option("avroSchema", avro_schema)
-        if skip_other_suffixes:
-            reader = reader.option("pathGlobFilter", "*.avro")
-        return reader.load(as_paths(paths))
-    if not skip_other_suffixes:
-        raise ValueError("files without the .avro suffix need the spark-avro package")
-    text = avro_schema or _sample_schema(spark, as_paths(paths))
-    schema = struct_from_avro(text)
-    _reject_text_unsafe(schema, "")
-    records = (
-        spark.sparkContext.hadoopFile(
-            ",".join(as_paths(paths)),
-            "org.apache.avro.mapred.AvroAsTextInputFormat",
-            "org.apache.hadoop.io.Text",
-            "org.apache.hadoop.io.Text",
-        )
-        .keys()
-        .map(lambda record: (record,))
-    )
-    lines = spark.createDataFrame(records, "value string")
-    parsed = lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"))
-    return parsed.select("r.*")
-
-
-def _sample_schema(spark: SparkSession, paths: Sequence[str]) -> str:
-    """Schema text from the header of the first ``.avro`` file; only the header is read."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in paths:
-        fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-        for pattern in (path, f"{path.rstrip('/')}/*.avro"):
-            for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []:
-                file = status.getPath()
-                if status.isFile() and file.getName().endswith(".avro"):
-                    stream = jvm.org.apache.avro.file.DataFileStream(
-                        fs.open(file), jvm.org.apache.avro.generic.GenericDatumReader()
-                    )
-                    try:
-                        return stream.getSchema().toString()
-                    finally:
-                        stream.close()
-    raise FileNotFoundError(f"no .avro file under {list(paths)}")
-
-
-def _reject_text_unsafe(data_type: T.DataType, path: str) -> None:
-    """The JSON route cannot tell bytes and multi-branch unions apart from text; refuse them."""
-    if isinstance(data_type, T.BinaryType):
-        raise ValueError(f"field {path}: bytes and fixed need the spark-avro package")
-    if isinstance(data_type, T.StructType):
-        if data_type.names and all(n == f"member{i}" for i, n in enumerate(data_type.names)):
-            raise ValueError(f"field {path}: unions of several types need the spark-avro package")
-        for f in data_type.fields:
-            _reject_text_unsafe(f.dataType, f"{path}.{f.name}".lstrip("."))
-    elif isinstance(data_type, T.ArrayType):
-        _reject_text_unsafe(data_type.elementType, path)
-    elif isinstance(data_type, T.MapType):
-        _reject_text_unsafe(data_type.valueType, path)
+    reader = spark.read.format(AVRO)
+    if avro_schema:
+        reader = reader.option("avroSchema", avro_schema)
+    if skip_other_suffixes:
+        reader = reader.option("pathGlobFilter", "*.avro")
+    return reader.load(as_paths(paths))
 
 
 def avro_value(value: Column, data_type: T.DataType) -> Column:
     """A value in the form it is written in: decimals as text, timestamps as epoch millis."""
-    if isinstance(data_type, (T.ByteType, T.ShortType)):
-        return value.cast("int")
     if isinstance(data_type, T.DecimalType):
         return value.cast("string")
     if isinstance(data_type, T.TimestampType):
         return F.unix_millis(value)
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.unix_millis(value.cast("timestamp"))
+    if not _changes(data_type):
+        return value
     if isinstance(data_type, T.StructType):
         fields = [avro_value(value[f.name], f.dataType).alias(f.name) for f in data_type.fields]
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(data_type, T.ArrayType):
         return F.transform(value, lambda v: avro_value(v, data_type.elementType))
+    return F.transform_values(value, lambda _, v: avro_value(v, data_type.valueType))
+
+
+def _changes(data_type: T.DataType) -> bool:
+    """Whether a type has a part that is written in another form."""
+    if isinstance(data_type, T.StructType):
+        return any(_changes(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _changes(data_type.elementType)
     if isinstance(data_type, T.MapType):
-        return F.transform_values(value, lambda _, v: avro_value(v, data_type.valueType))
-    return value
+        return _changes(data_type.valueType)
+    return isinstance(data_type, (T.DecimalType, T.TimestampType, T.TimestampNTZType))
 
 
 def write_avro(
@@ -134,44 +72,16 @@ def write_avro(
     """Write Avro files, one per task."""
     if codec not in CODECS:
         raise ValueError(f"codec must be one of {CODECS}: {codec!r}")
-    schema_text = avro_from_struct(df.schema, record_name, record_namespace)
+    conf = df.sparkSession.conf
     out = df.select(
         *[avro_value(F.col(quoted(f.name)), f.dataType).alias(f.name) for f in df.schema.fields]
     )
-    spark = df.sparkSession
-    if has_avro_package(spark):
+    before = conf.get(_DEFLATE_LEVEL, None)
+    try:
         if deflate_level is not None:
-            spark.conf.set("spark.sql.avro.deflate.level", str(deflate_level))
-        out.write.format("avro").option("compression", codec).option(
-            "avroSchema", schema_text
+            conf.set(_DEFLATE_LEVEL, str(deflate_level))
+        out.write.format(AVRO).options(
+            compression=codec, recordName=record_name, recordNamespace=record_namespace
         ).save(path)
-        return
-    if not has_hive(spark):
-        raise RuntimeError("writing Avro needs the spark-avro package or a session with Hive")
-    _write_through_hive(spark, out, path, schema_text, codec, deflate_level)
-
-
-def _write_through_hive(
-    spark: SparkSession, out: DataFrame, path: str, schema_text: str, codec: str, level: int | None
-) -> None:
-    settings = {
-        "hive.exec.compress.output": str(codec != "uncompressed").lower(),
-        "avro.output.codec": codec if codec != "uncompressed" else "null",
-        "avro.mapred.deflate.level": str(level if level is not None else -1),
-    }
-    table = f"avro_out_{uuid.uuid4().hex}"
-    before = {key: spark.conf.get(key, None) for key in settings}
-    literal = schema_text.replace("\\", "\\\\").replace("'", "\\'")
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        spark.sql(
-            f"CREATE EXTERNAL TABLE {table} STORED AS AVRO LOCATION '{location}' "
-            f"TBLPROPERTIES ('avro.schema.literal'='{literal}')"
-        )
-        out.write.insertInto(table)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        conf.unset(_DEFLATE_LEVEL) if before is None else conf.set(_DEFLATE_LEVEL, before)

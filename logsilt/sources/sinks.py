@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from logsilt.layout import RANDOM_KEY, Store, Subject
 
 BACKUP = "_backup"
+_SLOT = "__file_slot"
 
 
 def write_id() -> str:
@@ -32,10 +33,10 @@ def write_partition_parquet(
     """Write all partitions of ``df`` in one job, each as at most ``files`` files; returns the folder.
 
     Every call writes its own ``<root>/randompath=<id>/``, so writers of one table never share a
-    commit folder and a failed write leaves nothing a reader could see. ``files`` rows groups per
-    partition are formed by ``spread_by`` (default: by source task, which spreads hot partitions
-    without looking at the rows and does not change when a task is run again). Without ``files``
-    Spark picks file sizes and splits large partitions itself.
+    commit folder and a failed write leaves nothing a reader could see. Rows of a
+    partition go to one of ``files`` slots by ``spread_by`` (default: by source task, which spreads
+    a hot partition whatever its rows are and does not change when a task is run again). Without
+    ``files`` Spark picks file sizes and splits large partitions itself.
     """
     path = write_folder(root, folder_id or write_id())
     if files is None:
@@ -44,8 +45,10 @@ def write_partition_parquet(
         if files < 1:
             raise ValueError("files must be at least 1")
         source = F.spark_partition_id() if spread_by is None else F.xxhash64(spread_by)
-        slot = "__file"
-        out = df.withColumn(slot, F.pmod(source, F.lit(files))).repartition(*keys, slot).drop(slot)
+        # a stated number of tasks, so that many small partitions are not merged into a few writers
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slotted = df.withColumn(_SLOT, F.pmod(source, F.lit(files)))
+        out = slotted.repartition(tasks, *keys, _SLOT).drop(_SLOT)
     out.write.partitionBy(*keys).parquet(path)
     return path
 

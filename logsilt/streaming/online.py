@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from logsilt.layout import Rule, Store
-from logsilt.plans.ingest import ingest
+from logsilt.plans.landing import ingest
 
 
 def start_online(
