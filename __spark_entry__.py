@@ -559,13 +559,15 @@ def create_external_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def add_partition(spark: SparkSession, sf: str) -> DataFrame:
-    """A plain folder per partition, registered one by one."""
+    """Folders that are there already, registered where they lie."""
     store, subject = _store(spark, "add"), Subject("web", "orders")
-    orders = _table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy").alias("year"))
+    orders = _table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy").alias("year")
+    )
     tables.create_external_table(spark, store, subject, orders.drop("year").schema, "yyyy")
+    orders.write.partitionBy("year").parquet(store.table_root(subject))
     for row in orders.select("year").distinct().toLocalIterator():
-        path = f"{store.table_root(subject)}/{row.year}/{uuid.uuid4().hex}"
-        orders.where(F.col("year") == row.year).drop("year").write.parquet(path)
+        path = f"{store.table_root(subject)}/year={row.year}"
         tables.add_partition(spark, store, subject, row.year, path)
     return spark.table(store.table_name(subject)).drop("randompath")
 

@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from logsilt.layout import RANDOM_KEY, TIME_KEYS, Store, Subject
 from logsilt.operators.dedup import dedup_latest
-from logsilt.session import path_exists
+from logsilt.session import delete_path, path_exists
 
 ADD, DELETE = "add", "delete"
 
@@ -32,17 +32,40 @@ LEDGER_SCHEMA = StructType(
     ]
 )
 
+_EVENT_COLUMNS = ("partition", RANDOM_KEY, "path", "op", "seq")
+
 
 def record(store: Store, subject: Subject, events: DataFrame) -> str:
     """Append events (``partition, randompath, path, op``) of one subject as one file; its folder."""
+    stamped = events.withColumn("seq", F.lit(time.time_ns()))
+    return _append(store, subject, stamped.select(*_EVENT_COLUMNS))
+
+
+def _append(store: Store, subject: Subject, stamped: DataFrame) -> str:
     target = f"{store.ledger_root()}/subject={subject}/batch={uuid.uuid4().hex}"
-    stamped = events.select(
-        "partition", RANDOM_KEY, "path", "op", F.lit(time.time_ns()).alias("seq")
-    )
     stamped.coalesce(1).write.parquet(target)
     return target
 
 
+def _newest(events: DataFrame) -> DataFrame:
+    return dedup_latest(events, ["subject", "path"], ["seq", "op"])
+
+
+def roll_up(spark: SparkSession, store: Store, subject: Subject) -> None:
+    """Fold a subject's ledger files into one that holds the newest event of every folder.
+
+    Deletes are kept: an older file that outlives a stopped run must not bring a folder back. Run by
+    the subject's one writer; a reader that has just listed the old files has to list again.
+    """
+    events = ledger_events(spark, store, subject)
+    old = [r.batch for r in events.select("batch").distinct().collect()]
+    if len(old) < 2:
+        return
+    _append(store, subject, _newest(events).select(*_EVENT_COLUMNS))
+    for batch in old:
+        delete_path(spark, f"{store.ledger_root()}/subject={subject}/batch={batch}")
+
+
 def ledger_events(spark: SparkSession, store: Store, subject: Subject | None = None) -> DataFrame:
     root = store.ledger_root()
     path = root if subject is None else f"{root}/subject={subject}"
@@ -53,8 +76,7 @@ def ledger_events(spark: SparkSession, store: Store, subject: Subject | None = N
 
 def live_folders(events: DataFrame) -> DataFrame:
     """Folders whose newest event is an add."""
-    latest = dedup_latest(events, ["subject", "path"], ["seq", "op"])
-    return latest.where(F.col("op") == ADD)
+    return _newest(events).where(F.col("op") == ADD)
 
 
 def partition_folders(events: DataFrame, partition: str) -> DataFrame:

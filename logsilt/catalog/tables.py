@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,9 +114,17 @@ def drop_partition(
         delete_path(spark, path)
 
 
-def partitions(spark: SparkSession, store: Store, subject: Subject) -> DataFrame:
-    """Registered partitions, one row each, as column ``spec``."""
-    shown = spark.sql(f"SHOW PARTITIONS {store.table_name(subject)}")
+def partitions(
+    spark: SparkSession, store: Store, subject: Subject, years: Sequence[str] | None = None
+) -> DataFrame:
+    """Registered partitions, one row each, as column ``spec``; of some years only, if given."""
+    show = f"SHOW PARTITIONS {store.table_name(subject)}"
+    if years is None:
+        shown = spark.sql(show)
+    else:
+        shown = reduce(
+            DataFrame.unionAll, [spark.sql(f"{show} {_spec([(TIME_KEYS[0], y)])}") for y in years]
+        )
     return shown.select(F.col("partition").alias("spec"))
 
 
@@ -136,16 +145,23 @@ def partition_exists(
     return not known.where(F.col("action_time") == action_time).isEmpty()
 
 
-def sync_with_ledger(spark: SparkSession, store: Store, subject: Subject) -> None:
+def sync_with_ledger(
+    spark: SparkSession, store: Store, subject: Subject, touched: Sequence[str] | None = None
+) -> None:
     """Make the catalog show exactly the ledger's live folders.
 
     Only the differences reach the driver, a batch at a time. Safe to repeat, so it also repairs a
     run that stopped between its ledger entry and its catalog calls. File listings the session may
-    have cached are dropped.
+    have cached are dropped. With ``touched`` action times only their years are looked at.
     """
     spark.catalog.refreshTable(store.table_name(subject))
-    live = live_folders(ledger_events(spark, store, subject)).withColumn("spec", spec_column())
-    shown = partitions(spark, store, subject)
+    events = ledger_events(spark, store, subject)
+    years = None
+    if touched is not None:
+        years = sorted({t.split("/")[0] for t in touched})
+        events = events.where(F.substring_index("partition", "/", 1).isin(years))
+    live = live_folders(events).withColumn("spec", spec_column())
+    shown = partitions(spark, store, subject, years)
     missing = live.join(shown, "spec", "left_anti").select("partition", RANDOM_KEY, "path")
     stale = shown.join(live, "spec", "left_anti").select("spec")
     add_partitions(spark, store, subject, (tuple(r) for r in missing.toLocalIterator()))

@@ -23,9 +23,12 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]
 
 
 def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Any one row per key. Rows whose key is NULL form one group."""
-    keyed, names, added = _with_keys(df, keys)
-    return keyed.dropDuplicates(names).drop(*added)
+    """Any one row per key. Rows whose key is NULL form one group.
+
+    Ordering a key's rows by the key itself leaves the choice open and still gives Spark the top-1
+    form, which beats the sort-based aggregation behind ``dropDuplicates`` on wide rows.
+    """
+    return dedup_latest(df, keys, [F.col(k).asc() for k in keys])
 
 
 def dedup_latest(

@@ -45,6 +45,8 @@ def compact(
     for names in _rounds(due):
         _compact_round(spark, store, subject, time_keys(rule), files, events, names)
         done += len(names)
+    if done:
+        ledger.roll_up(spark, store, subject)
     return done
 
 
@@ -83,11 +85,9 @@ def _compact_round(
         rows, store.table_root(subject), keys, files, F.monotonically_increasing_id(), folder_id
     )
 
-    removed = spark.createDataFrame(
-        [(*r, ledger.DELETE) for r in old_rows], f"partition string, {RANDOM_KEY} string, path string, op string"
-    )
+    removed = old.select("partition", RANDOM_KEY, "path", F.lit(ledger.DELETE).alias("op"))
     added = ledger.written_events(spark, path, folder_id, keys)
     ledger.record(store, subject, added.unionByName(removed))
-    tables.sync_with_ledger(spark, store, subject)
+    tables.sync_with_ledger(spark, store, subject, names)
     with ThreadPoolExecutor(_DELETE_THREADS) as pool:
         list(pool.map(lambda r: delete_path(spark, r["path"]), old_rows))

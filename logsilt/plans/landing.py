@@ -128,7 +128,6 @@ def _land(
     keyed = with_partition_keys(expanded, store.names.action_time, rule.partition)
     body = StructType([f for f in keyed.schema.fields if f.name not in keys])
     tables.create_external_table(spark, store, subject, body, rule.partition)
-    tables.sync_with_ledger(spark, store, subject)
 
     folder_id = write_id()
     unfit = expanded.where(~fits_rule(action_time, rule.partition))
@@ -142,6 +141,7 @@ def _land(
     if known is not None and not known:
         return Landed(subject, folder_id, None, rejects)
 
+    tables.sync_with_ledger(spark, store, subject, known)
     stored = prune_partitions(spark.table(store.table_name(subject)), keys, known)
     fit = keyed.where(F.col(keys[-1]).isNotNull())
     fresh = merge_new_rows(
@@ -176,7 +176,8 @@ def prune_partitions(
     if touched is None:
         return table
     first = sorted({t.split("/")[0] for t in touched})
-    return table.where(F.col(keys[0]).isin(first)).where(F.concat_ws("/", *keys).isin(list(touched)))
+    exact = F.concat_ws("/", *keys).isin(list(touched))
+    return table.where(F.col(keys[0]).isin(first) & exact)
 
 
 def register(

@@ -29,7 +29,8 @@ def merge_new_rows(
     batch is shuffled once; the stored side contributes its distinct keys only.
     """
     keyed = batch.withColumn(_MATCH, F.col(match))
-    keys = [*partition_cols, _MATCH]
+    # the match value leads, because rows of one batch often share their partition values
+    keys = [_MATCH, *partition_cols]
     unique = dedup_latest(keyed, keys, order_by) if order_by else dedup_any(keyed, keys)
     if stored is None:
         return unique.drop(_MATCH)
@@ -37,7 +38,7 @@ def merge_new_rows(
         unique,
         stored,
         keys,
-        stored_keys=[*partition_cols, stored_match or match],
+        stored_keys=[stored_match or match, *partition_cols],
         null_safe=null_safe,
         spread_nulls=False,  # after deduplication each partition has one NULL key at most
     )

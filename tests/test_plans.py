@@ -217,6 +217,36 @@ def test_ledger_views(spark, store):
     assert [tuple(r) for r in ledger.due_for_compaction(everyone).collect()] == [("web.other", "2024/01", 2)]
 
 
+def test_ledger_roll_up_keeps_the_view_and_the_deletes(spark, store):
+    events = spark.createDataFrame(
+        [("2024/01", "u1", "/p/u1", "add"), ("2024/01", "u2", "/p/u2", "add")],
+        "partition string, randompath string, path string, op string",
+    )
+    first = ledger.record(store, SUBJECT, events)
+    shutil.copytree(first, str(first) + "-kept", dirs_exist_ok=True)  # a file a stopped run left over
+    ledger.record(store, SUBJECT, events.where("randompath = 'u2'").withColumn("op", F.lit("delete")))
+    ledger.roll_up(spark, store, SUBJECT)
+    folded = ledger.ledger_events(spark, store, SUBJECT)
+    assert folded.select("batch").distinct().count() == 1 and folded.count() == 2
+    assert [r.path for r in ledger.live_folders(folded).collect()] == ["/p/u1"]
+    shutil.copytree(str(Path(first).parent / folded.first().batch.join(["batch=", ""])), str(first) + "-again")
+    assert [r.path for r in ledger.live_folders(ledger.ledger_events(spark, store, SUBJECT)).collect()] == ["/p/u1"]
+    ledger.roll_up(spark, store, SUBJECT)
+    ledger.roll_up(spark, store, SUBJECT)
+    assert [r.path for r in ledger.live_folders(ledger.ledger_events(spark, store, SUBJECT)).collect()] == ["/p/u1"]
+
+
+def test_sync_of_some_years_leaves_the_others_alone(spark, store):
+    for year in ("2023", "2024"):
+        plans.ingest(spark, store, RULE, batch(spark, ("a", f"{year}/01/01", 1)))
+    folder = table(spark, store).where("year = '2023'").select("randompath").first()[0]
+    tables.drop_partition(spark, store, SUBJECT, f"year=2023/month=01/day=01/randompath={folder}")
+    tables.sync_with_ledger(spark, store, SUBJECT, ["2024/01/01"])
+    assert table(spark, store).count() == 1
+    tables.sync_with_ledger(spark, store, SUBJECT, ["2023/01/01"])
+    assert table(spark, store).count() == 2
+
+
 def test_table_operations(spark, store):
     schema = spark.sql("SELECT named_struct('a', 1L) AS header, 'x' AS `odd name`").schema
     tables.create_external_table(spark, store, SUBJECT, schema, "yyyy/MM/dd/HH")
