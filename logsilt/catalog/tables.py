@@ -41,8 +41,13 @@ def create_external_table(
 ) -> None:
     """Create the subject's external Parquet table, keyed by the partition rule.
 
-    ``schema`` holds the stored columns only, keys excluded. An existing table is left alone.
+    ``schema`` holds the stored columns only, keys excluded. A table that exists gets the columns it
+    lacks; one that has a column of that name in another type is an error, as its files could not be
+    read together.
     """
+    if table_exists(spark, store, subject):
+        _extend(spark, store.table_name(subject), schema)
+        return
     keys = partition_keys(rule)
     database = quoted(store.database(subject))
     home = f"{store.root.rstrip('/')}/_catalog/{subject.db}"
@@ -55,6 +60,20 @@ def create_external_table(
     )
 
 
+def _extend(spark: SparkSession, table: str, schema: StructType) -> None:
+    have = {f.name.lower(): f.dataType for f in spark.table(table).schema.fields}
+    other = [
+        f"{f.name}: {have[f.name.lower()].simpleString()} stored, {f.dataType.simpleString()} given"
+        for f in schema.fields
+        if have.get(f.name.lower(), f.dataType).simpleString() != f.dataType.simpleString()
+    ]
+    if other:
+        raise ValueError(f"{table} has other column types ({'; '.join(other)})")
+    missing = StructType([f for f in schema.fields if f.name.lower() not in have])
+    if missing.fields:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({missing.toDDL()})")
+
+
 def drop_table(spark: SparkSession, store: Store, subject: Subject, data: bool = True) -> None:
     """Drop the table, and with ``data`` its folders too."""
     spark.sql(f"DROP TABLE IF EXISTS {store.table_name(subject)}")
@@ -109,7 +128,7 @@ def drop_partition(
     below = partitions(spark, store, subject).where(
         (name == spec) | name.startswith(f"{spec.rstrip('/')}/")
     )
-    drop_partitions(spark, store, subject, (r.spec for r in below.toLocalIterator()))
+    drop_partitions(spark, store, subject, (r.spec for r in below.coalesce(1).toLocalIterator()))
     if path:
         delete_path(spark, path)
 
@@ -164,5 +183,7 @@ def sync_with_ledger(
     shown = partitions(spark, store, subject, years)
     missing = live.join(shown, "spec", "left_anti").select("partition", RANDOM_KEY, "path")
     stale = shown.join(live, "spec", "left_anti").select("spec")
-    add_partitions(spark, store, subject, (tuple(r) for r in missing.toLocalIterator()))
-    drop_partitions(spark, store, subject, (r.spec for r in stale.toLocalIterator()))
+    # one task each: a local iterator runs a job per task, and this is a few rows of metadata
+    added = (tuple(r) for r in missing.coalesce(1).toLocalIterator())
+    add_partitions(spark, store, subject, added)
+    drop_partitions(spark, store, subject, (r.spec for r in stale.coalesce(1).toLocalIterator()))

@@ -20,22 +20,25 @@ def anti_join_existing(
     keys: Sequence[str],
     stored_keys: Sequence[str] | None = None,
     null_safe: bool = False,
-    spread_nulls: bool = True,
+    spread: bool = True,
 ) -> DataFrame:
     """Rows of ``new`` whose key does not occur in ``stored``.
 
     A NULL key equals nothing, so such rows are always kept; ``null_safe=True`` lets NULL match
-    NULL instead. ``stored`` is cut to its distinct keys before the shuffle, so a key stored many
-    times costs one row per map task. NULL keys can never match, so by default they are spread by
-    map task instead of all hashing to one reducer; ``spread_nulls=False`` leaves that out when
-    ``new`` has few of them. A frequent non-NULL key in ``new`` is left to Spark's adaptive
-    skew-join splitting, which applies to the left side of an anti join.
+    NULL instead. ``stored`` is cut to its distinct keys, combined before the shuffle, so a key that
+    is stored many times costs one row per map task.
+
+    ``spread=True`` is for a ``new`` in which one key may be frequent. NULL keys, which match
+    nothing, are spread by map task. Other frequent keys are split by Spark's adaptive skew join;
+    it acts on a join that sits right on its two shuffles, so the distinct keys are shuffled once
+    more for it. Turn it off when ``new`` has no frequent key.
     """
     stored_keys = list(stored_keys or keys)
     right_names = [_RIGHT.format(i) for i in range(len(keys))]
     right = stored.select(*[F.col(k).alias(n) for k, n in zip(stored_keys, right_names)])
     if not null_safe:
         right = right.where(reduce(Column.__and__, [F.col(n).isNotNull() for n in right_names]))
+    right = right.distinct()
 
     left_names = [k if k in new.columns else _LEFT.format(i) for i, k in enumerate(keys)]
     added = {n: F.col(k) for n, k in zip(left_names, keys) if n != k}
@@ -43,13 +46,12 @@ def anti_join_existing(
 
     # equal keys must hash alike, so both sides need the very same types
     types = [left.schema[n].dataType for n in left_names]
-    same_types = types == [right.schema[n].dataType for n in right_names]
-    if spread_nulls and same_types and not null_safe:
-        any_null = reduce(Column.__or__, [F.col(n).isNull() for n in left_names])
-        left = left.withColumn(
-            _LEFT_SPREAD,
-            F.when(any_null, F.spark_partition_id()).otherwise(F.hash(*left_names)),
-        )
+    if spread and types == [right.schema[n].dataType for n in right_names]:
+        by_key = F.hash(*left_names)
+        if not null_safe:
+            any_null = reduce(Column.__or__, [F.col(n).isNull() for n in left_names])
+            by_key = F.when(any_null, F.spark_partition_id()).otherwise(by_key)
+        left = left.withColumn(_LEFT_SPREAD, by_key)
         right = right.withColumn(_RIGHT_SPREAD, F.hash(*right_names))
         left_names, right_names = [*left_names, _LEFT_SPREAD], [*right_names, _RIGHT_SPREAD]
 
@@ -57,4 +59,4 @@ def anti_join_existing(
         return F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
 
     matched = reduce(Column.__and__, [same(a, b) for a, b in zip(left_names, right_names)])
-    return left.join(right.distinct(), matched, "left_anti").drop(_LEFT_SPREAD, *added)
+    return left.join(right, matched, "left_anti").drop(_LEFT_SPREAD, *added)

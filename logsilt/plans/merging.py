@@ -40,6 +40,6 @@ def merge_new_rows(
         keys,
         stored_keys=[stored_match or match, *partition_cols],
         null_safe=null_safe,
-        spread_nulls=False,  # after deduplication each partition has one NULL key at most
+        spread=False,  # after deduplication no key is frequent, and each partition has one NULL at most
     )
     return fresh.drop(_MATCH)

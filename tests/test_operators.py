@@ -101,7 +101,7 @@ def test_anti_join_keeps_null_keys_and_does_not_fan_out(spark):
     stored = spark.sql("SELECT * FROM VALUES ('a'), ('a'), (NULL) t(k)")
     kept = [("b", 2), ("b", 5), (None, 3), (None, 4)]
     for spread in (True, False):
-        found = op.anti_join_existing(new, stored, ["k"], spread_nulls=spread)
+        found = op.anti_join_existing(new, stored, ["k"], spread=spread)
         assert found.columns == ["k", "v"] and tuples(found) == kept
     found = op.anti_join_existing(new, stored, ["k"], null_safe=True)
     assert tuples(found) == [("b", 2), ("b", 5)]
@@ -155,3 +155,48 @@ def test_hot_key_sends_one_row_per_map_task(spark):
         text = plan(found)
         before_exchange = text[text.index("Exchange hashpartitioning"):]
         assert "WindowGroupLimit" in before_exchange and "Partial" in before_exchange
+
+
+def test_a_frequent_key_on_the_left_of_an_anti_join_is_split(spark, tmp_path):
+    """A third of the rows has one key, another third NULL; partitions are split, not one task each."""
+    spark.range(0, 60_000, 1, 6).selectExpr(
+        "CASE id % 3 WHEN 0 THEN 0 WHEN 1 THEN id END AS k", "id AS v", "repeat('x', 50) || id AS body"
+    ).write.parquet(str(tmp_path / "new"))
+    new = spark.read.parquet(str(tmp_path / "new"))
+    stored = spark.range(1, 30_000, 1, 4).selectExpr("id AS k")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        for null_safe in (False, True):
+            found = op.anti_join_existing(new, stored, ["k"], null_safe=null_safe)
+            assert len(found.collect()) == 20_000 + 20_000 + 10_000
+            assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" not in plan(op.anti_join_existing(new, stored, ["k"], spread=False))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_null_keys_reach_many_reducers(spark):
+    new = spark.range(0, 8_000, 1, 8).selectExpr("if(id < 0, id, NULL) AS k", "id AS v")
+    stored = spark.range(10).selectExpr("id AS k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = op.anti_join_existing(new, stored, ["k"])
+        sizes = found.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        alone = op.anti_join_existing(new, stored, ["k"], spread=False)
+        sizes_alone = alone.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in sizes) == 8_000 and len(sizes) > 2
+    assert len(sizes_alone) == 1

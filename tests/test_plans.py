@@ -272,6 +272,17 @@ def test_table_operations(spark, store):
     assert not tables.table_exists(spark, store, SUBJECT) and not root.exists()
 
 
+def test_a_table_grows_with_its_batches(spark, store):
+    plans.ingest(spark, store, RULE, batch(spark, ("a", "2024/01/01", 1)))
+    wider = batch(spark, ("b", "2024/01/01", 2)).withColumn("more", F.lit("x"))
+    plans.ingest(spark, store, RULE, wider)
+    plans.ingest(spark, store, RULE, batch(spark, ("c", "2024/01/01", 3)))
+    rows = table(spark, store).select("v", "more", "day").collect()
+    assert sorted(tuple(r) for r in rows if r.more) == [(2, "x", "01")] and len(rows) == 3
+    with pytest.raises(ValueError, match="v: int stored, string given"):
+        plans.ingest(spark, store, RULE, wider.withColumn("v", F.lit("text")))
+
+
 def test_unpartitioned_table(spark, store):
     tables.create_external_table(spark, store, SUBJECT, spark.range(1).schema, None)
     assert table(spark, store).columns == ["id"]

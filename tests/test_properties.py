@@ -59,7 +59,7 @@ def test_anti_join_matches_the_model(spark, rows):
     new = spark.createDataFrame(rows, "k string, n int")
     stored = spark.createDataFrame([("a",), ("a",), (None,), ("c",)], "k string")
     for spread in (True, False):
-        found = op.anti_join_existing(new, stored, ["k"], spread_nulls=spread)
+        found = op.anti_join_existing(new, stored, ["k"], spread=spread)
         want = [r for r in rows if r[0] not in ("a", "c")]
         assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(want, key=repr)
 
