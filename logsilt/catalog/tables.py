@@ -16,6 +16,8 @@ from logsilt.session import delete_path
 
 # Partitions named in one ALTER TABLE statement.
 _PER_STATEMENT = 200
+# Beyond so many years a table's partitions are listed whole instead of year by year.
+_MOST_YEARS = 20
 
 
 def _literal(text: str) -> str:
@@ -175,10 +177,11 @@ def sync_with_ledger(
     """
     spark.catalog.refreshTable(store.table_name(subject))
     events = ledger_events(spark, store, subject)
-    years = None
-    if touched is not None:
-        years = sorted({t.split("/")[0] for t in touched})
+    years = None if touched is None else sorted({t.split("/")[0] for t in touched})
+    if years is not None and len(years) <= _MOST_YEARS:
         events = events.where(F.substring_index("partition", "/", 1).isin(years))
+    else:
+        years = None
     live = live_folders(events).withColumn("spec", spec_column())
     shown = partitions(spark, store, subject, years)
     missing = live.join(shown, "spec", "left_anti").select("partition", RANDOM_KEY, "path")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from logsilt.catalog import ledger, tables
 from logsilt.layout import RANDOM_KEY, Store, Subject, time_keys
 from logsilt.plans.landing import prune_partitions
-from logsilt.session import delete_path
+from logsilt.session import delete_path, planned_bytes, sized_for
 from logsilt.sources.sinks import write_id, write_partition_parquet
 
 # Folders handled in one round; bounds what the driver holds, not what gets compacted.
@@ -81,9 +81,12 @@ def _compact_round(
     table = prune_partitions(spark.table(store.table_name(subject)), keys, names)
     rows = table.where(F.col(RANDOM_KEY).isin(ids)).drop(RANDOM_KEY)
     folder_id = write_id()
-    path = write_partition_parquet(
-        rows, store.table_root(subject), keys, files, F.monotonically_increasing_id(), folder_id
-    )
+    # a running number spreads rows whatever they hold, and repeats itself over a plain file scan
+    spread = F.monotonically_increasing_id()
+    with sized_for(spark, planned_bytes(rows)):
+        path = write_partition_parquet(
+            rows, store.table_root(subject), keys, files, spread, folder_id
+        )
 
     removed = old.select("partition", RANDOM_KEY, "path", F.lit(ledger.DELETE).alias("op"))
     added = ledger.written_events(spark, path, folder_id, keys)

@@ -20,7 +20,7 @@ from logsilt.operators.shape import (
     with_partition_keys,
 )
 from logsilt.plans.merging import merge_new_rows
-from logsilt.session import delete_path, scratch_dir
+from logsilt.session import delete_path, planned_bytes, scratch_dir, sized_for
 from logsilt.sources.avro import read_avro
 from logsilt.sources.files import read_csv_header, read_parquet_paths
 from logsilt.sources.json_lines import read_gbk_json_flat, read_json_lines
@@ -105,7 +105,8 @@ def ingest(
         return _land(spark, store, rule, expanded, match, null_safe)
     scratch = scratch_dir(spark, "stage")
     try:
-        expanded.write.parquet(scratch)
+        with sized_for(spark, planned_bytes(batch)):
+            expanded.write.parquet(scratch)
         staged = spark.read.schema(expanded.schema).parquet(scratch)
         return _land(spark, store, rule, staged, match, null_safe)
     finally:
@@ -124,36 +125,48 @@ def _land(
 ) -> Landed:
     subject = Subject.parse(rule.subject)
     keys = time_keys(rule.partition)
-    action_time = F.col(quoted(store.names.action_time))
     keyed = with_partition_keys(expanded, store.names.action_time, rule.partition)
     body = StructType([f for f in keyed.schema.fields if f.name not in keys])
     tables.create_external_table(spark, store, subject, body, rule.partition)
 
     folder_id = write_id()
-    unfit = expanded.where(~fits_rule(action_time, rule.partition))
-    touched = touched_partitions(keyed, keys)
-    has_rejects = not unfit.isEmpty() if touched is None else None in touched
-    rejects = None
-    if has_rejects:
-        rejects = f"{store.table_root(subject)}/_rejects/{folder_id}"
-        unfit.write.parquet(rejects)
-    known = None if touched is None else [t for t in touched if t is not None]
-    if known is not None and not known:
-        return Landed(subject, folder_id, None, rejects)
-
-    tables.sync_with_ledger(spark, store, subject, known)
-    stored = prune_partitions(spark.table(store.table_name(subject)), keys, known)
-    fit = keyed.where(F.col(keys[-1]).isNotNull())
-    fresh = merge_new_rows(
-        fit, stored, keys, match, order_by=rule.order_by, null_safe=null_safe
-    )
-    path = write_partition_parquet(
-        fresh, store.table_root(subject), keys, rule.files, F.col(match), folder_id
-    )
+    with sized_for(spark, planned_bytes(expanded)):
+        touched = touched_partitions(keyed, keys)
+        rejects = _write_rejects(expanded, store, rule, touched, folder_id)
+        known = None if touched is None else [t for t in touched if t is not None]
+        if known is not None and not known:
+            return Landed(subject, folder_id, None, rejects)
+
+        tables.sync_with_ledger(spark, store, subject, known)
+        stored = prune_partitions(spark.table(store.table_name(subject)), keys, known)
+        fit = keyed.where(F.col(keys[-1]).isNotNull())
+        fresh = merge_new_rows(
+            fit, stored, keys, match, order_by=rule.order_by, null_safe=null_safe
+        )
+        path = write_partition_parquet(
+            fresh, store.table_root(subject), keys, rule.files, F.col(match), folder_id
+        )
     register(spark, store, subject, path, folder_id, keys)
     return Landed(subject, folder_id, path, rejects)
 
 
+def _write_rejects(
+    expanded: DataFrame,
+    store: Store,
+    rule: Rule,
+    touched: Sequence[str | None] | None,
+    folder_id: str,
+) -> str | None:
+    """Write rows that fit no partition, with their action time as it is; None when there are none."""
+    action_time = F.col(quoted(store.names.action_time))
+    unfit = expanded.where(~fits_rule(action_time, rule.partition))
+    if unfit.isEmpty() if touched is None else None not in touched:
+        return None
+    path = f"{store.table_root(Subject.parse(rule.subject))}/_rejects/{folder_id}"
+    unfit.write.parquet(path)
+    return path
+
+
 def touched_partitions(keyed: DataFrame, keys: Sequence[str]) -> list[str | None] | None:
     """Action times in a batch, with None for rows that fit no partition.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from logsilt.layout import RANDOM_KEY, TIME_KEYS, Store, Subject
+from logsilt.layout import TIME_KEYS, Store, Subject
 
 
 def as_paths(paths: str | Sequence[str]) -> list[str]:
@@ -60,9 +60,3 @@ def read_partition_folder(
     """The same from plain ``<db>/<table>/<action time>/<random>/`` folders, without a catalog."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(f"{store.table_root(subject)}/{action_time}/*")
-
-
-def stored_folder_glob(store: Store, subject: Subject, action_time: str) -> str:
-    """Wildcard over the folders this library writes for one action time (see ``sinks``)."""
-    spec = "/".join(f"{k}={v}" for k, v in zip(TIME_KEYS, action_time.split("/")))
-    return f"{store.table_root(subject)}/{RANDOM_KEY}=*/{spec}"

@@ -37,6 +37,8 @@ JSON_DEFAULTS = {
     "allowBackslashEscapingAnyCharacter": "false",
     "dateFormat": "yyyy-MM-dd",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+    # dates and timestamps that do not fit the patterns are tried as plain ISO text
+    "enableDateTimeParsingFallback": "true",
 }
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 CORRUPT = "_corrupt_record"

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsilt.layout import RANDOM_KEY, Store, Subject
+from logsilt.session import shuffle_tasks
 
 BACKUP = "_backup"
 _SLOT = "__file_slot"
@@ -46,7 +47,7 @@ def write_partition_parquet(
             raise ValueError("files must be at least 1")
         source = F.spark_partition_id() if spread_by is None else F.xxhash64(spread_by)
         # a stated number of tasks, so that many small partitions are not merged into a few writers
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = shuffle_tasks(df.sparkSession)
         slotted = df.withColumn(_SLOT, F.pmod(source, F.lit(files)))
         out = slotted.repartition(tasks, *keys, _SLOT).drop(_SLOT)
     out.write.partitionBy(*keys).parquet(path)

@@ -353,3 +353,20 @@ def test_scratch_follows_the_session_setting(spark):
     made = scratch_dir(spark, "x")
     assert made != scratch_dir(spark, "x")
     assert made.startswith(f"{base}/logsilt/x-" if base else tempfile.gettempdir())
+
+
+def test_jobs_are_sized_by_their_input(spark, tmp_path):
+    from logsilt.session import planned_bytes, shuffle_tasks, sized_for
+
+    base, split = shuffle_tasks(spark), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size, tasks, split_bytes in (
+        (None, base, None), (1, base, None), (64 << 30, 1024, None), (100 << 40, 20_000, 1_099_511_628),
+    ):
+        with sized_for(spark, size):
+            assert shuffle_tasks(spark) == tasks
+            now = spark.conf.get("spark.sql.files.maxPartitionBytes")
+            assert now == (split if split_bytes is None else str(split_bytes))
+    assert shuffle_tasks(spark) == base and spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+    spark.range(1000).write.parquet(str(tmp_path / "x"))
+    assert 0 < planned_bytes(spark.read.parquet(str(tmp_path / "x"))) < 1 << 20
+    assert planned_bytes(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")) is None

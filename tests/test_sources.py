@@ -92,7 +92,7 @@ def test_json_values(spark):
         '{"d":"NaN"}', '{"d":"Infinity"}', '{"d":"-Infinity"}', '{"d":"inf"}', '{"d":"abc"}',
         '{"t":1704067200}', '{"t":"2024-01-02T03:04:05.678Z"}', '{"day":"2024-01-02"}',
         '{"s":{"x":[1,2]}}', '{"s":12.50}', '[{"n":12345678901234567890.123456789}]',
-        '{"m":{"x":1},"k":[1,2]}',
+        '{"m":{"x":1},"k":[1,2]}', '{"t":"2024-01-02 03:04:05"}', '{"day":"2024-1-2"}', '{"t":"soon"}',
     )
     r = sources.parse_json_lines(lines(spark, *texts), schema).collect()
     assert math.isnan(r[0].d) and r[1].d == math.inf and r[2].d == -math.inf
@@ -102,6 +102,8 @@ def test_json_values(spark):
     assert r[8].s == '{"x":[1,2]}' and r[9].s == "12.5"
     assert str(r[10].n) == "12345678901234567890.123456789"
     assert r[11].m == {"x": 1} and r[11].k == [1, 2]
+    assert r[12].t == dt.datetime(2024, 1, 2, 3, 4, 5) and r[13].day == dt.date(2024, 1, 2)
+    assert r[14].t is None and r[14]._corrupt_record
 
 
 def test_json_parse_options(spark):
