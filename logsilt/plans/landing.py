@@ -20,7 +20,7 @@ from logsilt.operators.shape import (
     with_partition_keys,
 )
 from logsilt.plans.merging import merge_new_rows
-from logsilt.session import delete_path, planned_bytes, scratch_dir, sized_for
+from logsilt.session import delete_path, planned_bytes, scratch_dir, sized_for, spread_small
 from logsilt.sources.avro import read_avro
 from logsilt.sources.files import read_csv_header, read_parquet_paths
 from logsilt.sources.json_lines import read_gbk_json_flat, read_json_lines
@@ -105,8 +105,9 @@ def ingest(
         return _land(spark, store, rule, expanded, match, null_safe)
     scratch = scratch_dir(spark, "stage")
     try:
-        with sized_for(spark, planned_bytes(batch)):
-            expanded.write.parquet(scratch)
+        size = planned_bytes(batch)
+        with sized_for(spark, size):
+            spread_small(expanded, size).write.parquet(scratch)
         staged = spark.read.schema(expanded.schema).parquet(scratch)
         return _land(spark, store, rule, staged, match, null_safe)
     finally:

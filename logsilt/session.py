@@ -46,6 +46,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 # bounds tasks get more bytes, which spill, instead of more tasks, whose every pair the driver tracks.
 _SCAN_BYTES = 128 * 1024 * 1024
 _SHUFFLE_BYTES = 64 * 1024 * 1024
+_SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
 _MAX_SCAN_TASKS = 100_000
 _MAX_SHUFFLE_TASKS = 20_000
 # Spark's estimate for input it knows nothing about is far above this.
@@ -62,6 +63,16 @@ def planned_bytes(df: DataFrame) -> int | None:
     return None if size >= _UNKNOWN_BYTES else size
 
 
+def spread_small(df: DataFrame, input_bytes: int | None) -> DataFrame:
+    """Deal out an input that is small for the cluster, as it may sit in fewer splits than cores.
+
+    Larger input is left as it lies: its splits keep all cores busy without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    small = input_bytes is not None and input_bytes < cores * _SMALL_BYTES_PER_CORE
+    return df.repartition(cores) if small else df
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     """Tasks a shuffle starts with; adaptive execution merges small ones, but never adds any."""
     return int(spark.conf.get(_SHUFFLE_INITIAL, None) or spark.conf.get(_SHUFFLE))

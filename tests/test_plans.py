@@ -355,6 +355,14 @@ def test_scratch_follows_the_session_setting(spark):
     assert made.startswith(f"{base}/logsilt/x-" if base else tempfile.gettempdir())
 
 
+def test_only_small_input_is_dealt_out(spark):
+    from logsilt.session import spread_small
+
+    df = spark.range(10).coalesce(1)
+    for size, tasks in ((1000, 8), (100 << 30, 1), (None, 1)):
+        assert spread_small(df, size).rdd.getNumPartitions() == tasks
+
+
 def test_jobs_are_sized_by_their_input(spark, tmp_path):
     from logsilt.session import planned_bytes, shuffle_tasks, sized_for
 
