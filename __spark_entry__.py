@@ -714,10 +714,10 @@ def ingest_td(spark: SparkSession, sf: str) -> DataFrame:
     rule = Rule(
         subject="web.events",
         match_key="header.hashcode",
-        time_key="if(header.time='',from_unixtime(unix_timestamp(),'yyyy/MM/dd/HH'),"
-        "from_unixtime(substring(header.time,1,10),'yyyy/MM/dd/HH'))",
+        time_key="date_format(CASE WHEN header.time = '' THEN now() "
+        "ELSE timestamp_millis(CAST(header.time AS BIGINT)) END, 'yyyy/MM/dd/HH')",
         partition="yyyy/MM/dd/HH",
-        files=4,
+        files=1,
         order_by=("header.time", "event_id"),
     )
     events = _table(spark, sf, "events").select(

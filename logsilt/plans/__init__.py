@@ -1,6 +1,6 @@
 """Pipelines: ingest, offline merge, compaction."""
 
-from logsilt.plans.compaction import compact
+from logsilt.plans.compaction import compact, run_history
 from logsilt.plans.landing import (
     Landed,
     ingest,
@@ -20,6 +20,7 @@ __all__ = [
     "merge_new_rows",
     "offline_merge",
     "read_batch",
+    "run_history",
     "run_offline",
     "run_online",
 ]

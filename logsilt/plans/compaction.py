@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsilt.catalog import ledger, tables
+from logsilt.catalog.registry import load_rule
 from logsilt.layout import RANDOM_KEY, Store, Subject, time_keys
 from logsilt.plans.landing import prune_partitions
 from logsilt.session import delete_path, planned_bytes, sized_for
@@ -50,6 +51,15 @@ def compact(
     return done
 
 
+def run_history(
+    spark: SparkSession, store: Store, rules: DataFrame, subject: str, partition: str | None = None
+) -> int:
+    """Compact one partition of a subject, or all that are due, by its registered rule."""
+    rule = load_rule(rules, subject)
+    names = None if partition is None else [partition]
+    return compact(spark, store, Subject.parse(subject), rule.partition, rule.files, names)
+
+
 def _rounds(due: DataFrame) -> Iterator[list[str]]:
     """Partition names in groups of about ``FOLDERS_PER_ROUND`` folders."""
     names: list[str] = []

@@ -60,8 +60,8 @@ def test_rules_and_keys():
 
 
 def test_subject_needs_two_parts():
-    assert Subject.parse("iptv.visits.extra") == Subject("iptv", "visits")
-    for text in ("iptv", "iptv.", ".visits", ""):
+    assert Subject.parse("web.visits.extra") == Subject("web", "visits")
+    for text in ("web", "web.", ".visits", ""):
         with pytest.raises(ValueError):
             Subject.parse(text)
 

@@ -303,6 +303,11 @@ def test_online_job_by_registered_rule_and_schema(spark, store, tmp_path):
     landed = plans.run_online(spark, store, rules, schemas, "web.log", str(tmp_path / "f.txt"))
     assert stored(spark, store) == [("2024/01/01", "", 3), ("2024/01/01", "a", 2)]
     assert spark.read.parquet(landed.rejects).count() == 1
+    Path(tmp_path, "g.txt").write_text("b|2024/01/01|4\n")
+    plans.run_online(spark, store, rules, schemas, "web.log", str(tmp_path / "g.txt"))
+    assert plans.run_history(spark, store, rules, "web.log", "2024/01/01") == 1
+    assert plans.run_history(spark, store, rules, "web.log") == 0
+    assert len(stored(spark, store)) == 3
     with pytest.raises(LookupError):
         plans.run_online(spark, store, rules, schemas, "web.none", "/x")
     with pytest.raises(LookupError):
