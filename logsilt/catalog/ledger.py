@@ -47,7 +47,8 @@ def _append(store: Store, subject: Subject, stamped: DataFrame) -> str:
     return target
 
 
-def _newest(events: DataFrame) -> DataFrame:
+def newest_events(events: DataFrame) -> DataFrame:
+    """The newest event of every folder."""
     return dedup_latest(events, ["subject", "path"], ["seq", "op"])
 
 
@@ -61,7 +62,7 @@ def roll_up(spark: SparkSession, store: Store, subject: Subject) -> None:
     old = [r.batch for r in events.select("batch").distinct().collect()]
     if len(old) < 2:
         return
-    _append(store, subject, _newest(events).select(*_EVENT_COLUMNS))
+    _append(store, subject, newest_events(events).select(*_EVENT_COLUMNS))
     for batch in old:
         delete_path(spark, f"{store.ledger_root()}/subject={subject}/batch={batch}")
 
@@ -76,7 +77,7 @@ def ledger_events(spark: SparkSession, store: Store, subject: Subject | None = N
 
 def live_folders(events: DataFrame) -> DataFrame:
     """Folders whose newest event is an add."""
-    return _newest(events).where(F.col("op") == ADD)
+    return newest_events(events).where(F.col("op") == ADD)
 
 
 def partition_folders(events: DataFrame, partition: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from logsilt.catalog.ledger import ledger_events, live_folders, spec_column
+from logsilt.catalog.ledger import ADD, DELETE, ledger_events, newest_events, record, spec_column
 from logsilt.layout import RANDOM_KEY, TIME_KEYS, Store, Subject, partition_keys, quoted
 from logsilt.session import delete_path
 
@@ -169,9 +169,9 @@ def partition_exists(
 def sync_with_ledger(
     spark: SparkSession, store: Store, subject: Subject, touched: Sequence[str] | None = None
 ) -> None:
-    """Make the catalog show exactly the ledger's live folders.
+    """Make the catalog follow the ledger: show live folders, hide deleted ones.
 
-    Only the differences reach the driver, a batch at a time. Safe to repeat, so it also repairs a
+    Partitions the ledger has never heard of are left alone. Only the differences reach the driver, a batch at a time. Safe to repeat, so it also repairs a
     run that stopped between its ledger entry and its catalog calls. File listings the session may
     have cached are dropped. With ``touched`` action times only their years are looked at.
     """
@@ -182,11 +182,39 @@ def sync_with_ledger(
         events = events.where(F.substring_index("partition", "/", 1).isin(years))
     else:
         years = None
-    live = live_folders(events).withColumn("spec", spec_column())
+    known = newest_events(events).withColumn("spec", spec_column())
+    live, dead = known.where(F.col("op") == ADD), known.where(F.col("op") == DELETE)
     shown = partitions(spark, store, subject, years)
     missing = live.join(shown, "spec", "left_anti").select("partition", RANDOM_KEY, "path")
-    stale = shown.join(live, "spec", "left_anti").select("spec")
+    stale = shown.join(dead, "spec", "left_semi").select("spec")
     # one task each: a local iterator runs a job per task, and this is a few rows of metadata
     added = (tuple(r) for r in missing.coalesce(1).toLocalIterator())
     add_partitions(spark, store, subject, added)
     drop_partitions(spark, store, subject, (r.spec for r in stale.coalesce(1).toLocalIterator()))
+
+
+def _folder_event(
+    spark: SparkSession, partition: str, path: str, op: str
+) -> tuple[str, DataFrame]:
+    folder_id = path.rstrip("/").split("/")[-1]
+    columns = f"partition string, {RANDOM_KEY} string, path string, op string"
+    return folder_id, spark.createDataFrame([(partition, folder_id, path, op)], columns)
+
+
+def register_folder(
+    spark: SparkSession, store: Store, subject: Subject, partition: str, path: str
+) -> None:
+    """Enter a folder that is there already in ledger and catalog; its id is its own name."""
+    _, event = _folder_event(spark, partition, path, ADD)
+    record(store, subject, event)
+    add_partition(spark, store, subject, partition, path)
+
+
+def unregister_folder(
+    spark: SparkSession, store: Store, subject: Subject, partition: str, path: str
+) -> None:
+    """Take such a folder out of ledger and catalog, and delete its data."""
+    folder_id, event = _folder_event(spark, partition, path, DELETE)
+    record(store, subject, event)
+    keys = "/".join(f"{k}={v}" for k, v in zip(TIME_KEYS, partition.split("/")))
+    drop_partition(spark, store, subject, f"{keys}/{RANDOM_KEY}={folder_id}", path)

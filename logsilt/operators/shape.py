@@ -25,7 +25,7 @@ def expand_flat(
         "*",
         update_time(now).alias(names.update_time),
         F.expr(match_key).alias(names.match_value),
-        F.expr(time_key).alias(names.action_time),
+        F.expr(time_key).cast("string").alias(names.action_time),
     )
 
 
@@ -52,7 +52,9 @@ def expand_header(
         header = header_struct(names, match_value, now)
     body = [F.col(quoted(c)) for c in df.columns if c != names.header]
     return df.select(
-        header.alias(names.header), F.expr(time_key).alias(names.action_time), *body
+        header.alias(names.header),
+        F.expr(time_key).cast("string").alias(names.action_time),
+        *body,
     )
 
 

@@ -200,6 +200,33 @@ def test_a_failed_write_leaves_nothing_visible(spark, store):
     assert stored(spark, store) == [("2024/01/01", "a", 1)]
 
 
+def test_folders_from_elsewhere_take_part(spark, store):
+    """Folders of an existing table, laid out as <partition>/<id>, are registered where they lie."""
+    plans.ingest(spark, store, RULE, batch(spark, ("a", "2024/01/01", 1)))
+    rows = batch(spark, ("b", "2024/01/01", 2)).selectExpr(
+        "named_struct('logUpdateTime', 7L, 'logMatchValue', m) AS header", "m", "t", "v"
+    )
+    paths = [f"{store.table_root(SUBJECT)}/2024/01/01/{name}" for name in ("u1", "u2", "u3")]
+    for path in paths:
+        rows.write.parquet(path)
+    tables.register_folder(spark, store, SUBJECT, "2024/01/01", paths[0])
+    tables.register_folder(spark, store, SUBJECT, "2024/01/01", paths[1])
+    tables.add_partition(spark, store, SUBJECT, "2024/01/01", paths[2])  # in the catalog only
+    plans.ingest(spark, store, RULE, batch(spark, ("b", "2024/01/01", 9), ("c", "2024/01/01", 3)))
+    assert [r[1] for r in stored(spark, store)] == ["a", "b", "b", "b", "c"]
+    tables.unregister_folder(spark, store, SUBJECT, "2024/01/01", paths[0])
+    assert not path_exists(spark, paths[0]) and len(stored(spark, store)) == 4
+    plans.compact(spark, store, SUBJECT, RULE.partition, files=1)
+    assert [r[1] for r in stored(spark, store)] == ["a", "b", "b", "c"]
+    assert [path_exists(spark, p) for p in paths] == [False, False, True]
+
+
+def test_time_keys_of_other_types_are_read_as_text(spark, store):
+    rule = Rule("web.log", "m", "2020 + v", "yyyy", order_by=("v",))
+    plans.ingest(spark, store, rule, batch(spark, ("a", "", 1), ("a", "", 2)))
+    assert sorted(r.year for r in table(spark, store).select("year").collect()) == ["2021", "2022"]
+
+
 def test_ledger_views(spark, store):
     assert ledger.ledger_events(spark, store).count() == 0
     events = spark.createDataFrame(
