@@ -438,6 +438,24 @@ def dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
     ).drop("ts")
 
 
+def _hot_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items under a key that about a third of them, the returned ones, share."""
+    return _table(spark, sf, "lineitem").select(
+        F.expr("if(l_returnflag = 'R', -1, l_orderkey)").alias("k"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
+    )
+
+
+def dedup_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    order = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"]
+    return op.dedup_latest(_hot_lines(spark, sf), ["k"], order)
+
+
+def anti_join_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    finished = _table(spark, sf, "orders").where("o_orderstatus = 'F'")
+    return op.anti_join_existing(_hot_lines(spark, sf), finished, ["k"], ["o_orderkey"])
+
+
 # ---------------------------------------------------------------- functions
 
 
@@ -805,7 +823,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         expand_flat, expand_header, align_schema, project_exprs, drop_columns,
         struct_field_access, rows_from_split,
         filter_action_time, filter_top_row, drop_blank_malformed, keep_malformed, skip_hidden_files,
-        anti_join_existing, anti_join_null_keys, distinct_values, dedup_any, dedup_latest,
+        anti_join_existing, anti_join_null_keys, anti_join_hot_key, dedup_hot_key, distinct_values, dedup_any, dedup_latest,
         fn_unix_timestamp, fn_named_struct, fn_action_time, fn_format_partition,
         fn_parse_partition, fn_split_pipe, fn_rand_bucket, fn_decode_gbk, fn_json_map,
         fn_partition_keys, fn_rule_to_keys, late_filter,
@@ -857,6 +875,8 @@ def _late(depth: int, pattern: str, days: int, current: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query."""
+    hot_lines = """SELECT CASE WHEN l_returnflag = 'R' THEN -1 ELSE l_orderkey END AS k, l_orderkey, l_linenumber,
+     l_partkey, l_extendedprice FROM lineitem"""
     ledger_rows = """SELECT strftime(o_orderdate, '%Y/%m') AS partition,
      strftime(o_orderdate, '%Y/%m') || '/' || o_custkey AS path, o_orderkey AS seq, o_orderstatus
      FROM orders QUALIFY row_number() OVER (PARTITION BY path ORDER BY seq DESC) = 1"""
@@ -911,6 +931,10 @@ def oracle_sql() -> dict[str, str]:
         "anti_join_null_keys": """SELECT a.* FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL
          ELSE o_custkey END AS cust FROM orders) a LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) b
          ON a.cust = b.c_custkey WHERE b.c_custkey IS NULL""",
+        "dedup_hot_key": f"""SELECT * FROM ({hot_lines}) QUALIFY row_number() OVER (PARTITION BY k
+         ORDER BY l_extendedprice DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC) = 1""",
+        "anti_join_hot_key": f"""SELECT l.* FROM ({hot_lines}) l LEFT JOIN
+         (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') o ON l.k = o.o_orderkey WHERE o.o_orderkey IS NULL""",
         "distinct_values": "SELECT DISTINCT o_custkey FROM orders",
         "dedup_any": f"SELECT DISTINCT action_time, match_value, user_id, event_type FROM ({_KEYED})",
         "dedup_latest": f"""SELECT * EXCLUDE (ts) FROM ({_KEYED}) QUALIFY row_number() OVER

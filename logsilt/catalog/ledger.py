@@ -43,7 +43,7 @@ def record(store: Store, subject: Subject, events: DataFrame) -> str:
 
 def _append(store: Store, subject: Subject, stamped: DataFrame) -> str:
     target = f"{store.ledger_root()}/subject={subject}/batch={uuid.uuid4().hex}"
-    stamped.coalesce(1).write.parquet(target)
+    stamped.repartition(1).write.parquet(target)
     return target
 
 

@@ -130,7 +130,7 @@ def drop_partition(
     below = partitions(spark, store, subject).where(
         (name == spec) | name.startswith(f"{spec.rstrip('/')}/")
     )
-    drop_partitions(spark, store, subject, (r.spec for r in below.coalesce(1).toLocalIterator()))
+    drop_partitions(spark, store, subject, (r.spec for r in below.repartition(1).toLocalIterator()))
     if path:
         delete_path(spark, path)
 
@@ -188,9 +188,9 @@ def sync_with_ledger(
     missing = live.join(shown, "spec", "left_anti").select("partition", RANDOM_KEY, "path")
     stale = shown.join(dead, "spec", "left_semi").select("spec")
     # one task each: a local iterator runs a job per task, and this is a few rows of metadata
-    added = (tuple(r) for r in missing.coalesce(1).toLocalIterator())
+    added = (tuple(r) for r in missing.repartition(1).toLocalIterator())
     add_partitions(spark, store, subject, added)
-    drop_partitions(spark, store, subject, (r.spec for r in stale.coalesce(1).toLocalIterator()))
+    drop_partitions(spark, store, subject, (r.spec for r in stale.repartition(1).toLocalIterator()))
 
 
 def _folder_event(

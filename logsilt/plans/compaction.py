@@ -64,7 +64,7 @@ def _rounds(due: DataFrame) -> Iterator[list[str]]:
     """Partition names in groups of about ``FOLDERS_PER_ROUND`` folders."""
     names: list[str] = []
     folders = 0
-    for row in due.select("partition", "folders").coalesce(1).toLocalIterator():
+    for row in due.select("partition", "folders").repartition(1).toLocalIterator():
         if names and folders + row.folders > FOLDERS_PER_ROUND:
             yield names
             names, folders = [], 0
