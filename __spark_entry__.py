@@ -843,7 +843,7 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]):
     return lambda spark, sf: query(configure(spark), sf)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator; each takes (spark, folder of the tables)."""
     return {name: _configured(query) for name, query in _QUERIES.items()}
 
@@ -873,7 +873,7 @@ def _late(depth: int, pattern: str, days: int, current: str) -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query."""
     hot_lines = """SELECT CASE WHEN l_returnflag = 'R' THEN -1 ELSE l_orderkey END AS k, l_orderkey, l_linenumber,
      l_partkey, l_extendedprice FROM lineitem"""
@@ -998,3 +998,30 @@ def oracle_sql() -> dict[str, str]:
     for name in ("ingest_txt", "ingest_avro", "ingest_csv", "ingest_json", "ingest_json_gbk"):
         sql[name] = _INGESTED
     return sql
+
+
+# ---------------------------------------------------------------- training-data operators, if present
+
+
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of ``logsilt.llm`` and of the pipeline; nothing where they are not installed."""
+    try:
+        import corpus_pipeline
+        from logsilt.llm import queries as training
+    except ModuleNotFoundError as missing:
+        if (missing.name or "").split(".")[0] == "corpus_pipeline" or (missing.name or "").startswith("logsilt.llm"):
+            return {}, {}
+        raise
+    found, sql = dict(training.QUERIES), dict(training.ORACLE_SQL)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | _training_data()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return core_oracle_sql() | _training_data()[1]

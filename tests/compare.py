@@ -60,7 +60,7 @@ def main(argv: list[str]) -> int:
     from tests.conftest import build_session
 
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    names = argv[2:] or list(entry.queries())
+    names = argv[2:] or list(entry.oracle_sql())
     spark, con = build_session(), duck(sf)
     failed = 0
     for name in names:
