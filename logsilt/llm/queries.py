@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsilt.llm import bpe, chat, packing, topk, warc
+from logsilt.llm import bpe, chat, html, ngram, packing, rules, secrets, topk, warc
 from logsilt.llm.common import scratch_dir, table
 
 
@@ -21,6 +21,14 @@ def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = "<|im_end|><|im_start|>assistant ok"
     extra = F.explode(
@@ -46,6 +54,17 @@ def op8_rank_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "log_perplexity",
+    )
+
+
+def op10_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 _QUANTISED = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
 _USABLE = """embedding IS NOT NULL AND vec_id IS NOT NULL
  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
@@ -81,9 +100,9 @@ ORACLE_SQL = {
 }
 
 QUERIES = {
-    "op1_segment_topk": op1_segment_topk,
-    "op2_warc_bundles": op2_warc_bundles,
-    "op6_chat_format": op6_chat_format,
-    "op7_best_two_fit": op7_best_two_fit,
-    "op8_rank_queue_bpe": op8_rank_queue_bpe,
+    query.__name__: query
+    for query in (
+        op1_segment_topk, op2_warc_bundles, op3_rule_ensemble, op4_entropy_secrets, op6_chat_format,
+        op7_best_two_fit, op8_rank_queue_bpe, op9_ngram_quality, op10_html_tree,
+    )
 }
