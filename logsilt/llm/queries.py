@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsilt.llm import bpe, chat, html, ngram, packing, rules, secrets, topk, warc
+from logsilt.llm import bpe, chat, html, near_dedup, ngram, packing, rules, secrets, topk, warc
 from logsilt.llm.common import scratch_dir, table
 
 
@@ -29,6 +29,10 @@ def op4_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_icws_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = "<|im_end|><|im_start|>assistant ok"
     extra = F.explode(
@@ -102,7 +106,7 @@ ORACLE_SQL = {
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_segment_topk, op2_warc_bundles, op3_rule_ensemble, op4_entropy_secrets, op6_chat_format,
+        op1_segment_topk, op2_warc_bundles, op3_rule_ensemble, op4_entropy_secrets, op5_icws_near_dedup, op6_chat_format,
         op7_best_two_fit, op8_rank_queue_bpe, op9_ngram_quality, op10_html_tree,
     )
 }
