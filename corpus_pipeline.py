@@ -8,10 +8,14 @@ from logsilt.llm import stages
 from logsilt.llm.common import table, written
 
 STAGES = [
+    ("quality classifier", stages.classify_quality),
+    ("quality rules", stages.apply_rules),
+    ("MinHash near-dedup", stages.drop_near_duplicates),
+    ("secret scans", stages.redact_secrets),
     ("best-fit packing", stages.pack),
 ]
 
-# Stages use a trained model, sampling by hash and iteration, which SQL cannot express.
+# Trained models, sampling by hash, iteration and tokens are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 

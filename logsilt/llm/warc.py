@@ -243,7 +243,7 @@ def write_bundles(
 
 
 def _read_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0").select("path", "content")
 
 
 def read_bundles(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
