@@ -37,7 +37,7 @@ LABELS = {
     "error": "错误東",
 }
 
-EVENTS_TEXT_SCHEMA = "event_id bigint, ts string, user_id bigint, event_type string, value double"
+EVENTS_TEXT_SCHEMA = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -51,7 +51,7 @@ def _schema(ddl: str) -> StructType:
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     """Events with their time as text, a form every file format keeps."""
     return _table(spark, sf, "events").select(
-        "event_id", F.date_format("ts", TS_TEXT).alias("ts"), "user_id", "event_type", "value"
+        "event_id", F.date_format("ts", TS_TEXT).alias("ts"), "user_id", "event_type", "value", "props"
     )
 
 
@@ -162,21 +162,21 @@ def read_gbk_json_flat(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def read_gbk_json_typed(spark: SparkSession, sf: str) -> DataFrame:
-    """Half of the records sit in top-level arrays, one array per user."""
-    rows = _labelled(_events(spark, sf)).withColumn(
-        "record",
-        F.to_json(
-            F.struct(
-                "event_id",
-                F.struct(F.col("user_id").alias("id"), "label").alias("who"),
-                F.array("event_type", "label").alias("tags"),
-            )
-        ),
+    """Half of the records sit in top-level arrays, one array of all its records per user."""
+    rows = _labelled(_events(spark, sf)).select(
+        "user_id",
+        "value",
+        F.struct(
+            "event_id",
+            F.struct(F.col("user_id").alias("id"), "label").alias("who"),
+            F.array("event_type", "label").alias("tags"),
+        ).alias("record"),
     )
-    single = rows.where("value < 20").select(F.col("record").alias("value"))
+    single = rows.where("value < 20").select(F.to_json("record").alias("value"))
     paired = (
-        rows.where("NOT coalesce(value < 20, false)")
-        .select(F.concat(F.lit("[ "), "record", F.lit("]")).alias("value"))
+        rows.where("NOT coalesce(value < 20, false)").groupBy("user_id")
+        .agg(F.collect_list("record").alias("records"))
+        .select(F.concat(F.lit(" "), F.to_json("records")).alias("value"))
     )
     path = _write_lines(single.unionByName(paired), scratch_dir(spark, "gbk_typed"), gbk=True)
     schema = _schema("event_id bigint, who struct<id: bigint, label: string>, tags array<string>")
@@ -185,19 +185,27 @@ def read_gbk_json_typed(spark: SparkSession, sf: str) -> DataFrame:
         F.col("who.id").alias("user_id"),
         F.col("who.label").alias("label"),
         F.get("tags", F.lit(0)).alias("first_tag"),
+        F.get("tags", F.lit(1)).alias("second_tag"),
         F.size("tags").alias("n_tags"),
     )
 
 
 def infer_json_schema(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _labelled(_events(spark, sf)).select(
-        _json_value(
-            "event_id",
-            F.struct(F.col("user_id").alias("id"), F.col("label").alias("名称")).alias("who"),
-            F.array("value").alias("readings"),
-            F.when(F.col("event_type") == "view", F.col("event_id").cast("string"))
-            .otherwise(F.col("label")).alias("mixed"),
-        )
+    """Types differ from record to record: numbers widen, a number and a text make a text, a NULL
+    takes any type, and fields that some records lack are there."""
+    rows = _labelled(_events(spark, sf))
+    user = F.struct(F.col("user_id").alias("id"), F.col("label").alias("名称")).alias("who")
+    number = F.struct(
+        "event_id", user, F.array("user_id").alias("readings"), F.col("event_id").alias("mixed"),
+        F.col("user_id").alias("amount"), F.lit(None).cast("boolean").alias("maybe"), F.lit(None).cast("string").alias("never"),
+    )
+    text = F.struct(
+        "event_id", F.struct(F.col("value").alias("extra")).alias("who"), F.array("value").alias("readings"),
+        F.col("label").alias("mixed"), F.col("value").alias("amount"), (F.col("value") > 20).alias("maybe"),
+    )
+    keep = {"ignoreNullFields": "false"}
+    rows = rows.select(
+        F.when(F.col("event_type") == "view", F.to_json(number, keep)).otherwise(F.to_json(text, keep)).alias("value")
     )
     path = _write_lines(rows, scratch_dir(spark, "gbk_infer"), gbk=True)
     schema = sources.infer_json_schema(spark, path, "GBK")
@@ -205,20 +213,22 @@ def infer_json_schema(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def read_paragraph_records(spark: SparkSession, sf: str) -> DataFrame:
+    """A quarter of the records each between blank lines, CRLF ones, lines of spaces, and two blank lines."""
     turns = _table(spark, sf, "conversations")
-    path = _write_lines(
-        turns.select(_json_value(*turns.columns)), scratch_dir(spark, "paragraphs"), separator="\n\n"
-    )
+    root = scratch_dir(spark, "paragraphs")
+    for i, gap in enumerate(("\n\n", "\r\n\r\n", "\n \t\n", "\n\n\n")):
+        part = turns.where(F.col("conv_id") % 4 == i).select(_json_value(*turns.columns))
+        _write_lines(part, f"{root}/{i}", separator=gap)
     ddl = "conv_id bigint, turn bigint, role string, text string"
-    return sources.read_paragraph_records(spark, path, f"from_json(value, '{ddl}') AS r").select("r.*")
+    paths = [f"{root}/{i}" for i in range(4)]
+    return sources.read_paragraph_records(spark, paths, f"from_json(value, '{ddl}') AS r").select("r.*")
 
 
 def read_avro(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "avro")
     sources.write_avro(_table(spark, sf, "embeddings"), path)
-    return sources.read_avro(spark, path).select(
-        "vec_id", "label", F.size("embedding").alias("n"), F.get("embedding", F.lit(0)).cast("double").alias("first")
-    )
+    micros = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1_000_000).cast("string"))
+    return sources.read_avro(spark, path).select("vec_id", "label", F.array_join(micros, ",").alias("micros"))
 
 
 def union_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,8 +242,8 @@ def union_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def read_partition(spark: SparkSession, sf: str) -> DataFrame:
     store, subject = _store(spark, "read_partition"), Subject("web", "events")
-    _registered(spark, store, subject, _events_by(spark, sf, "yyyy/MM"), "yyyy/MM")
-    found = sources.read_partition(spark, store, subject, "2024/01")
+    _registered(spark, store, subject, _events_by(spark, sf, DAY), DAY)
+    found = sources.read_partition(spark, store, subject, "2024/01/15")
     return found.drop("randompath")
 
 
@@ -278,14 +288,16 @@ def write_json(spark: SparkSession, sf: str) -> DataFrame:
     """NULL fields are left out of the written text."""
     path = scratch_dir(spark, "write_json")
     orders = _table(spark, sf, "orders").select(
-        "o_orderkey", "o_totalprice", F.expr("nullif(o_orderpriority, '5-LOW')").alias("priority")
+        "o_orderkey", "o_totalprice", F.expr("nullif(o_orderpriority, '5-LOW')").alias("priority"),
+        F.col("o_orderdate").cast("timestamp").alias("placed"),
     )
     sources.write_json(orders, path)
     lines = spark.read.text(path)
-    record = F.from_json("value", orders.schema)
-    return lines.select(record.alias("r"), F.contains("value", F.lit('"priority"')).alias("has_field")).select(
-        "r.*", "has_field"
-    )
+    record = F.from_json("value", orders.drop("placed").schema)
+    return lines.select(
+        record.alias("r"), F.contains("value", F.lit('"priority"')).alias("has_field"),
+        F.get_json_object("value", "$.placed").alias("placed"),
+    ).select("r.*", "has_field", "placed")
 
 
 def write_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -347,15 +359,11 @@ def struct_field_access(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rows_from_split(spark: SparkSession, sf: str) -> DataFrame:
-    joined = _table(spark, sf, "lineitem").select(
-        fn.split_pipe(
-            F.concat_ws("|", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.lit(""))
-        ).alias("fields")
-    )
-    schema = _schema(
-        "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string, "
-        "l_empty string, l_missing string"
-    )
+    lines = _table(spark, sf, "lineitem")
+    texts = [F.date_format(c, TS_TEXT) if c == "l_shipdate" else F.col(c).cast("string") for c in lines.columns]
+    joined = lines.select(fn.split_pipe(F.concat_ws("|", *texts, F.lit(""))).alias("fields"))
+    fields = [f"{c} {'string' if c == 'l_shipdate' else t}" for c, t in lines.dtypes]
+    schema = _schema(", ".join([*fields, "l_empty string", "l_missing string"]))
     return op.rows_from_array(joined, "fields", schema)
 
 
@@ -513,8 +521,11 @@ def fn_split_pipe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fn_rand_bucket(spark: SparkSession, sf: str) -> DataFrame:
-    events = _table(spark, sf, "events").select("event_id", fn.random_bucket(100).alias("b"))
-    return events.select("event_id", F.col("b").between(0, 99).alias("in_range"))
+    """Every bucket is met, and none far more often than the others."""
+    buckets = _table(spark, sf, "events").select(fn.random_bucket(20).cast("bigint").alias("bucket"))
+    counts = buckets.groupBy("bucket").agg(F.count("*").alias("n"))
+    mean = buckets.agg((F.count("*") / 20).alias("mean"))
+    return counts.join(F.broadcast(mean)).select("bucket", F.col("n").between(F.col("mean") / 4, F.col("mean") * 3).alias("usual"))
 
 
 def fn_decode_gbk(spark: SparkSession, sf: str) -> DataFrame:
@@ -584,9 +595,9 @@ def add_partition(spark: SparkSession, sf: str) -> DataFrame:
     )
     tables.create_external_table(spark, store, subject, orders.drop("year").schema, "yyyy")
     orders.write.partitionBy("year").parquet(store.table_root(subject))
-    for row in orders.select("year").distinct().toLocalIterator():
-        path = f"{store.table_root(subject)}/year={row.year}"
-        tables.add_partition(spark, store, subject, row.year, path)
+    folder = F.concat(F.lit(f"{store.table_root(subject)}/year="), "year")
+    found = orders.select("year", F.concat(F.lit("year="), "year"), folder).distinct()
+    tables.add_partitions(spark, store, subject, (tuple(r) for r in found.toLocalIterator()))
     return spark.table(store.table_name(subject)).drop("randompath")
 
 
@@ -645,10 +656,23 @@ def rule_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields and Spark types of the newest Avro schema of every event type; versions differ in a name."""
+    version = F.col("event_id")
+    parts = (
+        '{"type":"record","name":"r","namespace":"web","fields":[{"name":"v', version % 7, '","type":["null","int"]},'
+        '{"name":"at","type":{"type":"long","logicalType":"timestamp-millis"}},'
+        '{"name":"kind","type":{"type":"enum","name":"K","symbols":["A"]}},{"name":"was","type":"web.K"}]}',
+    )
+    text = F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
     schemas = _table(spark, sf, "events").select(
-        F.col("event_type").alias("subject"), F.col("event_id").alias("version"), F.col("props").alias("schema")
+        F.col("event_type").alias("subject"), version.alias("version"), text.alias("schema")
     )
-    return registry.latest_schema(schemas)
+    rows = [
+        (row.subject, row.version, field.name, field.dataType.simpleString())
+        for row in registry.latest_schema(schemas).toLocalIterator()
+        for field in registry.struct_from_avro(spark, row.schema)
+    ]
+    return spark.createDataFrame(rows, "subject string, version bigint, field string, type string")
 
 
 # ---------------------------------------------------------------- pipelines
@@ -696,7 +720,7 @@ def _ingest_as(file_type: str, write: Callable[[DataFrame, str], None]):
             frame = plans.read_batch(spark, file_type, path, _schema(EVENTS_TEXT_SCHEMA))
             plans.ingest(spark, store, _RULE, frame, now=NOW)
         return _landed_table(spark, store).select(
-            "event_id", "ts", "user_id", "event_type", "value",
+            "event_id", "ts", "user_id", "event_type", "value", "props",
             "header.logMatchValue", "header.logUpdateTime", "year", "month", "day",
         )
 
@@ -748,7 +772,7 @@ def ingest_td(spark: SparkSession, sf: str) -> DataFrame:
     ddl = "header struct<hashcode: string, time: string>, event_id bigint"
     path = scratch_dir(spark, "batch_td")
     _write_lines(events.select(_json_value(*events.columns)), path, separator="\n\n")
-    records = sources.read_paragraph_records(spark, path, f"from_json(value, '{ddl}') AS r").select("r.*")
+    records = plans.read_batch(spark, "td", path, record_exprs=[f"inline(array(from_json(value, '{ddl}')))"])
     plans.ingest(spark, store, rule, records, now=NOW)
     return _landed_table(spark, store).select(
         "event_id", "header.hashcode", "header.logMatchValue", "year", "month", "day", "hour"
@@ -802,7 +826,70 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
         lines = spark.readStream.option("recursiveFileLookup", True).text(inbox)
         parsed = sources.parse_json_lines(lines, _schema(EVENTS_TEXT_SCHEMA))
         start_online(parsed, store, _RULE, checkpoint).awaitTermination()
-    return _landed_table(spark, store).select("event_id", "ts", "user_id", "event_type", "value", "year", "month", "day")
+    return _landed_table(spark, store).select(
+        "event_id", "ts", "user_id", "event_type", "value", "props", "year", "month", "day"
+    )
+
+
+def offline_merge_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that is a join of three tables."""
+    store = _store(spark, "offline_joined")
+    lines, orders, customers = (_table(spark, sf, n) for n in ("lineitem", "orders", "customer"))
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        customers, F.col("o_custkey") == F.col("c_custkey")
+    ).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "c_mktsegment")
+    batch = op.expand_flat(joined, "concat_ws('-', l_partkey, l_suppkey)", "date_format(l_shipdate, 'yyyy/MM')", now=NOW)
+    rule = Rule("shop.lines", "x", "x", "yyyy/MM", files=2, order_by=("l_orderkey", "l_linenumber"))
+    plans.offline_merge(spark, store, rule, batch.drop("l_shipdate"))
+    return spark.table(store.table_name(Subject.parse(rule.subject))).drop("randompath", "logUpdateTime")
+
+
+def _land(spark: SparkSession, store: Store, batch: DataFrame) -> None:
+    plans.ingest(spark, store, _RULE, batch, now=NOW, stage=False)
+
+
+def _landed_events(spark: SparkSession, store: Store) -> DataFrame:
+    return _landed_table(spark, store).select(
+        "event_id", "ts", "user_id", "event_type", "value", "props", "year", "month", "day"
+    )
+
+
+def drop_then_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """What two dropped days held does not come back with the next batch."""
+    store = _store(spark, "drop_then_ingest")
+    morning, later = _two_batches(spark, sf)
+    _land(spark, store, morning)
+    for day in ("01", "02"):
+        tables.drop_partition(spark, store, Subject.parse(_RULE.subject), f"year=2024/month=01/day={day}")
+    _land(spark, store, later)
+    return _landed_events(spark, store)
+
+
+def drop_table_then_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    store = _store(spark, "drop_table_then_ingest")
+    morning, later = _two_batches(spark, sf)
+    _land(spark, store, morning)
+    tables.drop_table(spark, store, Subject.parse(_RULE.subject))
+    _land(spark, store, later)
+    return _landed_events(spark, store)
+
+
+def ingest_damaged(spark: SparkSession, sf: str) -> DataFrame:
+    """A file with damaged lines, landed twice: the sound rows once, the damaged lines once, as text."""
+    store = _store(spark, "damaged")
+    path = _write_lines(_damaged_orders(spark, sf), scratch_dir(spark, "batch_damaged"))
+    rule = Rule("shop.orders", "o_orderkey", "date_format(timestamp_seconds(coalesce(o_orderkey, 0)), 'yyyy')", "yyyy", files=1)
+    for _ in range(2):
+        batch = plans.read_batch(spark, "json", path, _schema("o_orderkey bigint, o_totalprice double"))
+        landed = plans.ingest(spark, store, rule, batch, now=NOW, run="only")
+    sound = spark.table(store.table_name(Subject.parse(rule.subject))).select(
+        "o_orderkey", "o_totalprice", F.lit(None).cast("string").alias("status"), F.lit(None).cast("double").alias("price")
+    )
+    damaged = spark.read.parquet(landed.rejects).select(
+        "o_orderkey", "o_totalprice", F.get_json_object("_malformed", "$.o_orderkey").alias("status"),
+        F.get_json_object("_malformed", "$.o_totalprice").cast("double").alias("price"),
+    )
+    return sound.unionByName(damaged)
 
 
 # ---------------------------------------------------------------- contract
@@ -831,6 +918,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partition_ledger, ledger_due, rule_lookup, latest_schema,
         ingest_merge, ingest_avro, ingest_td, offline_merge, rerun_adds_nothing, compact_partition,
         distinct_update_times, ingest_stream,
+        offline_merge_joined, drop_then_ingest, drop_table_then_ingest, ingest_damaged,
     )
 }
 _QUERIES["ingest_txt"] = _ingest_as("txt", _write_pipe)
@@ -851,16 +939,16 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # The same shapes in SQL.
 _TS = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts"
 _YMD = "strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day"
-_EVENTS = f"SELECT event_id, {_TS}, user_id, event_type, value FROM events"
-_EVENTS_YMD = f"SELECT event_id, {_TS}, user_id, event_type, value, {_YMD} FROM events"
+_EVENTS = f"SELECT event_id, {_TS}, user_id, event_type, value, props FROM events"
+_EVENTS_YMD = f"SELECT event_id, {_TS}, user_id, event_type, value, props, {_YMD} FROM events"
 _KEYED = """SELECT event_id, user_id, event_type, ts,
  user_id || '-' || event_type AS match_value, strftime(ts, '%Y/%m/%d') AS action_time FROM events"""
 _LABEL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items()) + " ELSE event_type END"
 # both batches landed: the stored (morning) row of a key wins, then the newest
 _LANDED = f"""SELECT * FROM ({_KEYED}) QUALIFY row_number() OVER (PARTITION BY action_time, match_value
  ORDER BY extract(hour FROM ts) >= 8, ts DESC, event_id DESC) = 1"""
-_LANDED = _LANDED.replace("FROM events", ", value FROM events")
-_INGESTED = f"""SELECT event_id, {_TS}, user_id, event_type, value, match_value AS "logMatchValue",
+_LANDED = _LANDED.replace("FROM events", ", value, props FROM events")
+_INGESTED = f"""SELECT event_id, {_TS}, user_id, event_type, value, props, match_value AS "logMatchValue",
  CAST({NOW} AS BIGINT) AS "logUpdateTime", {_YMD} FROM ({_LANDED})"""
 
 
@@ -888,22 +976,24 @@ def core_oracle_sql() -> dict[str, str]:
         "read_json_typed": "SELECT * FROM pages",
         "read_gbk_json_flat": f"SELECT {_LABEL} AS label, event_id, user_id, value, CAST(NULL AS VARCHAR) AS absent FROM events",
         "read_gbk_json_typed": f"""SELECT event_id, user_id, {_LABEL} AS label, event_type AS first_tag,
-         CAST(2 AS INTEGER) AS n_tags FROM events""",
-        "infer_json_schema": """SELECT * FROM (VALUES ('event_id', 'bigint'), ('mixed', 'string'),
-         ('readings', 'array<double>'), ('who', 'struct<id:bigint,名称:string>'), ('who.id', 'bigint'),
-         ('who.名称', 'string')) v(path, type) WHERE (SELECT count(*) FROM events) > 0""",
+         {_LABEL} AS second_tag, CAST(2 AS INTEGER) AS n_tags FROM events""",
+        "infer_json_schema": """SELECT * FROM (VALUES ('event_id', 'bigint'), ('mixed', 'string'), ('amount', 'double'),
+         ('maybe', 'boolean'), ('never', 'string'), ('readings', 'array<double>'),
+         ('who', 'struct<extra:double,id:bigint,名称:string>'), ('who.extra', 'double'), ('who.id', 'bigint'),
+         ('who.名称', 'string')) v(path, type)
+         WHERE (SELECT count(DISTINCT event_type = 'view') FROM events) = 2""",
         "read_paragraph_records": "SELECT * FROM conversations",
-        "read_avro": """SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n,
-         CAST(embedding[1] AS DOUBLE) AS first FROM embeddings""",
+        "read_avro": """SELECT vec_id, label, array_to_string(list_transform(embedding,
+         lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ',') AS micros FROM embeddings""",
         "write_avro": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_ms(o_orderdate) AS o_orderdate,
          o_orderpriority, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price FROM orders""",
         "union_files": _EVENTS,
-        "read_partition": f"SELECT event_id, {_TS}, user_id, event_type, value, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month FROM events WHERE strftime(ts, '%Y/%m') = '2024/01'",
+        "read_partition": _EVENTS_YMD + " WHERE strftime(ts, '%Y/%m/%d') = '2024/01/15'",
         "read_glob": _EVENTS,
         "write_partition_parquet": _EVENTS_YMD.replace(" FROM events", ", true AS within_files FROM events"),
         "write_backup_parquet": "SELECT * EXCLUDE (o_orderdate), strftime(o_orderdate, '%Y') AS year FROM orders",
         "write_json": """SELECT o_orderkey, o_totalprice, nullif(o_orderpriority, '5-LOW') AS priority,
-         o_orderpriority <> '5-LOW' AS has_field FROM orders""",
+         o_orderpriority <> '5-LOW' AS has_field, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS placed FROM orders""",
         "write_text": "SELECT c_name AS value FROM customer",
         "expand_flat": f"""SELECT event_id, user_id, event_type, value, props, CAST({NOW} AS BIGINT) AS "logUpdateTime",
          user_id || '-' || event_type AS "logMatchValue", strftime(ts, '%Y/%m/%d') AS "logActionTime" FROM events""",
@@ -915,7 +1005,7 @@ def core_oracle_sql() -> dict[str, str]:
          l_extendedprice * (1 - l_discount) AS net FROM lineitem""",
         "drop_columns": "SELECT * EXCLUDE (p_type, p_retailprice) FROM part",
         "struct_field_access": "SELECT user_id AS match_value, event_id FROM events",
-        "rows_from_split": """SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, '' AS l_empty,
+        "rows_from_split": """SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate), '' AS l_empty,
          CAST(NULL AS VARCHAR) AS l_missing FROM lineitem""",
         "filter_action_time": f"SELECT * EXCLUDE (ts) FROM ({_KEYED}) WHERE action_time = '2024/01/15'",
         "filter_top_row": """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem QUALIFY row_number() OVER
@@ -951,7 +1041,7 @@ def core_oracle_sql() -> dict[str, str]:
          CAST(NULL AS BIGINT) AS unreadable FROM orders""",
         "fn_split_pipe": """SELECT p_partkey, p_name AS first, p_type AS third, CAST(4 AS INTEGER) AS n,
          CAST(3 AS INTEGER) AS n_trimmed FROM part""",
-        "fn_rand_bucket": "SELECT event_id, true AS in_range FROM events",
+        "fn_rand_bucket": "SELECT range AS bucket, true AS usual FROM range(20) WHERE (SELECT count(*) FROM events) > 0",
         "fn_decode_gbk": f"""SELECT event_id, {_LABEL} AS decoded,
          CAST(2 * length({_LABEL}) AS INTEGER) AS n_bytes FROM events""",
         "fn_json_map": """SELECT event_id, json_extract_string(props, '$.k') AS k,
@@ -980,8 +1070,10 @@ def core_oracle_sql() -> dict[str, str]:
          WHERE o_orderstatus <> 'F' GROUP BY partition HAVING count(*) >= 10""",
         "rule_lookup": """SELECT event_type AS subject, event_id AS rule_id, user_id AS files FROM events
          QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id) = 1""",
-        "latest_schema": """SELECT event_type AS subject, event_id AS version, props AS schema FROM events
-         QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) = 1""",
+        "latest_schema": """SELECT subject, version, f.field, f.type FROM (SELECT event_type AS subject, event_id AS version,
+         unnest([{'field': 'v' || (event_id % 7), 'type': 'int'}, {'field': 'at', 'type': 'timestamp'},
+         {'field': 'kind', 'type': 'string'}, {'field': 'was', 'type': 'string'}]) AS f FROM events
+         QUALIFY dense_rank() OVER (PARTITION BY event_type ORDER BY event_id DESC) = 1)""",
         "ingest_merge": f"""SELECT * EXCLUDE (ts) FROM (SELECT b.* FROM (SELECT * FROM ({_KEYED}) WHERE extract(hour FROM ts) >= 8
          QUALIFY row_number() OVER (PARTITION BY action_time, match_value ORDER BY ts DESC, event_id DESC) = 1) b
          LEFT JOIN (SELECT DISTINCT action_time, match_value FROM ({_KEYED}) WHERE extract(hour FROM ts) < 8) s
@@ -993,7 +1085,20 @@ def core_oracle_sql() -> dict[str, str]:
         "rerun_adds_nothing": f"""SELECT {_YMD}, count(DISTINCT match_value) AS n FROM ({_KEYED}) GROUP BY 1, 2, 3""",
         "compact_partition": _EVENTS_YMD.replace(" FROM events", ", CAST(1 AS BIGINT) AS folders FROM events"),
         "distinct_update_times": f"SELECT DISTINCT CAST({NOW} + user_id AS VARCHAR) AS value FROM events",
-        "ingest_stream": f"SELECT event_id, {_TS}, user_id, event_type, value, {_YMD} FROM ({_LANDED})",
+        "ingest_stream": f"SELECT event_id, {_TS}, user_id, event_type, value, props, {_YMD} FROM ({_LANDED})",
+        "offline_merge_joined": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, c_mktsegment,
+         l_partkey || '-' || l_suppkey AS "logMatchValue", strftime(l_shipdate, '%Y') AS year, strftime(l_shipdate, '%m') AS month
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+         QUALIFY row_number() OVER (PARTITION BY strftime(l_shipdate, '%Y/%m'), l_partkey, l_suppkey
+         ORDER BY l_orderkey DESC, l_linenumber DESC) = 1""",
+        "drop_then_ingest": f"SELECT event_id, {_TS}, user_id, event_type, value, props, {_YMD} FROM ("
+        + _LANDED.replace("FROM events", "FROM events WHERE NOT (extract(hour FROM ts) < 8 AND strftime(ts, '%Y/%m/%d') IN ('2024/01/01', '2024/01/02'))")
+        + ")",
+        "drop_table_then_ingest": f"SELECT event_id, {_TS}, user_id, event_type, value, props, {_YMD} FROM ("
+        + _LANDED.replace("FROM events", "FROM events WHERE extract(hour FROM ts) >= 8") + ")",
+        "ingest_damaged": """SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS DOUBLE) AS price
+         FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT NULL, NULL, o_orderstatus, o_totalprice FROM orders
+         WHERE o_orderstatus = 'O'""",
     }
     for name in ("ingest_txt", "ingest_avro", "ingest_csv", "ingest_json", "ingest_json_gbk"):
         sql[name] = _INGESTED

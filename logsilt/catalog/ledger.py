@@ -16,9 +16,11 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from logsilt.layout import RANDOM_KEY, TIME_KEYS, Store, Subject
 from logsilt.operators.dedup import dedup_latest
-from logsilt.session import delete_path, path_exists
+from logsilt.session import child_folders, delete_path, path_exists, touch
 
 ADD, DELETE = "add", "delete"
+# An empty file beside a ledger file, there once the catalog has its changes.
+_SYNCED = "_synced"
 
 LEDGER_SCHEMA = StructType(
     [
@@ -42,29 +44,64 @@ def record(store: Store, subject: Subject, events: DataFrame) -> str:
 
 
 def _append(store: Store, subject: Subject, stamped: DataFrame) -> str:
-    target = f"{store.ledger_root()}/subject={subject}/batch={uuid.uuid4().hex}"
+    target = f"{_folder(store, subject)}/batch={uuid.uuid4().hex}"
     stamped.repartition(1).write.parquet(target)
     return target
 
 
+def _folder(store: Store, subject: Subject) -> str:
+    return f"{store.ledger_root()}/subject={subject}"
+
+
+def batches(spark: SparkSession, store: Store, subject: Subject) -> list[str]:
+    """Folders of a subject's ledger files, by listing."""
+    return child_folders(spark, f"{_folder(store, subject)}/batch=*")
+
+
+def unsynced(spark: SparkSession, store: Store, subject: Subject) -> list[str]:
+    """Ledger files whose changes have not reached the catalog: one after a stopped run, else none."""
+    done = {p.rsplit("/", 1)[0] for p in child_folders(spark, f"{_folder(store, subject)}/batch=*/{_SYNCED}", True)}
+    return [p for p in batches(spark, store, subject) if p not in done]
+
+
+def mark_synced(spark: SparkSession, batch: str) -> None:
+    touch(spark, f"{batch}/{_SYNCED}")
+
+
+def forget(spark: SparkSession, store: Store, subject: Subject) -> None:
+    """Remove all that the ledger holds about a subject."""
+    delete_path(spark, _folder(store, subject))
+
+
 def newest_events(events: DataFrame) -> DataFrame:
     """The newest event of every folder."""
     return dedup_latest(events, ["subject", "path"], ["seq", "op"])
 
 
 def roll_up(spark: SparkSession, store: Store, subject: Subject) -> None:
-    """Fold a subject's ledger files into one that holds the newest event of every folder.
+    """Fold a subject's ledger files into one folder that holds the newest event of every folder.
 
-    Deletes are kept: an older file that outlives a stopped run must not bring a folder back. Run by
-    the subject's one writer; a reader that has just listed the old files has to list again.
+    A delete is kept as long as some file still holds the add it undoes: such a file may outlive a
+    stopped run and must not bring the folder back. The next roll-up drops it. Run by the subject's
+    one writer; a reader that has just listed the old files has to list again.
     """
-    events = ledger_events(spark, store, subject)
-    old = [r.batch for r in events.select("batch").distinct().collect()]
+    old = batches(spark, store, subject)
     if len(old) < 2:
         return
-    _append(store, subject, newest_events(events).select(*_EVENT_COLUMNS))
+    pending = unsynced(spark, store, subject)
+    events = ledger_events(spark, store, subject)
+    newest = newest_events(events)
+    added = events.where(F.col("op") == ADD).select("path").distinct()
+    kept = newest.where(F.col("op") == ADD).unionByName(
+        newest.where(F.col("op") == DELETE).join(added, "path", "left_semi").select(*newest.columns)
+    )
+    # not one file: it repeats what the old files say, so a part of it shows nothing new
+    target = f"{_folder(store, subject)}/batch={uuid.uuid4().hex}"
+    kept.select(*_EVENT_COLUMNS).write.parquet(target)
+    if not pending:
+        mark_synced(spark, target)
     for batch in old:
-        delete_path(spark, f"{store.ledger_root()}/subject={subject}/batch={batch}")
+        delete_path(spark, batch)
 
 
 def ledger_events(spark: SparkSession, store: Store, subject: Subject | None = None) -> DataFrame:
@@ -101,16 +138,11 @@ def spec_column(partition: str = "partition", random_key: str = RANDOM_KEY) -> C
 def written_events(
     spark: SparkSession, folder: str, folder_id: str, keys: list[str]
 ) -> DataFrame:
-    """Add events for every partition found in a written folder.
-
-    Only partition values are read, which come from the folder names.
-    """
-    schema = StructType([StructField(k, StringType()) for k in keys])
-    found = spark.read.schema(schema).parquet(folder).select(*keys).distinct()
-    spec = F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.col(k)) for k in keys])
-    return found.select(
-        F.concat_ws("/", *keys).alias("partition"),
-        F.lit(folder_id).alias(RANDOM_KEY),
-        F.concat(F.lit(f"{folder}/"), spec).alias("path"),
-        F.lit(ADD).alias("op"),
-    )
+    """Add events for every partition found in a written folder, by listing its folders alone."""
+    found = child_folders(spark, "/".join([folder, *[f"{k}=*" for k in keys]]))
+    rows = []
+    for path in found:
+        names = path.rsplit("/", len(keys))[1:]
+        partition = "/".join(name.split("=", 1)[1] for name in names)
+        rows.append((partition, folder_id, "/".join([folder, *names]), ADD))
+    return spark.createDataFrame(rows, f"partition string, {RANDOM_KEY} string, path string, op string")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from logsilt.catalog.avro_schema import struct_from_avro
 from logsilt.layout import Rule
 from logsilt.operators.dedup import dedup_latest
 
@@ -44,4 +46,22 @@ def load_schema(schemas: DataFrame, subject: str) -> StructType:
     row = latest_schema(schemas.where(F.col("subject") == subject)).first()
     if row is None:
         raise LookupError(f"no schema for subject {subject}")
-    return struct_from_avro(row["schema"])
+    return struct_from_avro(schemas.sparkSession, row["schema"])
+
+
+def struct_from_avro(spark: SparkSession, text: str) -> StructType:
+    """The Spark schema of an Avro record schema given as JSON text, by Spark's own converter.
+
+    So a subject has the same types whether its batches come as Avro or are read by this schema,
+    logical types (dates, timestamps, decimals) included.
+    """
+    jvm = spark._jvm
+    try:
+        parsed = getattr(jvm.org.apache.avro, "Schema$Parser")().parse(text)
+        converters = getattr(jvm.org.apache.spark.sql.avro, "SchemaConverters$")
+        kind = json.loads(getattr(converters, "MODULE$").toSqlType(parsed).dataType().json())
+    except Py4JJavaError as error:
+        raise ValueError(f"not an Avro schema: {error.java_exception.getMessage()}") from error
+    if not isinstance(kind, dict) or kind.get("type") != "struct":
+        raise ValueError("the schema of a subject must be an Avro record")
+    return StructType.fromJson(kind)

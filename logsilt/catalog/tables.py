@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
-from functools import reduce
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from logsilt.catalog import ledger
 from logsilt.catalog.ledger import ADD, DELETE, ledger_events, newest_events, record, spec_column
 from logsilt.layout import RANDOM_KEY, TIME_KEYS, Store, Subject, partition_keys, quoted
 from logsilt.session import delete_path
 
 # Partitions named in one ALTER TABLE statement.
 _PER_STATEMENT = 200
-# Beyond so many years a table's partitions are listed whole instead of year by year.
-_MOST_YEARS = 20
 
 
 def _literal(text: str) -> str:
@@ -77,7 +75,8 @@ def _extend(spark: SparkSession, table: str, schema: StructType) -> None:
 
 
 def drop_table(spark: SparkSession, store: Store, subject: Subject, data: bool = True) -> None:
-    """Drop the table, and with ``data`` its folders too."""
+    """Drop the table and forget its ledger, and with ``data`` delete its folders too."""
+    ledger.forget(spark, store, subject)
     spark.sql(f"DROP TABLE IF EXISTS {store.table_name(subject)}")
     if data:
         delete_path(spark, store.table_root(subject))
@@ -120,33 +119,51 @@ def drop_partitions(
 
 
 def drop_partition(
-    spark: SparkSession, store: Store, subject: Subject, spec: str, path: str | None = None
+    spark: SparkSession,
+    store: Store,
+    subject: Subject,
+    spec: str,
+    path: str | None = None,
+    data: bool = True,
 ) -> None:
-    """Unregister a partition and, given its folder, delete the data.
+    """Remove a partition from ledger and catalog, and with ``data`` delete its folders.
 
-    A prefix such as ``year=2024/month=01`` unregisters everything below it.
+    A prefix such as ``year=2024/month=01`` removes everything below it; with
+    ``.../randompath=<id>`` one folder goes. The ledger comes first, so that no later run brings the
+    partition back. ``path`` is a folder to delete that the ledger may not know.
     """
-    name = F.col("spec")
-    below = partitions(spark, store, subject).where(
-        (name == spec) | name.startswith(f"{spec.rstrip('/')}/")
+    values = dict(part.split("=", 1) for part in spec.strip("/").split("/"))
+    folder_id = values.pop(RANDOM_KEY, None)
+    action_time = "/".join(values.values())
+    partition = F.col("partition")
+    live = ledger.live_folders(
+        ledger_events(spark, store, subject).where(
+            (partition == action_time) | partition.startswith(f"{action_time}/")
+        )
     )
-    drop_partitions(spark, store, subject, (r.spec for r in below.repartition(1).toLocalIterator()))
+    if folder_id is not None:
+        live = live.where(F.col(RANDOM_KEY) == folder_id)
+    removed = live.select("partition", RANDOM_KEY, "path", F.lit(DELETE).alias("op"))
+    entry = None if removed.isEmpty() else record(store, subject, removed)
+    shown = partitions(spark, store, subject, spec)
+    drop_partitions(spark, store, subject, (r.spec for r in shown.toLocalIterator()))
+    if entry:
+        ledger.mark_synced(spark, entry)
+        if data:
+            for row in spark.read.parquet(entry).select("path").toLocalIterator():
+                delete_path(spark, row.path)
     if path:
         delete_path(spark, path)
 
 
 def partitions(
-    spark: SparkSession, store: Store, subject: Subject, years: Sequence[str] | None = None
+    spark: SparkSession, store: Store, subject: Subject, spec: str | None = None
 ) -> DataFrame:
-    """Registered partitions, one row each, as column ``spec``; of some years only, if given."""
+    """Registered partitions, one row each, as column ``spec``; of one (partial) spec only, if given."""
     show = f"SHOW PARTITIONS {store.table_name(subject)}"
-    if years is None:
-        shown = spark.sql(show)
-    else:
-        shown = reduce(
-            DataFrame.unionAll, [spark.sql(f"{show} {_spec([(TIME_KEYS[0], y)])}") for y in years]
-        )
-    return shown.select(F.col("partition").alias("spec"))
+    if spec:
+        show += " " + _spec([tuple(part.split("=", 1)) for part in spec.strip("/").split("/")])
+    return spark.sql(show).select(F.col("partition").alias("spec"))
 
 
 def existing_action_times(spark: SparkSession, store: Store, subject: Subject) -> DataFrame:
@@ -162,59 +179,64 @@ def existing_action_times(spark: SparkSession, store: Store, subject: Subject) -
 def partition_exists(
     spark: SparkSession, store: Store, subject: Subject, action_time: str
 ) -> bool:
-    known = existing_action_times(spark, store, subject)
-    return not known.where(F.col("action_time") == action_time).isEmpty()
+    """Whether a partition has a registered folder; asks for that partition only."""
+    spec = "/".join(f"{k}={v}" for k, v in zip(TIME_KEYS, action_time.split("/")))
+    return not partitions(spark, store, subject, spec).isEmpty()
 
 
-def sync_with_ledger(
-    spark: SparkSession, store: Store, subject: Subject, touched: Sequence[str] | None = None
-) -> None:
-    """Make the catalog follow the ledger: show live folders, hide deleted ones.
+def sync_with_ledger(spark: SparkSession, store: Store, subject: Subject) -> None:
+    """Bring what the ledger has recorded since the last time to the catalog.
 
-    Partitions the ledger has never heard of are left alone. Only the differences reach the driver, a batch at a time. Safe to repeat, so it also repairs a
-    run that stopped between its ledger entry and its catalog calls. File listings the session may
-    have cached are dropped. With ``touched`` action times only their years are looked at.
+    Only the folders named in ledger files without a mark are looked at, each by its newest event,
+    and go to the catalog a batch at a time. Safe to repeat, so it also repairs a run that stopped
+    between its ledger entry and its catalog calls. File listings the session may have cached are
+    dropped.
     """
     spark.catalog.refreshTable(store.table_name(subject))
+    pending = ledger.unsynced(spark, store, subject)
+    if not pending:
+        return
     events = ledger_events(spark, store, subject)
-    years = None if touched is None else sorted({t.split("/")[0] for t in touched})
-    if years is not None and len(years) <= _MOST_YEARS:
-        events = events.where(F.substring_index("partition", "/", 1).isin(years))
-    else:
-        years = None
-    known = newest_events(events).withColumn("spec", spec_column())
-    live, dead = known.where(F.col("op") == ADD), known.where(F.col("op") == DELETE)
-    shown = partitions(spark, store, subject, years)
-    missing = live.join(shown, "spec", "left_anti").select("partition", RANDOM_KEY, "path")
-    stale = shown.join(dead, "spec", "left_semi").select("spec")
+    fresh = events.where(F.col("batch").isin([p.rsplit("=", 1)[1] for p in pending]))
+    known = newest_events(events.join(fresh.select("path").distinct(), "path", "left_semi"))
     # one task each: a local iterator runs a job per task, and this is a few rows of metadata
-    added = (tuple(r) for r in missing.repartition(1).toLocalIterator())
-    add_partitions(spark, store, subject, added)
-    drop_partitions(spark, store, subject, (r.spec for r in stale.repartition(1).toLocalIterator()))
+    live = known.where(F.col("op") == ADD).select("partition", RANDOM_KEY, "path").repartition(1)
+    dead = known.where(F.col("op") == DELETE).select(spec_column().alias("spec")).repartition(1)
+    add_partitions(spark, store, subject, (tuple(r) for r in live.toLocalIterator()))
+    drop_partitions(spark, store, subject, (r.spec for r in dead.toLocalIterator()))
+    for batch in pending:
+        ledger.mark_synced(spark, batch)
 
 
 def _folder_event(
-    spark: SparkSession, partition: str, path: str, op: str
-) -> tuple[str, DataFrame]:
-    folder_id = path.rstrip("/").split("/")[-1]
+    spark: SparkSession, partition: str, folder_id: str, path: str, op: str
+) -> DataFrame:
     columns = f"partition string, {RANDOM_KEY} string, path string, op string"
-    return folder_id, spark.createDataFrame([(partition, folder_id, path, op)], columns)
+    return spark.createDataFrame([(partition, folder_id, path, op)], columns)
 
 
 def register_folder(
     spark: SparkSession, store: Store, subject: Subject, partition: str, path: str
 ) -> None:
     """Enter a folder that is there already in ledger and catalog; its id is its own name."""
-    _, event = _folder_event(spark, partition, path, ADD)
-    record(store, subject, event)
+    folder_id = path.rstrip("/").split("/")[-1]
+    entry = record(store, subject, _folder_event(spark, partition, folder_id, path, ADD))
     add_partition(spark, store, subject, partition, path)
+    ledger.mark_synced(spark, entry)
 
 
 def unregister_folder(
     spark: SparkSession, store: Store, subject: Subject, partition: str, path: str
 ) -> None:
-    """Take such a folder out of ledger and catalog, and delete its data."""
-    folder_id, event = _folder_event(spark, partition, path, DELETE)
-    record(store, subject, event)
-    keys = "/".join(f"{k}={v}" for k, v in zip(TIME_KEYS, partition.split("/")))
-    drop_partition(spark, store, subject, f"{keys}/{RANDOM_KEY}={folder_id}", path)
+    """Take a folder out of ledger and catalog, and delete its data.
+
+    Its id is the one the ledger has for the path, or else its own name.
+    """
+    known = ledger_events(spark, store, subject).where(F.col("path") == path)
+    row = ledger.live_folders(known).first()
+    folder_id = row[RANDOM_KEY] if row else path.rstrip("/").split("/")[-1]
+    entry = record(store, subject, _folder_event(spark, partition, folder_id, path, DELETE))
+    values = [*zip(TIME_KEYS, partition.split("/")), (RANDOM_KEY, folder_id)]
+    drop_partitions(spark, store, subject, ["/".join(f"{k}={v}" for k, v in values)])
+    ledger.mark_synced(spark, entry)
+    delete_path(spark, path)

@@ -6,6 +6,7 @@ large share of the input sends at most one row per map task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,13 +37,13 @@ def dedup_latest(
 ) -> DataFrame:
     """The first row per key in the given order.
 
-    A plain column name sorts descending (newest first); SQL like ``"ts ASC"`` or a ``Column`` is
-    taken as it is. Spark plans a top-1 group limit on both sides of the shuffle for this form.
+    A plain column name sorts descending (newest first); SQL like ``"ts ASC NULLS LAST"`` or a
+    ``Column`` is taken as it is. Spark plans a top-1 group limit on both sides of the shuffle for this form.
     """
     if not order_by:
         raise ValueError("order_by must name at least one column")
     keyed, names, added = _with_keys(df, keys)
-    window = Window.partitionBy(*names).orderBy(*[_descending(o) for o in order_by])
+    window = Window.partitionBy(*names).orderBy(*[_ordering(o) for o in order_by])
     return (
         keyed.withColumn(_RANK, F.row_number().over(window))
         .where(F.col(_RANK) == 1)
@@ -50,14 +51,15 @@ def dedup_latest(
     )
 
 
-def _descending(order: str | Column) -> Column:
+_ORDER = re.compile(r"(?is)^(.+?)(?:\s+(ASC|DESC))?(?:\s+NULLS\s+(FIRST|LAST))?$")
+
+
+def _ordering(order: str | Column) -> Column:
     if isinstance(order, Column):
         return order
-    words = order.strip().rsplit(None, 1)
-    if len(words) == 2 and words[1].upper() in ("ASC", "DESC"):
-        column = F.expr(words[0])
-        return column.asc() if words[1].upper() == "ASC" else column.desc()
-    return F.expr(order).desc()
+    expr, way, nulls = _ORDER.match(order.strip()).groups()
+    name = f"{(way or 'desc').lower()}{f'_nulls_{nulls.lower()}' if nulls else ''}"
+    return getattr(F.expr(expr), name)()
 
 
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:

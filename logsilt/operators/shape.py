@@ -117,9 +117,16 @@ def filter_action_time(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.where(F.col(column) == value)
 
 
-def with_partition_keys(df: DataFrame, action_time: str, rule: str) -> DataFrame:
-    """Replace the action time by the table's time keys; NULL keys mark rows that do not fit."""
+def with_partition_keys(
+    df: DataFrame, action_time: str, rule: str, taken_prefix: str | None = None
+) -> DataFrame:
+    """Replace the action time by the table's time keys; NULL keys mark rows that do not fit.
+
+    A column that has the name of a key is an error, or with ``taken_prefix`` gets that in front.
+    """
     keys = partition_keys(rule)
+    if taken_prefix:
+        df = df.withColumnsRenamed({c: taken_prefix + c for c in df.columns if c.lower() in keys})
     body = [c for c in df.columns if c != action_time]
     taken = sorted(c for c in body if c.lower() in keys)
     if taken:

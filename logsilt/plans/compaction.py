@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 from logsilt.catalog import ledger, tables
 from logsilt.catalog.registry import load_rule
 from logsilt.layout import RANDOM_KEY, Store, Subject, time_keys
-from logsilt.plans.landing import prune_partitions
-from logsilt.session import delete_path, planned_bytes, sized_for
+from logsilt.session import delete_path, scratch_dir
 from logsilt.sources.sinks import write_id, write_partition_parquet
 
-# Folders handled in one round; bounds what the driver holds, not what gets compacted.
-FOLDERS_PER_ROUND = 10_000
 _DELETE_THREADS = 16
 
 
@@ -29,78 +26,66 @@ def compact(
     partitions: Sequence[str] | None = None,
     min_folders: int = 2,
 ) -> int:
-    """Rewrite each partition's live folders as one folder of at most ``files`` files.
-
-    Without ``partitions`` every partition that has ``min_folders`` live folders is taken. Rows are
-    kept as they are: nothing is deduplicated. One ledger entry swaps the folders, so ledger readers
-    see either the old or the new ones; the catalog follows, new folders first, and a reader of the
-    table may see both in between. Folders that are gone from storage are only unregistered. Returns
-    the number of partitions taken.
+    """Rewrite each partition's live folders as one folder.
+
+    Without ``partitions`` every partition that has ``min_folders`` live folders is taken; all of
+    them in one plan. Files are sized by bytes, or with ``files`` a partition has at most so many.
+    Rows are kept as they are: nothing is deduplicated. One ledger entry swaps the folders, so ledger
+    readers see either the old or the new ones; the catalog follows, new folders first, and a reader
+    of the table may see both in between. Folders that are gone from storage are only unregistered.
+    Returns the number of partitions taken.
     """
+    keys = time_keys(rule)
     tables.sync_with_ledger(spark, store, subject)
     events = ledger.ledger_events(spark, store, subject)
-    due = ledger.due_for_compaction(events, 1 if partitions is not None else min_folders)
     if partitions is not None:
-        due = due.where(F.col("partition").isin(list(partitions)))
-    done = 0
-    for names in _rounds(due):
-        _compact_round(spark, store, subject, time_keys(rule), files, events, names)
-        done += len(names)
-    if done:
-        ledger.roll_up(spark, store, subject)
+        wanted = spark.createDataFrame([(p,) for p in partitions], "partition string").distinct()
+        events = events.join(wanted, "partition", "left_semi")
+    due = ledger.due_for_compaction(events, 1 if partitions is not None else min_folders)
+    scratch = scratch_dir(spark, "compact")
+    try:
+        # exactly the folders of this snapshot; one that is registered meanwhile is left alone
+        live = ledger.live_folders(events).join(due.select("partition"), "partition", "left_semi")
+        live.select("partition", RANDOM_KEY, "path").write.parquet(scratch)
+        old = spark.read.parquet(scratch)
+        done = old.select("partition").distinct().count()
+        if not done:
+            return 0
+        parts = F.split("partition", "/")
+        chosen = old.where(F.col("partition") > "").select(
+            *[F.get(parts, F.lit(i)).alias(k) for i, k in enumerate(keys)], RANDOM_KEY
+        )
+        table = spark.table(store.table_name(subject))
+        rows = table.join(chosen, [*keys, RANDOM_KEY], "left_semi").select(*table.columns).drop(RANDOM_KEY)
+        folder_id = write_id()
+        # a running number spreads rows whatever they hold, and repeats itself over a plain file scan
+        spread = F.monotonically_increasing_id()
+        path = write_partition_parquet(rows, store.table_root(subject), keys, files, spread, folder_id)
+
+        removed = old.select("partition", RANDOM_KEY, "path", F.lit(ledger.DELETE).alias("op"))
+        added = ledger.written_events(spark, path, folder_id, keys)
+        ledger.record(store, subject, added.unionByName(removed))
+        tables.sync_with_ledger(spark, store, subject)
+        with ThreadPoolExecutor(_DELETE_THREADS) as pool:
+            list(pool.map(lambda r: delete_path(spark, r["path"]), old.select("path").toLocalIterator()))
+    finally:
+        delete_path(spark, scratch)
+    ledger.roll_up(spark, store, subject)
     return done
 
 
 def run_history(
-    spark: SparkSession, store: Store, rules: DataFrame, subject: str, partition: str | None = None
-) -> int:
-    """Compact one partition of a subject, or all that are due, by its registered rule."""
-    rule = load_rule(rules, subject)
-    names = None if partition is None else [partition]
-    return compact(spark, store, Subject.parse(subject), rule.partition, rule.files, names)
-
-
-def _rounds(due: DataFrame) -> Iterator[list[str]]:
-    """Partition names in groups of about ``FOLDERS_PER_ROUND`` folders."""
-    names: list[str] = []
-    folders = 0
-    for row in due.select("partition", "folders").repartition(1).toLocalIterator():
-        if names and folders + row.folders > FOLDERS_PER_ROUND:
-            yield names
-            names, folders = [], 0
-        names.append(row.partition)
-        folders += row.folders
-    if names:
-        yield names
-
-
-def _compact_round(
     spark: SparkSession,
     store: Store,
-    subject: Subject,
-    keys: list[str],
-    files: int | None,
-    events: DataFrame,
-    names: list[str],
-) -> None:
-    old = ledger.live_folders(events.where(F.col("partition").isin(names)))
-    old_rows = old.select("partition", RANDOM_KEY, "path").collect()
-    ids = sorted({r[RANDOM_KEY] for r in old_rows})
-
-    # exactly the folders of this snapshot; one that is registered meanwhile is left alone
-    table = prune_partitions(spark.table(store.table_name(subject)), keys, names)
-    rows = table.where(F.col(RANDOM_KEY).isin(ids)).drop(RANDOM_KEY)
-    folder_id = write_id()
-    # a running number spreads rows whatever they hold, and repeats itself over a plain file scan
-    spread = F.monotonically_increasing_id()
-    with sized_for(spark, planned_bytes(rows)):
-        path = write_partition_parquet(
-            rows, store.table_root(subject), keys, files, spread, folder_id
-        )
+    rules: DataFrame,
+    subject: str,
+    partition: str | None = None,
+    files: int | None = None,
+) -> int:
+    """Compact one partition of a subject, or all that are due, by its registered rule.
 
-    removed = old.select("partition", RANDOM_KEY, "path", F.lit(ledger.DELETE).alias("op"))
-    added = ledger.written_events(spark, path, folder_id, keys)
-    ledger.record(store, subject, added.unionByName(removed))
-    tables.sync_with_ledger(spark, store, subject, names)
-    with ThreadPoolExecutor(_DELETE_THREADS) as pool:
-        list(pool.map(lambda r: delete_path(spark, r["path"]), old_rows))
+    Files are sized by bytes, as a compacted partition may be large; ``files`` states a number.
+    """
+    rule = load_rule(rules, subject)
+    names = None if partition is None else [partition]
+    return compact(spark, store, Subject.parse(subject), rule.partition, files, names)

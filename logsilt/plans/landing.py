@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from logsilt.catalog import ledger, tables
 from logsilt.catalog.registry import load_rule, load_schema
 from logsilt.functions.action_time import fits_rule
-from logsilt.layout import RANDOM_KEY, Rule, Store, Subject, quoted, time_keys
+from logsilt.layout import Rule, Store, Subject, quoted, time_keys
 from logsilt.operators.shape import (
     align_schema,
     expand_flat,
@@ -20,15 +21,15 @@ from logsilt.operators.shape import (
     with_partition_keys,
 )
 from logsilt.plans.merging import merge_new_rows
-from logsilt.session import delete_path, planned_bytes, scratch_dir, sized_for, spread_small
+from logsilt.session import delete_path, scratch_dir
 from logsilt.sources.avro import read_avro
 from logsilt.sources.files import read_csv_header, read_parquet_paths
 from logsilt.sources.json_lines import read_gbk_json_flat, read_json_lines
 from logsilt.sources.lines import read_paragraph_records, read_pipe_text
 from logsilt.sources.sinks import write_id, write_partition_parquet
 
-# Above this many touched partitions the stored keys are read without partition pruning.
-MAX_PRUNED_PARTITIONS = 10_000
+# The text of an input line that could not be read, in batches from ``read_batch``.
+MALFORMED = "_malformed"
 
 # File types of online batches.
 FILE_TYPES = ("txt", "avro", "csv", "json", "td", "json_gbk")
@@ -36,7 +37,8 @@ FILE_TYPES = ("txt", "avro", "csv", "json", "td", "json_gbk")
 
 @dataclass(frozen=True)
 class Landed:
-    """What one ingest wrote. ``rejects`` is the folder of rows that have no valid action time."""
+    """What one ingest wrote. ``rejects`` is the folder of malformed rows and of those that have no
+    valid action time."""
 
     subject: Subject
     folder_id: str
@@ -61,6 +63,10 @@ def read_batch(
     ``txt``, ``csv``, ``json`` and ``json_gbk`` are brought to the registered schema. JSON is parsed
     with that schema right away; ``infer=True`` infers one first and aligns without casts. ``td``
     records are parsed by the caller's ``record_exprs``.
+
+    The column ``_malformed`` has the text of a line (CSV: of the row, as JSON) that is not JSON, or
+    holds a value its type cannot take, or of which no expression makes anything; else it is NULL.
+    An ingest puts such rows among the rejects.
     """
     kind = file_type.lower()
     if kind not in FILE_TYPES:
@@ -68,18 +74,52 @@ def read_batch(
     if kind == "avro":
         return read_avro(spark, files)
     if kind == "td":
-        return read_paragraph_records(spark, files, *record_exprs)
+        return _parsed_records(read_paragraph_records(spark, files), record_exprs)
     if schema is None:
         raise ValueError(f"{kind} input needs a registered schema")
     if kind == "txt":
-        return read_pipe_text(spark, files, schema)
+        return read_pipe_text(spark, files, schema, MALFORMED)
     if kind == "csv":
-        return align_schema(read_csv_header(spark, files), schema, cast=True)
-    if kind == "json_gbk":
-        return read_gbk_json_flat(spark, files, schema)
+        return _aligned_rows(read_csv_header(spark, files), schema)
     if infer:
-        return align_schema(read_json_lines(spark, files), schema)
-    return read_json_lines(spark, files, schema)
+        found = read_json_lines(spark, files, options={"columnNameOfCorruptRecord": MALFORMED})
+        text = F.col(MALFORMED) if MALFORMED in found.columns else F.lit(None).cast("string")
+        return align_schema(found.withColumn(MALFORMED, text), _with_text(schema))
+    read = read_gbk_json_flat if kind == "json_gbk" else read_json_lines
+    return read(spark, files, _with_text(schema), {"columnNameOfCorruptRecord": MALFORMED})
+
+
+def _with_text(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(MALFORMED, StringType())])
+
+
+def _aligned_rows(rows: DataFrame, schema: StructType) -> DataFrame:
+    """CSV rows in the schema's types, with rows that hold an unreadable value as text."""
+    given = {f.name: f.dataType for f in schema.fields}
+    unread = [
+        F.col(quoted(c)).isNotNull() & F.col(quoted(c)).try_cast(given[c]).isNull()
+        for c in rows.columns if c in given
+    ]
+    bad = reduce(Column.__or__, unread, F.lit(False))
+    text = F.when(bad, F.to_json(F.struct(*[F.col(quoted(c)) for c in rows.columns])))
+    return align_schema(rows.withColumn(MALFORMED, text), _with_text(schema), cast=True)
+
+
+def _parsed_records(records: DataFrame, record_exprs: Sequence[str]) -> DataFrame:
+    """Records by the caller's expressions; one is malformed when all that they give is NULL."""
+    if not record_exprs:
+        return records.withColumn(MALFORMED, F.lit(None).cast("string"))
+    parsed = records.selectExpr(*record_exprs, f"value AS {MALFORMED}")
+    nothing = [
+        field.isNull()
+        for f in parsed.schema.fields if f.name != MALFORMED
+        for field in (
+            [F.col(quoted(f.name))[g.name] for g in f.dataType.fields]
+            if isinstance(f.dataType, StructType) else [F.col(quoted(f.name))]
+        )
+    ]
+    empty = reduce(Column.__and__, nothing, F.lit(True))
+    return parsed.withColumn(MALFORMED, F.when(empty, F.col(MALFORMED)))
 
 
 def ingest(
@@ -91,116 +131,114 @@ def ingest(
     now: int | None = None,
     null_safe: bool = False,
     stage: bool = True,
+    run: str | None = None,
+    taken_prefix: str | None = None,
 ) -> Landed:
     """Add tracking columns to a batch and land its new rows.
 
     ``stage`` first writes the expanded batch to the shared scratch folder as Parquet, so that raw
     input is parsed once and a time key that falls back to the current time has one value in all
     steps. Turn it off for input that is cheap to read twice and has a fixed time key.
+
+    ``run`` names the run: rejects go to a folder of that name and replace those of an earlier
+    attempt. ``taken_prefix`` renames columns that have the name of a partition key.
     """
     expand = {"header": expand_header, "flat": expand_flat}[layout]
     expanded = expand(batch, rule.match_key, rule.time_key, store.names, now)
     match = store.names.match_path(layout)
     if not stage:
-        return _land(spark, store, rule, expanded, match, null_safe)
+        return _land(spark, store, rule, expanded, match, null_safe, run, taken_prefix)
     scratch = scratch_dir(spark, "stage")
     try:
-        size = planned_bytes(batch)
-        with sized_for(spark, size):
-            spread_small(expanded, size).write.parquet(scratch)
+        expanded.write.parquet(scratch)
         staged = spark.read.schema(expanded.schema).parquet(scratch)
-        return _land(spark, store, rule, staged, match, null_safe)
+        return _land(spark, store, rule, staged, match, null_safe, run, taken_prefix)
     finally:
         delete_path(spark, scratch)
 
 
 def offline_merge(
-    spark: SparkSession, store: Store, rule: Rule, batch: DataFrame, null_safe: bool = False
+    spark: SparkSession,
+    store: Store,
+    rule: Rule,
+    batch: DataFrame,
+    null_safe: bool = False,
+    run: str | None = None,
 ) -> Landed:
     """Land a batch that has flat tracking columns already."""
-    return _land(spark, store, rule, batch, store.names.match_value, null_safe)
+    return _land(spark, store, rule, batch, store.names.match_value, null_safe, run)
 
 
 def _land(
-    spark: SparkSession, store: Store, rule: Rule, expanded: DataFrame, match: str, null_safe: bool
+    spark: SparkSession,
+    store: Store,
+    rule: Rule,
+    expanded: DataFrame,
+    match: str,
+    null_safe: bool,
+    run: str | None = None,
+    taken_prefix: str | None = None,
 ) -> Landed:
     subject = Subject.parse(rule.subject)
     keys = time_keys(rule.partition)
-    keyed = with_partition_keys(expanded, store.names.action_time, rule.partition)
+    readable = F.col(MALFORMED).isNull() if MALFORMED in expanded.columns else F.lit(True)
+    fits = readable & fits_rule(F.col(quoted(store.names.action_time)), rule.partition)
+    keyed = with_partition_keys(
+        expanded.where(fits).drop(MALFORMED), store.names.action_time, rule.partition, taken_prefix
+    )
     body = StructType([f for f in keyed.schema.fields if f.name not in keys])
     tables.create_external_table(spark, store, subject, body, rule.partition)
 
     folder_id = write_id()
-    with sized_for(spark, planned_bytes(expanded)):
-        touched = touched_partitions(keyed, keys)
-        rejects = _write_rejects(expanded, store, rule, touched, folder_id)
-        known = None if touched is None else [t for t in touched if t is not None]
-        if known is not None and not known:
+    scratch = scratch_dir(spark, "touched")
+    try:
+        touched, unfit = touched_partitions(expanded, fits, store.names.action_time, scratch)
+        rejects = None
+        if unfit:
+            rejects = f"{store.table_root(subject)}/_rejects/{run or folder_id}"
+            expanded.where(~fits).write.mode("overwrite").parquet(rejects)
+        if touched.isEmpty():
             return Landed(subject, folder_id, None, rejects)
 
-        tables.sync_with_ledger(spark, store, subject, known)
-        stored = prune_partitions(spark.table(store.table_name(subject)), keys, known)
-        fit = keyed.where(F.col(keys[-1]).isNotNull())
+        tables.sync_with_ledger(spark, store, subject)
+        stored = prune_partitions(spark.table(store.table_name(subject)), keys, touched)
         fresh = merge_new_rows(
-            fit, stored, keys, match, order_by=rule.order_by, null_safe=null_safe
+            keyed, stored, keys, match, order_by=rule.order_by, null_safe=null_safe
         )
         path = write_partition_parquet(
             fresh, store.table_root(subject), keys, rule.files, F.col(match), folder_id
         )
+    finally:
+        delete_path(spark, scratch)
     register(spark, store, subject, path, folder_id, keys)
     return Landed(subject, folder_id, path, rejects)
 
 
-def _write_rejects(
-    expanded: DataFrame,
-    store: Store,
-    rule: Rule,
-    touched: Sequence[str | None] | None,
-    folder_id: str,
-) -> str | None:
-    """Write rows that fit no partition, with their action time as it is; None when there are none."""
-    action_time = F.col(quoted(store.names.action_time))
-    unfit = expanded.where(~fits_rule(action_time, rule.partition))
-    if unfit.isEmpty() if touched is None else None not in touched:
-        return None
-    path = f"{store.table_root(Subject.parse(rule.subject))}/_rejects/{folder_id}"
-    unfit.write.parquet(path)
-    return path
-
-
-def touched_partitions(keyed: DataFrame, keys: Sequence[str]) -> list[str | None] | None:
-    """Action times in a batch, with None for rows that fit no partition.
-
-    None instead of a list when there are more than ``MAX_PRUNED_PARTITIONS``: the list goes into
-    the plan as a literal filter and must stay small.
-    """
-    values = [F.col(k) for k in keys]
-    path = F.when(values[-1].isNotNull(), F.concat_ws("/", *values))
-    rows = keyed.select(path.alias("t")).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()
-    return None if len(rows) > MAX_PRUNED_PARTITIONS else [r.t for r in rows]
+def touched_partitions(
+    expanded: DataFrame, fits: Column, action_time: str, scratch: str
+) -> tuple[DataFrame, bool]:
+    """The action times of rows that fit, as a small table, and whether there are rows that do not."""
+    spark = expanded.sparkSession
+    times = expanded.select(F.when(fits, F.col(quoted(action_time))).alias("action_time")).distinct()
+    times.write.parquet(scratch)
+    found = spark.read.schema(times.schema).parquet(scratch)
+    return found.where(F.col("action_time") > ""), not found.where("action_time IS NULL").isEmpty()
 
 
-def prune_partitions(
-    table: DataFrame, keys: Sequence[str], touched: Sequence[str] | None
-) -> DataFrame:
-    """Keep the touched partitions only, by filters on partition keys alone.
-
-    The first key is filtered by plain values too, a form every metastore can evaluate itself.
-    """
-    if touched is None:
-        return table
-    first = sorted({t.split("/")[0] for t in touched})
-    exact = F.concat_ws("/", *keys).isin(list(touched))
-    return table.where(F.col(keys[0]).isin(first) & exact)
+def prune_partitions(table: DataFrame, keys: Sequence[str], touched: DataFrame) -> DataFrame:
+    """Keep the touched partitions only: a semi join on the bare partition keys, which Spark turns
+    into a filter on the folders it lists, however many partitions there are."""
+    parts = F.split("action_time", "/")
+    wanted = touched.select(*[F.get(parts, F.lit(i)).alias(k) for i, k in enumerate(keys)])
+    return table.join(wanted, list(keys), "left_semi")
 
 
 def register(
     spark: SparkSession, store: Store, subject: Subject, path: str, folder_id: str, keys: list[str]
 ) -> None:
     """Enter a written folder in the ledger, then in the catalog."""
-    entry = ledger.record(store, subject, ledger.written_events(spark, path, folder_id, keys))
-    added = spark.read.parquet(entry).select("partition", RANDOM_KEY, "path")
-    tables.add_partitions(spark, store, subject, (tuple(r) for r in added.toLocalIterator()))
+    ledger.record(store, subject, ledger.written_events(spark, path, folder_id, keys))
+    tables.sync_with_ledger(spark, store, subject)
 
 
 def run_online(
@@ -212,6 +250,7 @@ def run_online(
     files: str | Sequence[str],
     record_exprs: Sequence[str] = (),
     now: int | None = None,
+    run: str | None = None,
 ) -> Landed:
     """Ingest files of a subject by its registered rule and schema."""
     Subject.parse(subject)
@@ -219,7 +258,7 @@ def run_online(
     kind = rule.file_type.lower()
     schema = None if kind in ("avro", "td") else load_schema(schemas, subject)
     batch = read_batch(spark, kind, files, schema, record_exprs)
-    return ingest(spark, store, rule, batch, layout_of(kind), now)
+    return ingest(spark, store, rule, batch, layout_of(kind), now, run=run)
 
 
 def run_offline(

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings under which results match the documented semantics.
 RUNTIME_CONF = {
@@ -35,70 +32,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="logsilt-")
     return f"{base.rstrip('/')}/logsilt/{name}-{uuid.uuid4().hex}"
 
 
-# Sizing of scans and shuffles by input size: file bytes a task aims at, and the most tasks of a
-# stage. Files are compressed and rows in a shuffle are larger, hence the smaller aim there. Past the
-# bounds tasks get more bytes, which spill, instead of more tasks, whose every pair the driver tracks.
-_SCAN_BYTES = 128 * 1024 * 1024
-_SHUFFLE_BYTES = 64 * 1024 * 1024
-_SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
-_MAX_SCAN_TASKS = 100_000
-_MAX_SHUFFLE_TASKS = 20_000
-# Spark's estimate for input it knows nothing about is far above this.
-_UNKNOWN_BYTES = 1 << 60
-
-_SPLIT = "spark.sql.files.maxPartitionBytes"
-_SHUFFLE = "spark.sql.shuffle.partitions"
-_SHUFFLE_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-
-def planned_bytes(df: DataFrame) -> int | None:
-    """Spark's estimate of the data behind a plan (file sizes, for files); None when unknown."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return None if size >= _UNKNOWN_BYTES else size
-
-
-def spread_small(df: DataFrame, input_bytes: int | None) -> DataFrame:
-    """Deal out an input that is small for the cluster, as it may sit in fewer splits than cores.
-
-    Larger input is left as it lies: its splits keep all cores busy without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    small = input_bytes is not None and input_bytes < cores * _SMALL_BYTES_PER_CORE
-    return df.repartition(cores) if small else df
-
-
-def shuffle_tasks(spark: SparkSession) -> int:
-    """Tasks a shuffle starts with; adaptive execution merges small ones, but never adds any."""
-    return int(spark.conf.get(_SHUFFLE_INITIAL, None) or spark.conf.get(_SHUFFLE))
-
-
-@contextmanager
-def sized_for(spark: SparkSession, input_bytes: int | None) -> Iterator[None]:
-    """Size scans and shuffles of the jobs inside for an input, never below the session's settings."""
-    if input_bytes is None:
-        yield
-        return
-    tasks = min(-(-input_bytes // _SHUFFLE_BYTES), _MAX_SHUFFLE_TASKS)
-    split = -(-input_bytes // _MAX_SCAN_TASKS)
-    wanted = {_SHUFFLE_INITIAL: str(max(tasks, shuffle_tasks(spark)))}
-    if split > _SCAN_BYTES:
-        wanted[_SPLIT] = str(split)
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    try:
-        for key, value in wanted.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def _hadoop_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -113,3 +53,17 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder and what it holds; False when it was not there."""
     hadoop_path, fs = _hadoop_path(spark, path)
     return fs.delete(hadoop_path, True)
+
+
+def child_folders(spark: SparkSession, pattern: str, hidden: bool = False) -> list[str]:
+    """Paths that match a wildcard pattern, by listing alone; hidden ones only if asked for."""
+    hadoop_path, fs = _hadoop_path(spark, pattern)
+    found = fs.globStatus(hadoop_path) or []
+    paths = [status.getPath() for status in found]
+    return [p.toString() for p in paths if hidden or not p.getName().startswith(("_", "."))]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
+    hadoop_path, fs = _hadoop_path(spark, path)
+    fs.create(hadoop_path, True).close()

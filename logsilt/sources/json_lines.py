@@ -190,12 +190,31 @@ def read_json_lines(
     schema: StructType | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """JSON lines. Without a schema it is inferred, which reads the input once more."""
-    if schema is not None:
-        return parse_json_lines(read_lines(spark, paths), schema, options)
+    """JSON lines in UTF-8 by Spark's own source: one parse, and only of the columns a query uses.
+
+    Without a schema it is inferred, which reads the input once more. With one, rows of a malformed
+    line are all NULL (the source keeps what it could read), with the line in the corrupt-record
+    column; a top-level array with a malformed element gives such a row for each element read.
+    """
     opts, mode, corrupt = json_options(options)
     reader = spark.read.options(**opts, mode=mode, columnNameOfCorruptRecord=corrupt)
-    return reader.json(as_paths(paths))
+    if schema is None:
+        return reader.json(as_paths(paths))
+    body = [f for f in schema.fields if f.name != corrupt]
+    if mode != "PERMISSIVE":
+        found = reader.schema(StructType(body)).json(as_paths(paths))
+        blank = F.lit(None).cast("string")
+        return found.select(
+            *[(blank if f.name == corrupt else F.col(quoted(f.name))).alias(f.name) for f in schema.fields]
+        )
+    found = reader.schema(StructType([*body, StructField(corrupt, StringType())])).json(as_paths(paths))
+    text = F.col(quoted(corrupt))
+    return found.select(
+        *[
+            (text if f.name == corrupt else F.when(text.isNull(), F.col(quoted(f.name)))).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def infer_json_schema(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,20 +14,35 @@ from logsilt.layout import quoted
 from logsilt.operators.shape import rows_from_array
 from logsilt.sources.files import as_paths
 
-_FIELDS = "__fields"
+_FIELDS, _LINE = "__fields", "__line"
 
 
-def parse_pipe(lines: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """``a|b|c`` to typed columns by position: missing fields NULL, extra fields ignored."""
-    return rows_from_array(
-        lines.select(split_pipe(F.col(quoted(column))).alias(_FIELDS)), _FIELDS, schema
+def parse_pipe(
+    lines: DataFrame, schema: StructType, column: str = "value", malformed: str | None = None
+) -> DataFrame:
+    """``a|b|c`` to typed columns by position: missing fields NULL, extra fields ignored.
+
+    A value that its type cannot take is NULL. The column ``malformed``, if named, has the line then.
+    """
+    text = F.col(quoted(column))
+    split = lines.select(split_pipe(text).alias(_FIELDS), text.alias(_LINE))
+    rows = rows_from_array(split, _FIELDS, schema, _LINE)
+    if malformed is None:
+        return rows.drop(_LINE)
+    values = [(F.get(_FIELDS, F.lit(i)), f.dataType) for i, f in enumerate(schema.fields)]
+    unread = reduce(
+        Column.__or__, [(v != "") & v.try_cast(t).isNull() for v, t in values], F.lit(False)
+    )
+    bad = split.withColumn(malformed, F.when(F.coalesce(unread, F.lit(False)), F.col(_LINE)))
+    return rows_from_array(bad, _FIELDS, schema, malformed).select(
+        *[quoted(f.name) for f in schema.fields], quoted(malformed)
     )
 
 
 def read_pipe_text(
-    spark: SparkSession, paths: str | Sequence[str], schema: StructType
+    spark: SparkSession, paths: str | Sequence[str], schema: StructType, malformed: str | None = None
 ) -> DataFrame:
-    return parse_pipe(spark.read.text(as_paths(paths)), schema)
+    return parse_pipe(spark.read.text(as_paths(paths)), schema, malformed=malformed)
 
 
 def read_paragraph_records(
@@ -39,12 +55,16 @@ def read_paragraph_records(
 
     ``read_paragraph_records(spark, p, "from_json(value, 'a int') AS r")``. Without expressions the
     records come back as text. Blank records are skipped.
+
+    A line that is empty or white space separates, whatever ends the lines. ``separator`` (``"\\n\\n"``
+    or, for files with CRLF, ``"\\r\\n\\r\\n"``) only tells Spark where it may cut a file into
+    tasks: with the wrong one no record is lost, but a file is read by one task.
     """
+    pieces = F.split("value", r"\r?\n(?:[ \t]*\r?\n)+|\r?\n[ \t]*$|^[ \t]*\r?\n", -1)
     records = (
         spark.read.option("lineSep", separator)
         .text(as_paths(paths))
-        .select(F.trim(F.translate("value", "\r\n", "  ")).alias("__probe"), "value")
-        .where(F.col("__probe") != "")
-        .select("value")
+        .select(F.explode(pieces).alias("value"))
+        .where(F.trim(F.translate("value", "\r\n\t", "   ")) != "")
     )
     return records.selectExpr(*record_exprs) if record_exprs else records

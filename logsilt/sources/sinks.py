@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsilt.layout import RANDOM_KEY, Store, Subject
-from logsilt.session import shuffle_tasks
 
 BACKUP = "_backup"
 _SLOT = "__file_slot"
@@ -36,8 +35,9 @@ def write_partition_parquet(
     Every call writes its own ``<root>/randompath=<id>/``, so writers of one table never share a
     commit folder and a failed write leaves nothing a reader could see. Rows of a
     partition go to one of ``files`` slots by ``spread_by`` (default: by source task, which spreads
-    a hot partition whatever its rows are and does not change when a task is run again). Without
-    ``files`` Spark picks file sizes and splits large partitions itself.
+    a hot partition whatever its rows are and does not change when a task is run again). A slot is
+    one task, so ``files`` is for partitions of a known, moderate size. Without it, the form for
+    large partitions, Spark sizes files by bytes and gives a partition as many writers as it needs.
     """
     path = write_folder(root, folder_id or write_id())
     if files is None:
@@ -46,10 +46,9 @@ def write_partition_parquet(
         if files < 1:
             raise ValueError("files must be at least 1")
         source = F.spark_partition_id() if spread_by is None else F.xxhash64(spread_by)
-        # a stated number of tasks, so that many small partitions are not merged into a few writers
-        tasks = shuffle_tasks(df.sparkSession)
+        # no stated number of tasks: Spark may merge small slots into a task but never splits one
         slotted = df.withColumn(_SLOT, F.pmod(source, F.lit(files)))
-        out = slotted.repartition(tasks, *keys, _SLOT).drop(_SLOT)
+        out = slotted.repartition(*keys, _SLOT).drop(_SLOT)
     out.write.partitionBy(*keys).parquet(path)
     return path
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,11 +23,14 @@ def start_online(
 
     The stream is any parsed input, such as ``parse_pipe(spark.readStream.text(folder), schema)``.
     Without ``interval`` the query takes all input there is and stops. A micro-batch that runs again
-    after a failure adds nothing twice: stored keys win, and NULL match values match each other.
+    after a failure adds nothing twice: stored keys win, NULL match values match each other, and
+    its rejects replace those of the first attempt.
     """
+    stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
-    def land(batch: DataFrame, _: int) -> None:
-        ingest(batch.sparkSession, store, rule, batch, layout, null_safe=True)
+    def land(batch: DataFrame, number: int) -> None:
+        run = f"{stream_id}-{number}"
+        ingest(batch.sparkSession, store, rule, batch, layout, null_safe=True, run=run)
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from logsilt import Rule, Subject, plans
-from logsilt.catalog.avro_schema import struct_from_avro
+from logsilt.catalog.registry import struct_from_avro
 from logsilt.sources import read_avro, write_avro
-from logsilt.sources.avro import avro_value
+from logsilt.sources.avro import AVRO, avro_value
 
 
 def record(*fields):
@@ -32,30 +32,42 @@ def record(*fields):
         ({"type": "map", "values": "long"}, "map<string,bigint>", False),
         ({"type": "fixed", "name": "h", "size": 4}, "binary", False),
         ({"type": "enum", "name": "e", "symbols": ["A"]}, "string", False),
-        ({"type": {"type": "string"}}, "string", False),
         ({"type": "record", "name": "n", "fields": [{"name": "x", "type": "int"}]}, "struct<x:int>", False),
     ],
 )
-def test_avro_types(avro, spark_type, nullable):
-    field = struct_from_avro(record(("f", avro)))["f"]
+def test_avro_types(spark, avro, spark_type, nullable):
+    field = struct_from_avro(spark, record(("f", avro)))["f"]
     assert (field.dataType.simpleString(), field.nullable) == (spark_type, nullable)
 
 
-def test_named_types_can_be_used_again():
+def test_named_types_can_be_used_again(spark):
     named = {"type": "record", "name": "p", "namespace": "x.y", "fields": [{"name": "a", "type": "int"}]}
-    found = struct_from_avro(record(("one", named), ("two", "x.y.p"), ("three", ["null", "p"])))
+    found = struct_from_avro(spark, record(("one", named), ("two", "x.y.p"), ("three", ["null", "x.y.p"])))
     assert [f.dataType.simpleString() for f in found] == ["struct<a:int>"] * 3
 
 
-def test_element_nullability():
-    found = struct_from_avro(record(("a", {"type": "array", "items": ["null", "int"]}), ("m", {"type": "map", "values": "int"})))
+def test_element_nullability(spark):
+    found = struct_from_avro(spark, record(("a", {"type": "array", "items": ["null", "int"]}), ("m", {"type": "map", "values": "int"})))
     assert found["a"].dataType.containsNull and not found["m"].dataType.valueContainsNull
 
 
-@pytest.mark.parametrize("text", ['"string"', record(("a", "null")), record(("a", "unknown"))])
-def test_unsupported_schemas(text):
+def test_types_agree_with_the_reader(spark, tmp_path):
+    """Logical types and names of the enclosing namespace."""
+    text = json.dumps({"type": "record", "name": "r", "namespace": "com.x", "fields": [
+        {"name": "a", "type": {"type": "enum", "name": "E", "symbols": ["A"]}}, {"name": "b", "type": "com.x.E"},
+        {"name": "t", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+        {"name": "d", "type": {"type": "int", "logicalType": "date"}}]})
+    found = struct_from_avro(spark, text)
+    assert [f.dataType.simpleString() for f in found] == ["string", "string", "timestamp", "date"]
+    path = str(tmp_path / "x")
+    spark.sql("SELECT 'A' AS a, 'A' AS b, TIMESTAMP'2024-01-02' AS t, DATE'2024-01-02' AS d").write.format(AVRO).option("avroSchema", text).save(path)
+    assert [f.dataType for f in read_avro(spark, path).schema] == [f.dataType for f in found]
+
+
+@pytest.mark.parametrize("text", ['"string"', "nonsense", record(("a", "unknown")), record(("a", {"type": {"type": "string"}}))])
+def test_unsupported_schemas(spark, text):
     with pytest.raises(ValueError):
-        struct_from_avro(text)
+        struct_from_avro(spark, text)
 
 
 def test_values_as_written(spark):

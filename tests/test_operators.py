@@ -200,3 +200,24 @@ def test_null_keys_reach_many_reducers(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sum(r["count"] for r in sizes) == 8_000 and len(sizes) > 2
     assert len(sizes_alone) == 1
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_null_keys_of_one_input_split_are_spread(spark, kind):
+    new = spark.range(0, 40_000, 1, 1).selectExpr(f"CAST(if(id % 10 = 0, id, NULL) AS {kind}) AS k", "id AS v", "map('a', id) AS m")
+    stored = spark.range(0, 40_000, 100).selectExpr("id AS k")
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+        spark.conf.set(key, {"t": "-1", "d": "false"}[key[-1]])
+    try:
+        found = op.anti_join_existing(new, stored, ["k"])
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 40_000 - 400 and max(sizes) <= 2 * sum(sizes) / 8
+
+
+def test_orderings_as_text(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, NULL), (1, 3), (1, 5) t(k, v)")
+    first = lambda order: op.dedup_latest(df, ["k"], [order]).first().v
+    assert [first(o) for o in ("v", "v desc nulls last", "v DESC NULLS FIRST", "v ASC NULLS LAST", "v asc", "-v NULLS LAST")] == [5, 5, None, 3, None, 3]

@@ -86,30 +86,53 @@ def test_ingest_without_order_keeps_one_row_per_key(spark, store):
     assert [r[1] for r in stored(spark, store)] == [f"k{i}" for i in range(5)]
 
 
+def touched(spark, days):
+    return spark.createDataFrame([(d,) for d in days], "action_time string").where("action_time > ''")
+
+
 def test_stored_keys_are_read_from_touched_partitions_only(spark, store):
     rows = [("a", f"2024/01/{d:02d}", d) for d in range(1, 10)]
     plans.ingest(spark, store, RULE, batch(spark, *rows))
     keys = ["year", "month", "day"]
-    pruned = prune_partitions(table(spark, store), keys, ["2024/01/03", "2024/01/04"])
-    assert len(pruned.inputFiles()) == 2
-    assert pruned.select(F.col("_metadata.file_path")).distinct().count() == 2
-    assert prune_partitions(table(spark, store), keys, None).count() == 9
+    for days in (["2024/01/03"], ["2024/01/03", "2024/01/04"], [f"{y}/{m:02d}/03" for y in range(1100, 2100) for m in range(1, 13)]):
+        pruned = prune_partitions(table(spark, store), keys, touched(spark, days))
+        assert "dynamicpruning" in pruned._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.v for r in pruned.collect()) == sorted(d for d in range(1, 10) if f"2024/01/{d:02d}" in days)
 
 
-def test_many_touched_partitions_are_not_listed(spark, monkeypatch):
-    keyed = spark.range(50).selectExpr("CAST(id AS STRING) AS year")
-    assert len(touched_partitions(keyed, ["year"])) == 50
-    monkeypatch.setattr("logsilt.plans.landing.MAX_PRUNED_PARTITIONS", 10)
-    assert touched_partitions(keyed, ["year"]) is None
+def test_touched_partitions_and_rejects(spark, store, tmp_path):
+    from logsilt.functions.action_time import fits_rule
 
+    df = spark.createDataFrame([("2024/01/01",), ("2024/01/01",), ("2024",), (None,)], "logActionTime string")
+    fits = fits_rule(F.col("logActionTime"), "yyyy/MM/dd")
+    found, unfit = touched_partitions(df, fits, "logActionTime", str(tmp_path / "a"))
+    assert [r.action_time for r in found.collect()] == ["2024/01/01"] and unfit
+    found, unfit = touched_partitions(df.limit(2).where(fits), fits, "logActionTime", str(tmp_path / "b"))
+    assert not unfit
 
-def test_ingest_with_more_partitions_than_the_pruning_bound(spark, store, monkeypatch):
-    monkeypatch.setattr("logsilt.plans.landing.MAX_PRUNED_PARTITIONS", 2)
-    rows = [("a", f"2024/01/{d:02d}", d) for d in range(1, 6)] + [("z", None, 0)]
+
+def test_rejects_of_a_run_are_written_once(spark, store):
+    rows = [("a", "2024/01/01", 1), ("z", None, 0), ("y", "2024", 5)]
     for _ in range(2):
-        landed = plans.ingest(spark, store, RULE, batch(spark, *rows))
-    assert table(spark, store).count() == 5
-    assert spark.read.parquet(landed.rejects).count() == 1
+        landed = plans.ingest(spark, store, RULE, batch(spark, *rows), run="monday")
+    assert landed.rejects.endswith("/_rejects/monday") and spark.read.parquet(landed.rejects).count() == 2
+    everything = spark.read.parquet(landed.rejects.rsplit("/", 1)[0] + "/*")
+    assert everything.count() == 2 and table(spark, store).count() == 1
+
+
+def test_no_session_setting_changes_in_an_ingest(spark, store):
+    settings = lambda: sorted((r.key, r.value) for r in spark.sql("SET").collect())
+    before = settings()
+    plans.ingest(spark, store, RULE, batch(spark, ("a", "2024/01/01", 1)))
+    assert settings() == before
+
+
+def test_columns_named_as_keys(spark, store):
+    rows = batch(spark, ("a", "2024/01/01", 1)).withColumn("Year", F.lit("own"))
+    with pytest.raises(ValueError, match="name of a partition key"):
+        plans.ingest(spark, store, RULE, rows)
+    plans.ingest(spark, store, RULE, rows, taken_prefix="in_")
+    assert [tuple(r) for r in table(spark, store).select("in_Year", "year").collect()] == [("own", "2024")]
 
 
 def test_offline_merge_flat_layout(spark, store):
@@ -158,16 +181,6 @@ def test_compaction_does_not_deduplicate(spark, store):
     assert table(spark, store).count() == 12
 
 
-def test_compaction_in_rounds(spark, store, monkeypatch):
-    monkeypatch.setattr("logsilt.plans.compaction.FOLDERS_PER_ROUND", 3)
-    for i in range(2):
-        rows = [(f"k{i}", f"2024/01/0{d}", i) for d in range(1, 6)]
-        plans.ingest(spark, store, RULE, batch(spark, *rows))
-    before = stored(spark, store)
-    assert plans.compact(spark, store, SUBJECT, RULE.partition, files=1) == 5
-    assert stored(spark, store) == before
-
-
 def test_compaction_when_every_folder_is_gone(spark, store):
     for i in range(2):
         plans.ingest(spark, store, RULE, batch(spark, (f"k{i}", "2024/01/01", i)))
@@ -244,34 +257,65 @@ def test_ledger_views(spark, store):
     assert [tuple(r) for r in ledger.due_for_compaction(everyone).collect()] == [("web.other", "2024/01", 2)]
 
 
-def test_ledger_roll_up_keeps_the_view_and_the_deletes(spark, store):
+def test_ledger_roll_up_keeps_the_view_and_needed_deletes(spark, store):
     events = spark.createDataFrame(
         [("2024/01", "u1", "/p/u1", "add"), ("2024/01", "u2", "/p/u2", "add")],
         "partition string, randompath string, path string, op string",
     )
+    live = lambda: [r.path for r in ledger.live_folders(ledger.ledger_events(spark, store, SUBJECT)).collect()]
     first = ledger.record(store, SUBJECT, events)
-    shutil.copytree(first, str(first) + "-kept", dirs_exist_ok=True)  # a file a stopped run left over
+    left_over = shutil.copytree(first, f"{store.root}/left_over")  # a file a stopped run did not delete
     ledger.record(store, SUBJECT, events.where("randompath = 'u2'").withColumn("op", F.lit("delete")))
     ledger.roll_up(spark, store, SUBJECT)
     folded = ledger.ledger_events(spark, store, SUBJECT)
-    assert folded.select("batch").distinct().count() == 1 and folded.count() == 2
-    assert [r.path for r in ledger.live_folders(folded).collect()] == ["/p/u1"]
-    shutil.copytree(str(Path(first).parent / folded.first().batch.join(["batch=", ""])), str(first) + "-again")
-    assert [r.path for r in ledger.live_folders(ledger.ledger_events(spark, store, SUBJECT)).collect()] == ["/p/u1"]
-    ledger.roll_up(spark, store, SUBJECT)
+    assert folded.select("batch").distinct().count() == 1 and folded.count() == 2 and live() == ["/p/u1"]
+    shutil.copytree(left_over, first)
+    assert live() == ["/p/u1"]
     ledger.roll_up(spark, store, SUBJECT)
-    assert [r.path for r in ledger.live_folders(ledger.ledger_events(spark, store, SUBJECT)).collect()] == ["/p/u1"]
-
-
-def test_sync_of_some_years_leaves_the_others_alone(spark, store):
-    for year in ("2023", "2024"):
-        plans.ingest(spark, store, RULE, batch(spark, ("a", f"{year}/01/01", 1)))
-    folder = table(spark, store).where("year = '2023'").select("randompath").first()[0]
-    tables.drop_partition(spark, store, SUBJECT, f"year=2023/month=01/day=01/randompath={folder}")
-    tables.sync_with_ledger(spark, store, SUBJECT, ["2024/01/01"])
-    assert table(spark, store).count() == 1
-    tables.sync_with_ledger(spark, store, SUBJECT, ["2023/01/01"])
-    assert table(spark, store).count() == 2
+    assert live() == ["/p/u1"] and ledger.ledger_events(spark, store, SUBJECT).count() == 2
+    ledger.record(store, SUBJECT, events.where("randompath = 'u1'"))
+    ledger.roll_up(spark, store, SUBJECT)  # no file adds u2 any more, so its delete goes
+    assert live() == ["/p/u1"] and ledger.ledger_events(spark, store, SUBJECT).count() == 1
+
+
+def agree(spark, store):
+    """Ledger, catalog and storage name the same folders."""
+    live = {(r.partition, r.randompath, r.path) for r in ledger.live_folders(ledger.ledger_events(spark, store, SUBJECT)).collect()}
+    shown = {r.spec for r in tables.partitions(spark, store, SUBJECT).collect()}
+    names = ("year", "month", "day")
+    assert shown == {"/".join([*(f"{k}={v}" for k, v in zip(names, p.split("/"))), f"randompath={i}"]) for p, i, _ in live}
+    assert all(path_exists(spark, path) for *_, path in live)
+    assert ledger.unsynced(spark, store, SUBJECT) == []
+    return len(live)
+
+
+def test_a_dropped_partition_stays_away(spark, store):
+    plans.ingest(spark, store, RULE, batch(spark, ("a", "2024/01/01", 1), ("b", "2024/02/01", 2), ("c", "2024/02/02", 2)))
+    paths = {r.partition: r.path for r in ledger.live_folders(ledger.ledger_events(spark, store, SUBJECT)).collect()}
+    tables.drop_partition(spark, store, SUBJECT, "year=2024/month=02")
+    assert agree(spark, store) == 1 and [path_exists(spark, p) for _, p in sorted(paths.items())] == [True, False, False]
+    plans.ingest(spark, store, RULE, batch(spark, ("d", "2024/02/01", 4)))
+    assert stored(spark, store) == [("2024/01/01", "a", 1), ("2024/02/01", "d", 4)] and agree(spark, store) == 2
+    folder = table(spark, store).where("v = 4").select("randompath").first()[0]
+    tables.drop_partition(spark, store, SUBJECT, f"year=2024/month=02/day=01/randompath={folder}", data=False)
+    tables.drop_partition(spark, store, SUBJECT, "year=1999")  # nothing there: no error
+    assert agree(spark, store) == 1
+
+
+def test_a_landed_folder_is_unregistered_by_its_path(spark, store):
+    plans.ingest(spark, store, RULE, batch(spark, ("a", "2024/01/01", 1), ("b", "2024/01/02", 2)))
+    events = ledger.live_folders(ledger.ledger_events(spark, store, SUBJECT))
+    path = events.where("partition = '2024/01/01'").first().path
+    tables.unregister_folder(spark, store, SUBJECT, "2024/01/01", path)
+    assert agree(spark, store) == 1 and stored(spark, store) == [("2024/01/02", "b", 2)]
+
+
+def test_a_dropped_table_is_forgotten(spark, store):
+    plans.ingest(spark, store, RULE, batch(spark, ("a", "2024/01/01", 1)))
+    tables.drop_table(spark, store, SUBJECT)
+    assert ledger.ledger_events(spark, store, SUBJECT).count() == 0
+    plans.ingest(spark, store, RULE, batch(spark, ("b", "2024/01/01", 2)))
+    assert stored(spark, store) == [("2024/01/01", "b", 2)] and agree(spark, store) == 1
 
 
 def test_table_operations(spark, store):
@@ -349,9 +393,9 @@ def test_json_batch_with_inferred_schema(spark, tmp_path):
     Path(tmp_path, "f.json").write_text('{"b":"7","a":1}\n{"a":2,"z":0}\n')
     target = StructType.fromDDL("a string, b int, c string")
     inferred = plans.read_batch(spark, "json", str(tmp_path), target, infer=True)
-    assert [f.dataType.simpleString() for f in inferred.schema] == ["bigint", "string", "string"]
+    assert [f.dataType.simpleString() for f in inferred.schema] == ["bigint", "string", "string", "string"]
     typed = plans.read_batch(spark, "json", str(tmp_path), target)
-    assert [f.dataType.simpleString() for f in typed.schema] == ["string", "int", "string"]
+    assert [f.dataType.simpleString() for f in typed.schema] == ["string", "int", "string", "string"]
 
 
 def test_stream_lands_each_file_once(spark, store, tmp_path):
@@ -387,26 +431,46 @@ def test_scratch_follows_the_session_setting(spark):
     assert made.startswith(f"{base}/logsilt/x-" if base else tempfile.gettempdir())
 
 
-def test_only_small_input_is_dealt_out(spark):
-    from logsilt.session import spread_small
-
-    df = spark.range(10).coalesce(1)
-    for size, tasks in ((1000, 8), (100 << 30, 1), (None, 1)):
-        assert spread_small(df, size).rdd.getNumPartitions() == tasks
-
-
-def test_jobs_are_sized_by_their_input(spark, tmp_path):
-    from logsilt.session import planned_bytes, shuffle_tasks, sized_for
+def test_damaged_input_goes_to_the_rejects_with_its_text(spark, store, tmp_path):
+    from pyspark.sql.types import StructType
 
-    base, split = shuffle_tasks(spark), spark.conf.get("spark.sql.files.maxPartitionBytes")
-    for size, tasks, split_bytes in (
-        (None, base, None), (1, base, None), (64 << 30, 1024, None), (100 << 40, 20_000, 1_099_511_628),
-    ):
-        with sized_for(spark, size):
-            assert shuffle_tasks(spark) == tasks
-            now = spark.conf.get("spark.sql.files.maxPartitionBytes")
-            assert now == (split if split_bytes is None else str(split_bytes))
-    assert shuffle_tasks(spark) == base and spark.conf.get("spark.sql.files.maxPartitionBytes") == split
-    spark.range(1000).write.parquet(str(tmp_path / "x"))
-    assert 0 < planned_bytes(spark.read.parquet(str(tmp_path / "x"))) < 1 << 20
-    assert planned_bytes(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")) is None
+    schema = StructType.fromDDL("m string, t string, v int")
+    tolerant = Rule("web.log", "m", "coalesce(t, '2024/01/01')", "yyyy/MM/dd", 2, order_by=("v",))
+    good, wrong, broken = '{"m":"a","t":"2024/01/01","v":1}', '{"m":"b","t":"2024/01/01","v":"x"}', "{bad 誠"
+    td = ("from_json(value, 'm string, t string, v int').m AS m", "from_json(value, 'm string, t string, v int').t AS t",
+          "from_json(value, 'm string, t string, v int').v AS v")
+    cases = {
+        "json": ("\n".join([good, wrong, broken]), "utf-8", [wrong, broken]),
+        "json_gbk": ("\n".join([good, broken]), "gbk", [broken]),
+        "txt": ("a|2024/01/01|1\nb|2024/01/01|x\nc\n", "utf-8", ["b|2024/01/01|x"]),
+        "csv": ("m,t,v\na,2024/01/01,1\nb,2024/01/01,x\n", "utf-8", ['{"m":"b","t":"2024/01/01","v":"x"}']),
+        "td": ("\r\n\r\n".join([good, broken]), "utf-8", [broken]),
+    }
+    for i, (kind, (text, encoding, bad)) in enumerate(cases.items()):
+        folder = tmp_path / kind
+        folder.mkdir()
+        (folder / "f.txt").write_bytes(text.encode(encoding))
+        place = Store(str(tmp_path / f"store{i}"), db_prefix=f"{store.db_prefix}{i}_")
+        rows = plans.read_batch(spark, kind, str(folder), schema, td if kind == "td" else ())
+        landed = plans.ingest(spark, place, tolerant, rows)
+        kept = [r for r in stored(spark, place) if r[1] is not None]
+        assert kept == [("2024/01/01", "a", 1)] + ([("2024/01/01", "c", None)] if kind == "txt" else []), kind
+        assert len(stored(spark, place)) == len(kept)
+        assert sorted(r._malformed for r in spark.read.parquet(landed.rejects).collect()) == sorted(bad), kind
+
+
+def test_a_joined_batch_lands_quickly(spark, store):
+    """Its size estimate is far off, so nothing may be sized by that."""
+    import time
+
+    sf = "/root/testdata/sf0.001"
+    lines, orders, customers = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("lineitem", "orders", "customer"))
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(customers, orders.o_custkey == customers.c_custkey)
+    rows = joined.selectExpr(
+        "l_linenumber", "1L AS logUpdateTime", "concat_ws('-', l_partkey, l_suppkey) AS logMatchValue",
+        "date_format(l_shipdate, 'yyyy') AS logActionTime",
+    )
+    start = time.time()
+    plans.offline_merge(spark, store, Rule("web.log", "m", "t", "yyyy", files=2), rows)
+    assert time.time() - start < 60
+    assert table(spark, store).count() == rows.select("logMatchValue", "logActionTime").distinct().count()
