@@ -6,9 +6,9 @@ words in at least a stated share of the documents need an entry, all rarer ones
 so the table of frequencies is bounded by the mean number of distinct words of a text over that share.
 
 Documents that agree on a band meet in a bucket. A bucket is worked through one document after the
-other: each is compared, by signature, with the leaders so far, forms a pair with the most similar
-leader of every cluster of leaders that it resembles, and is a leader itself unless it is almost equal
-to one. So a bucket gives about a pair for each document, not for each two. Tasks do so for their own
+other: each is compared, by signature, with the leaders so far, forms pairs with the most similar
+leaders of every cluster of leaders that it resembles, and is a leader itself unless it is almost equal
+to one. So a bucket gives some pairs for each document, not one for each two. Tasks do so for their own
 rows first, and a bucket of many copies sends few rows on. Bands differ in the order of documents, so
 that they differ in leaders. Candidate pairs are then verified by the exact weighted Jaccard
 similarity of the whole texts.
@@ -33,9 +33,11 @@ BANDS, ROWS = 12, 3
 SAMPLES = BANDS * ROWS
 #: Words in a smaller share of the documents all have the weight of this share.
 COMMON = 1e-3
-#: Of the samples, how many must agree for a pair to be verified, for a document to join a leader's
-#: cluster, and to be no leader. At a similarity of 0.8 fewer than 19 of 36 agree once in 10,000 pairs.
-AGREE, JOIN, ABSORB = 19, 27, 31
+#: Of the samples, how many must agree for two documents to be of one cluster and be verified, and for
+#: a document to be no leader. At a similarity of 0.8 fewer than 19 of 36 agree once in 10,000 pairs.
+AGREE, ABSORB = 19, 31
+#: Leaders of a cluster that a document is verified against, in each bucket.
+BEST = 3
 #: Rows after which a task starts with new leaders in a bucket before the shuffle (not after it).
 BUCKET_RUN = 4096
 #: Orders of documents that the bands share.
@@ -251,20 +253,21 @@ class _Bucket:
         same = (self._held[:used] == signature).sum(axis=1)
         near = np.flatnonzero(same >= AGREE)
         near = near[np.lexsort((near, -same[near]))]
-        _, best = np.unique(self._clusters[near], return_index=True)
-        pairs = [self._ids[i] for i in near[np.sort(best)]]
+        clusters = self._clusters[near]
+        pairs = [self._ids[i] for c in np.unique(clusters) for i in near[clusters == c][:BEST]]
+        pairs = [p for p in pairs if p != doc]
         if len(near) and same[near[0]] >= ABSORB:
-            return [p for p in pairs if p != doc], False
-        joined = np.unique(self._clusters[near[same[near] >= JOIN]])
+            return pairs, False
+        joined = np.unique(clusters)
         cluster = joined[0] if len(joined) else used
         if len(joined) > 1:
-            self._clusters[np.isin(self._clusters[:used], joined).nonzero()[0]] = cluster
+            self._clusters[:used][np.isin(self._clusters[:used], joined)] = cluster
         if used == len(self._held):
             self._held = np.concatenate([self._held, np.empty((max(used, 8), SAMPLES), np.uint8)])
             self._clusters = np.concatenate([self._clusters, np.zeros(max(used, 8), np.int32)])
         self._held[used], self._clusters[used] = signature, cluster
         self._ids.append(doc)
-        return [p for p in pairs if p != doc], True
+        return pairs, True
 
 
 def _lead(run: int | None):
