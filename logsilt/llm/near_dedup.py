@@ -16,6 +16,7 @@ similarity of the whole texts.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
 from typing import NamedTuple
@@ -46,6 +47,7 @@ ORDERS = 4
 _CHUNK = 1 << 15
 _REMEMBERED = 1 << 19
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_PLACES = (np.arange(1, 2 * WORDS, 2, dtype=np.uint64) * _M1 ^ _M2) | np.uint64(1)
 
 
 class Weights(NamedTuple):
@@ -56,15 +58,31 @@ class Weights(NamedTuple):
     rare: float
 
 
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+class _Words(dict):
+    """Numbers of words met by a worker, with hash and weight of each; starts anew when it holds many."""
 
+    def __init__(self, weights: Weights):
+        super().__init__()
+        self._common = dict(zip(weights.words.tolist(), weights.weights.tolist(), strict=True))
+        self._rare = weights.rare
+        self._hashes, self._weights = np.empty(1 << 12, np.uint64), np.empty(1 << 12)
 
-_hashes = _Hashes()
+    def __missing__(self, word: str) -> int:
+        number = len(self)
+        if number == len(self._hashes):
+            self._hashes, self._weights = (np.concatenate([a, np.empty_like(a)]) for a in (self._hashes, self._weights))
+        value = xxhash.xxh3_64_intdigest(word)
+        self._hashes[number] = value
+        self._weights[number] = self._common.get(value, self._rare)
+        self[word] = number
+        return number
+
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and weight of every word."""
+        if len(self) > _REMEMBERED:
+            self.clear()
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self._hashes[numbers], self._weights[numbers]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -77,24 +95,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * _M2
 
 
-def shingles(words: list[str], weights: Weights) -> tuple[np.ndarray, np.ndarray]:
+def shingles(words: list[str], known: _Words) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the distinct shingles, and their weights. Fewer than five words are one shingle."""
     if not words:
         return np.empty(0, np.uint64), np.empty(0)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    if len(weights.words):
-        at = np.minimum(np.searchsorted(weights.words, hashes), len(weights.words) - 1)
-        own = np.where(weights.words[at] == hashes, weights.weights[at], weights.rare)
-    else:
-        own = np.full(len(hashes), weights.rare)
+    hashes, own = known.look_up(words)
     size = min(WORDS, len(words))
     n = len(words) - size + 1
-    keys, total = np.zeros(n, np.uint64), np.zeros(n)
-    for i in range(size):
-        keys = _mixed(keys + hashes[i : i + n])
+    keys, total = hashes[:n] * _PLACES[0], own[:n].copy()
+    for i in range(1, size):
+        keys += hashes[i : i + n] * _PLACES[i]
         total += own[i : i + n]
-    keys, first, times = np.unique(keys, return_index=True, return_counts=True)
-    return keys, total[first] / size * times
+    keys = _mixed(keys)
+    order = keys.argsort()
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    # equal shingles have equal weights, so their sum is the weight times the count
+    return keys[first], np.add.reduceat(total[order], first) / size
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -109,7 +126,7 @@ def _gamma_quantiles() -> tuple[np.ndarray, np.ndarray]:
     """2 ** 16 quantiles of Gamma(2, 1), and their logarithms: samples by table look-up."""
     x = np.concatenate([[0.0], np.geomspace(1e-4, 40, 200_000)])
     quantiles = np.interp((np.arange(1 << 16) + 0.5) / (1 << 16), 1 - (1 + x) * np.exp(-x), x)
-    return quantiles, np.log(quantiles)
+    return quantiles.astype(np.float32), np.log(quantiles).astype(np.float32)
 
 
 class Sampler:
@@ -118,7 +135,6 @@ class Sampler:
     def __init__(self, samples: int = SAMPLES, seed: int = 1):
         self._seeds = np.random.default_rng(seed).integers(1, 1 << 63, samples, np.uint64) | np.uint64(1)
         self._gamma, self._log_gamma = _gamma_quantiles()
-        self._low = np.uint64(0xFFFF)
 
     def signatures(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """One row of 64-bit values for each text; texts must have shingles."""
@@ -135,26 +151,35 @@ class Sampler:
 
     def _chunk(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         keys = np.concatenate([t[0] for t in texts])
-        log_weight = np.log(np.concatenate([t[1] for t in texts]))
+        log_weight = np.log(np.concatenate([t[1] for t in texts])).astype(np.float32)
         sizes = np.array([len(t[0]) for t in texts])
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         owner = np.repeat(np.arange(len(texts)), sizes)
         out = np.empty((len(texts), len(self._seeds)), np.uint64)
+        # buffers for all samples; z gives three random numbers of 16 bits for a shingle and a sample
+        z, shifted = np.empty_like(keys), np.empty_like(keys)
+        bits = z.view(np.uint16).reshape(-1, 4)
+        r, log_a, beta, level = (np.empty(len(keys), np.float32) for _ in range(4))
         for k, seed in enumerate(self._seeds):
-            z = keys * seed
-            z ^= z >> np.uint64(32)
+            np.multiply(keys, seed, out=z)
+            z ^= np.right_shift(z, np.uint64(32), out=shifted)
             z *= _M2
-            z ^= z >> np.uint64(31)
-            r = self._gamma[z & self._low]
-            log_c = self._log_gamma[(z >> np.uint64(16)) & self._low]
-            beta = (z >> np.uint64(32)) * 2.0**-32
-            level = np.floor(log_weight / r + beta)
-            log_a = log_c - r * (level - beta + 1.0)
+            z ^= np.right_shift(z, np.uint64(31), out=shifted)
+            np.take(self._gamma, bits[:, 1], out=r, mode="clip")
+            np.take(self._log_gamma, bits[:, 2], out=log_a, mode="clip")
+            np.multiply(bits[:, 3], np.float32(2.0**-16), out=beta, casting="unsafe")
+            # level = floor(ln w / r + beta); ln a = ln c - r * (level - beta + 1)
+            np.divide(log_weight, r, out=level)
+            level += beta
+            np.floor(level, out=level)
+            np.subtract(level, beta, out=beta)
+            beta += np.float32(1)
+            beta *= r
+            log_a -= beta
             least = np.minimum.reduceat(log_a, starts)
             chosen = np.flatnonzero(log_a == least[owner])
-            of = owner[chosen]
-            first = np.searchsorted(of, np.arange(len(texts)))  # the first of equal ones
-            chosen = chosen[first]
+            # of equal ones the first, which is the same for equal texts
+            chosen = chosen[np.searchsorted(owner[chosen], np.arange(len(texts)))]
             out[:, k] = _mixed(keys[chosen] + level[chosen].astype(np.int64).astype(np.uint64) * _M1)
         return out
 
@@ -164,24 +189,22 @@ def word_weights(docs: DataFrame) -> Weights:
     n = docs.count()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, int] = {}
+        seen: Counter[str] = Counter()
 
         def rows() -> Iterator[pa.RecordBatch]:
             items = iter(seen.items())
             while part := list(islice(items, 1 << 16)):
-                words, counts = zip(*part, strict=True)
+                hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w, _ in part), np.uint64, len(part))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(words, np.uint64).view(np.int64)), pa.array(counts, pa.int64())], ["word", "n"]
+                    [pa.array(hashes.view(np.int64)), pa.array([n for _, n in part], pa.int64())], ["word", "n"]
                 )
 
         for batch in batches:
             for text in batch.column("text"):
-                for word in set(words_of(text.as_py())):
-                    h = _hashes[word]
-                    seen[h] = seen.get(h, 0) + 1
-            if len(seen) > 1 << 20:
-                yield from rows()
-                seen.clear()
+                seen.update(set(words_of(text.as_py())))
+                if len(seen) > _REMEMBERED:
+                    yield from rows()
+                    seen.clear()
         yield from rows()
 
     counts = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -202,7 +225,7 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler, table = Sampler(), shared.value
+        sampler, known = Sampler(), _Words(shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
@@ -212,7 +235,7 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
                     key = xxhash.xxh3_128_digest(" ".join(words))
                     keys.append(key)
                     if words and key not in new:
-                        new[key] = shingles(words, table)
+                        new[key] = shingles(words, known)
                 signed = dict(zip(new, sampler.signatures(list(new.values())), strict=True))
                 bands, low = [], []
                 for key in keys:
@@ -335,14 +358,14 @@ def verified(docs: DataFrame, pairs: DataFrame, weights: Weights, least: float =
     texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("leader", "leads", "doc_id", "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        known = _Words(shared.value)
         leader, own = None, []
         for batch in batches:
             ids, others = [], []
             columns = (batch.column(c) for c in ("leader", "leads", "doc_id", "text"))
             for at, leads, doc, text in zip(*columns, strict=True):
                 at, doc = at.as_py(), doc.as_py()
-                found = shingles(words_of(text.as_py()), table)
+                found = shingles(words_of(text.as_py()), known)
                 if at != leader:
                     leader, own = at, []
                 if leads.as_py():
