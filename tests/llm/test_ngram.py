@@ -1,0 +1,139 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from logsilt.llm import ngram, queries, stages
+from logsilt.llm.common import table, written
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, n_words string, kept string"
+
+
+def counts_of(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    hit = {j for i, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for j in (i, i + 1, i + 2)}
+    n_dup = sum(line in lines[:i] for i, line in enumerate(lines))
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), n_dup, len(hit)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", " \n\t", "a b c a b c a", "a a a a a", "x y", "é 日本 z q\x0b\x0cw\n\nq\n é", "l1\nl1\n l1\nl2\n\n\nl1", "#*$%&|<> @", "a b c d\x1ca b c"],
+)
+def test_counts(text):
+    assert ngram.text_counts(text.encode()) == counts_of(text)
+
+
+def brute_model(texts):
+    """Interpolated modified Kneser-Ney, straight from its definition."""
+    grams = [Counter() for _ in range(ngram.ORDER + 1)]
+    for text in texts:
+        s = [1] * (ngram.ORDER - 1) + ngram.ALPHABET[np.frombuffer(text.encode(), np.uint8)].tolist()
+        for i in range(ngram.ORDER - 1, len(s)):
+            grams[ngram.ORDER][tuple(s[i - ngram.ORDER + 1 : i + 1])] += 1
+    for n in range(ngram.ORDER - 1, 0, -1):
+        for g in grams[n + 1]:
+            grams[n][g[1:]] += 1
+    cuts, totals = {}, {}
+    for n in range(1, ngram.ORDER + 1):
+        of = Counter(grams[n].values())
+        y = of[1] / (of[1] + 2 * of[2]) if of[1] and of[2] else None
+        cuts[n] = [0.0]
+        for i, plain in ((1, 0.5), (2, 1.0), (3, 1.5)):
+            cuts[n].append(min(max(i - (i + 1) * y * of[i + 1] / of[i], 0.05), i - 0.05) if y and of[i] and of[i + 1] else plain)
+        totals[n] = defaultdict(lambda: [0, 0.0])
+        for g, c in grams[n].items():
+            totals[n][g[:-1]][0] += c
+            totals[n][g[:-1]][1] += cuts[n][min(c, 3)]
+
+    def p(gram):
+        n = len(gram)
+        if n == 0:
+            return 1 / ngram.SYMBOLS
+        if gram[:-1] not in totals[n]:
+            return p(gram[1:])
+        total, given = totals[n][gram[:-1]]
+        c = grams[n].get(gram, 0)
+        return max(c - cuts[n][min(c, 3)], 0.0) / total + given / total * p(gram[1:])
+
+    return p
+
+
+def test_model_is_kneser_ney(spark):
+    texts = ["the cat sat on the mat.", "the dog sat on the log!", "a cat, a dog.\nThe end", "é日本 x", ""]
+    df = spark.createDataFrame([(i, t, "en", "", "") for i, t in enumerate(texts)], SCHEMA)
+    model, p = ngram.train(df), brute_model(texts)
+    for text in [*texts, "the zebra sat", "日x本 9", "THE CAT"]:
+        keys = np.concatenate([k for k in ngram.grams_of(text.encode())] or [np.zeros(0, np.int32)])
+        want = [math.log(p(tuple((int(k) >> (6 * i)) & 63 for i in range(3, -1, -1)))) for k in keys]
+        assert np.allclose(model.log_probabilities(keys), want, rtol=1e-5, atol=1e-5)
+    # a distribution over what may follow
+    context = int(next(ngram.grams_of(b"the"))[-1] & (64**3 - 1))
+    keys = np.array([(context << 6) | s for s in range(64)], np.int32)
+    assert abs(np.exp(model.log_probabilities(keys)).sum() - 1) < 1e-5
+
+
+def test_long_text_in_parts(monkeypatch):
+    data = b"Some text, in parts. " * 40
+    whole = np.concatenate(list(ngram.grams_of(data)))
+    monkeypatch.setattr(ngram, "_CHUNK", 7)
+    assert (np.concatenate(list(ngram.grams_of(data))) == whole).all() and len(whole) == len(data)
+
+
+def test_query(spark):
+    docs = {r.doc_id: r for r in table(spark, SF, "documents").collect()}
+    rows = queries.op9_ngram_quality(spark, SF).collect()
+    assert len(rows) == len(docs)
+    p = brute_model([d.text for d in docs.values()])
+    memo = {}
+    scores = {}
+    for r in rows:
+        c = counts_of(docs[r.doc_id].text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == c
+        assert r.base_failed == (c[0] < 50 or 100 * c[4] > 50 * c[0])
+        data = docs[r.doc_id].text[:3000]
+        if len(data) == len(docs[r.doc_id].text) and data:
+            keys = np.concatenate(list(ngram.grams_of(data.encode())))
+            for k in set(keys.tolist()) - memo.keys():
+                memo[k] = math.log(p(tuple((k >> (6 * i)) & 63 for i in range(3, -1, -1))))
+            assert abs(r.log_perplexity + sum(memo[k] for k in keys.tolist()) / len(keys)) < 1e-4
+        scores[r.doc_id] = r
+    # bands from their definition
+    steps = sorted(math.floor(r.log_perplexity / ngram.STEP) for r in rows if not r.base_failed)
+    q1, q2, q3 = (steps[max(0, math.ceil(s * len(steps)) - 1)] * ngram.STEP for s in (0.25, 0.5, 0.75))
+    low, high = q2 - 8 * max(q2 - q1, 0.02), q2 + 8 * max(q3 - q2, 0.02)
+    own = Counter(docs[i].lang for i, r in scores.items() if not r.base_failed)
+    assert max(own.values()) < ngram.LEAST_DOCS
+    for r in rows:
+        assert r.kept == (not r.base_failed and low <= r.log_perplexity <= high)
+
+
+def test_bands_are_per_language(spark):
+    plain, odd = "the cat sat on the mat and looked at us all day long ", "zqx jvk wqz xkj qzv kxw "
+    words = lambda s, n, k: " ".join(f"{w}{'ab'[(i * k) % 2]}" for i, w in enumerate((s * n).split()[:90]))
+    rows = [(i, words(plain, 20, i), "en", "", "") for i in range(250)] + [(1000 + i, words(odd, 20, i), "xx", "", "") for i in range(220)]
+    rows += [(5000, words(odd, 20, 1), "en", "", ""), (5001, words(plain, 20, 1), "xx", "", "")]
+    rows += [(6000, None, "en", "", ""), (6001, "", None, "", ""), (None, words(plain, 20, 0), "en", "", ""), (0, words(plain, 20, 0), "en", "", "")]
+    kept = {r.doc_id: r.kept for r in ngram.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    repeated = {i for i, t, *_ in rows if t and 100 * counts_of(t)[4] > 50 * counts_of(t)[0]}
+    assert not kept[6000] and not kept[6001]
+    assert all(not kept[i] for i in repeated)
+
+
+def test_empty_table_and_stage(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert ngram.judge(empty).collect() == []
+    assert stages.apply_rules(spark, empty, SF).collect() == []
+    docs = written(table(spark, SF, "documents").withColumns({"row": F.lit(1), "n_words": F.lit("own"), "kept": F.lit(0)}), "docs")
+    kept = stages.apply_rules(spark, docs, SF)
+    assert kept.columns == docs.columns
+    good = {r.doc_id for r in queries.op9_ngram_quality(spark, SF).collect() if r.kept}
+    assert {r.doc_id for r in kept.collect()} == good

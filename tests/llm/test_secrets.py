@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from logsilt.llm import queries, secrets, stages
+from logsilt.llm.common import table
+
+SCHEMA = "doc_id long, text string, base string, spans int"
+KEY = "kJ8vQ2xZr7Lw0pTfYb3NsG5hDc1Ma9Ue"
+TEXTS = [
+    None, "", "nothing here", "token=short", "Secret : 'abcdefgh' é token= \"日本\" API-KEY api_key=xyz.12345_/+", "apikey:aaaaaaaa",
+    "token=apikey: abcdefghij", "AKIAABCDEFGHIJKL AKIASHORT AKIA" + "A" * 40, "é" * 3 + "0" * 31 + " " + "a" * 32 + "g" + "deadbeef" * 9,
+    f"key {KEY} end", f"{KEY}{KEY[::-1]}", "x" * 60, "somewords-andmore-words12", "1234567890abcdefghij1234", "12345678901234567890123",
+    "550e8400-e29b-41d4-a716-446655440000", "token=" + KEY, f"{KEY} " * 1500, "password = " + "A1b2C3d4" * 4, "日" + KEY + "日",
+    "0123456789ABCDEF0A1B2C3D4E5F60718293", "token:" + "z" * 100_000, "tokentokentoken=secret=passwd=abcdefgh1", "ſecret=abcdefghij",
+]
+
+
+def base_spans(text):
+    found = []
+    for kind, pattern, group, least in ((0, secrets.ASSIGN, 2, 8), (1, secrets.ACCESS, 0, 16), (2, secrets.HEX, 0, 32)):
+        for m in re.finditer(pattern, text, re.ASCII):
+            if len(m[group]) >= least:
+                found.append((m.start(), kind, m.end()))
+    return sorted(found)
+
+
+def entropy_spans(text):
+    found = set()
+    for pattern, bits in secrets.CLASSES:
+        for m in re.finditer(pattern, text, re.ASCII):
+            if any(re.fullmatch(a, m[0]) for a in secrets.ALLOWED):
+                continue
+            w, stretches = secrets.WINDOW, []
+            for i in range(len(m[0]) - w + 1):
+                counts = Counter(m[0][i : i + w])
+                if -sum(c / w * math.log2(c / w) for c in counts.values()) >= bits - 1e-9:
+                    if stretches and stretches[-1][1] >= i:
+                        stretches[-1][1] = i + w
+                    else:
+                        stretches.append([i, i + w])
+            found |= {(m.start() + a, 3, m.start() + b) for a, b in stretches}
+    base = base_spans(text)
+    return {
+        e for e in found
+        if not any(b[0] < e[2] and e[0] < b[2] for b in base)
+        and not any(o != e and o[0] <= e[0] and e[2] <= o[2] for o in found)
+    }
+
+
+def written_out(spans):
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def expected(text):
+    base = base_spans(text)
+    kinds = Counter(k for _, k, _ in base)
+    return (
+        kinds[0], kinds[1], kinds[2], hashlib.sha256(written_out(base).encode()).hexdigest(),
+        written_out(sorted({*base, *entropy_spans(text)})),
+    )
+
+
+def found(spark, texts):
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA)
+    return {r.doc_id: tuple(r)[1:] for r in secrets.find_secrets(df).collect()}
+
+
+def test_against_brute_force(spark):
+    got = found(spark, TEXTS)
+    for i, text in enumerate(TEXTS):
+        assert got[i] == expected(text or ""), (text or "")[:80]
+    assert "entropy" in got[9][4] and "entropy" in got[17][4] and not got[12][4] and not got[15][4]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001"])
+def test_query(spark, sf):
+    path = f"/root/testdata/{sf}"
+    texts = {r.doc_id: r.text for r in table(spark, path, "documents").collect()}
+    rows = queries.op4_entropy_secrets(spark, path).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert tuple(r)[1:] == expected(texts[r.doc_id])
+
+
+def test_many_matches_keep_their_places(spark):
+    text = "é token=abcdefgh1 " * 3000
+    got = found(spark, [text])[0]
+    assert got == expected(text) and got[0] == 3000
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.createDataFrame([(1, "x", "", 1)], SCHEMA)
+    plan = secrets.find_secrets(df)._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Exchange"))
+
+
+def test_stage_masks_and_keeps_all_rows(spark, tmp_path):
+    rows = [(i, t, "en", "s", len(t or ""), "x") for i, t in enumerate(TEXTS)] + [(None, "token=abcdefgh", None, None, None, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, spans string")
+    out = stages.redact_secrets(spark, df, "")
+    assert out.columns == df.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert out.count() == len(rows)
+    for i, text in enumerate(TEXTS):
+        if text is None:
+            assert got[i].text is None
+            continue
+        spans = sorted({*base_spans(text), *entropy_spans(text)})
+        clean, at = "", 0
+        merged = []
+        for a, _, b in spans:
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        for a, b in merged:
+            clean += text[at:a] + "[SECRET]"
+            at = b
+        assert got[i].text == clean + text[at:] and got[i].n_chars == len(got[i].text)
+    assert got[None].text == "[SECRET]"
