@@ -13,15 +13,17 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from logsilt.llm.bpe import REMEMBERED, split_text
+from logsilt.llm.bpe import split_text
 from logsilt.llm.common import written
 
 CAPACITY = 1024
@@ -111,30 +113,42 @@ def places(plan: list[tuple[int, list[int]]]) -> dict[int, tuple[np.ndarray, np.
     return {n: tuple(np.array(c, np.int64) for c in zip(*r, strict=True)) for n, r in runs.items()}
 
 
+def byte_ranks(tokenizer: Tokenizer) -> dict[bytes, int]:
+    """Token bytes to id for a byte-level tokenizer, without its special tokens.
+
+    Its vocabulary writes bytes as characters: printable Latin-1 ones as themselves, the others, in
+    order, as those from U+0100 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    of_char = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+    special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    return {bytes(of_char[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+
+
 class _Ids:
-    """Ids of whole texts by the tokenizer file; pre-tokens met before are remembered.
+    """Ids of whole texts by the tokenizer file.
 
-    Merges never cross the matches of the split pattern, so the ids of a text are those of its matches.
+    Its vocabulary is a byte-level BPE whose ids rise in the order of its merges, so they are ranks
+    that tiktoken encodes by, to the same ids in a quarter of the time. Texts with stretches of white
+    space that its pattern engine gives up on go through the tokenizer, one match of the pattern at a
+    time: merges never cross these.
     """
 
     def __init__(self, path: str, pattern: str):
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._find = regex.compile(pattern)
-        self._known: dict[str, bytes] = {}
+        self._fast = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=byte_ranks(self._tokenizer), special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        known, out = self._known, []
-        for pieces in split_text(self._find, text):
-            new = list(set(pieces).difference(known))
-            if new:
-                if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = list(set(pieces))
-                found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, found, strict=True))
-            out.append(b"".join(map(known.__getitem__, pieces)))
-        return np.frombuffer(b"".join(out), "<u4")
+        try:
+            return self._fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+        except ValueError:
+            pieces = chain.from_iterable(split_text(self._find, text))
+            ids = [i for p in pieces for i in self._tokenizer.encode(p, add_special_tokens=False).ids]
+            return np.array(ids, "<u4")
 
 
 @lru_cache(maxsize=2)
