@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -20,51 +21,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logsilt.llm.common import by_batch
+
 #: Pre-tokens a worker remembers before it starts anew; bounds its memory, never the result.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 _LONG_TEXT = 1 << 20
-
-
-class RankQueue:
-    """Positions by merge rank, lowest rank first and leftmost position first."""
-
-    def __init__(self, ranks: int):
-        words = (ranks >> 6) + 1
-        self._words = [0] * words
-        self._groups = [0] * ((words >> 6) + 1)
-        self._top = 0
-        self._buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self._buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self._buckets[rank] = [position]
-        word = rank >> 6
-        group = word >> 6
-        self._words[word] |= 1 << (rank & 63)
-        self._groups[group] |= 1 << (word & 63)
-        self._top |= 1 << group
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self._top:
-            return None
-        group = (self._top & -self._top).bit_length() - 1
-        marks = self._groups[group]
-        word = (group << 6) | ((marks & -marks).bit_length() - 1)
-        bits = self._words[word]
-        rank = (word << 6) | ((bits & -bits).bit_length() - 1)
-        bucket = self._buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self._buckets[rank]
-            self._words[word] = bits = bits & (bits - 1)
-            if not bits:
-                self._groups[group] = marks = marks & (marks - 1)
-                if not marks:
-                    self._top &= self._top - 1
-        return rank, position
+_BIT = [1 << i for i in range(64)]
 
 
 class Bpe:
@@ -73,17 +35,22 @@ class Bpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self._ranks = ranks
         self._find = regex.compile(pattern)
-        self._queue = RankQueue(max(ranks.values()) + 1)
         self._tokens = {i: token for token, i in ranks.items()}
         self._known = _Remembered(self._packed)
+        # the queue, empty between calls: buckets by rank, a bit for each bucket, for each word of
+        # bits, and (a local of merge) for each group of words
+        words = (max(ranks.values()) >> 6) + 1
+        self._buckets: dict[int, list[int]] = {}
+        self._words = [0] * words
+        self._groups = [0] * ((words >> 6) + 1)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks = self._ranks
-        whole = ranks.get(piece)
+        """Ids of one pre-token. The queue is written out here, as calls would take most of the time."""
+        get = self._ranks.get
+        whole = get(piece)
         if whole is not None:
             return [whole]
-        n, get, queue = len(piece), ranks.get, self._queue
+        n, buckets, words, groups, top = len(piece), self._buckets, self._words, self._groups, 0
         after = list(range(1, n + 2))
         before = list(range(-1, n))
         pair = [-1] * n
@@ -91,37 +58,67 @@ class Bpe:
             rank = get(piece[i : i + 2])
             if rank is not None:
                 pair[i] = rank
-                queue.push(rank, i)
-        while (lowest := queue.pop()) is not None:
-            rank, i = lowest
+                if rank in buckets:
+                    buckets[rank].append(i)  # positions rise, so this is a heap
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> 6
+                    words[word] |= _BIT[rank & 63]
+                    groups[word >> 6] |= _BIT[word & 63]
+                    top |= 1 << (word >> 6)
+        while top:
+            # the first bit set on each level leads to the lowest rank
+            group = (top & -top).bit_length() - 1
+            marks = groups[group]
+            word = (group << 6) | ((marks & -marks).bit_length() - 1)
+            bits = words[word]
+            rank = (word << 6) | ((bits & -bits).bit_length() - 1)
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                words[word] = bits = bits & (bits - 1)
+                if not bits:
+                    groups[group] = marks = marks & (marks - 1)
+                    if not marks:
+                        top &= top - 1
             if pair[i] != rank:
                 continue  # stale: the pair at this position has changed or is gone
             gone = after[i]
             end = after[gone]
             after[i] = end
             pair[gone] = pair[i] = -1
+            left = before[i]
+            changed = []
             if end < n:
                 before[end] = i
-                new = get(piece[i : after[end]])
-                if new is not None:
-                    pair[i] = new
-                    queue.push(new, i)
-            left = before[i]
+                changed.append((i, get(piece[i : after[end]])))
             if left >= 0:
-                new = get(piece[left:end])
+                changed.append((left, get(piece[left:end])))
+            for at, new in changed:
                 if new is None:
-                    pair[left] = -1
-                elif new != pair[left]:
-                    pair[left] = new
-                    queue.push(new, left)
+                    pair[at] = -1
+                elif new != pair[at]:
+                    pair[at] = new
+                    if new in buckets:
+                        heappush(buckets[new], at)
+                    else:
+                        buckets[new] = [at]
+                        word = new >> 6
+                        words[word] |= _BIT[new & 63]
+                        groups[word >> 6] |= _BIT[word & 63]
+                        top |= 1 << (word >> 6)
         ids, i = [], 0
         while i < n:
-            ids.append(ranks[piece[i : after[i]]])
+            ids.append(get(piece[i : after[i]]))
             i = after[i]
         return ids
 
     def _packed(self, piece: str) -> bytes:
-        return np.array(self.merge(piece.encode()), "<u4").tobytes()
+        ids = self.merge(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers, pre-token by pre-token."""
@@ -189,8 +186,8 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, text: Column
                 )
 
     text = F.col("text") if text is None else text
-    return df.select("doc_id", F.coalesce(text, F.lit("")).alias("text")).mapInArrow(
-        encode, "doc_id long, ids binary, decoded binary"
+    return df.select("doc_id", F.coalesce(text, F.lit("")).alias("text")).transform(
+        by_batch, encode, "doc_id long, ids binary, decoded binary"
     )
 
 
@@ -211,6 +208,6 @@ def encoding_digests(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).transform(
+        by_batch, digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
