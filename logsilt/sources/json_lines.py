@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import json
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -172,7 +171,9 @@ def read_gbk_json_typed(
     schema: StructType,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    return parse_json_lines(read_lines(spark, paths, "GBK"), schema, options)
+    """GBK JSON lines, decoded and then parsed once by Spark's own reader, as UTF-8 files are."""
+    lines = read_lines(spark, paths, "GBK")
+    return _typed_rows(lambda reader: _json_of(reader, lines), spark, schema, options)
 
 
 def read_gbk_json_flat(
@@ -196,18 +197,38 @@ def read_json_lines(
     line are all NULL (the source keeps what it could read), with the line in the corrupt-record
     column; a top-level array with a malformed element gives such a row for each element read.
     """
-    opts, mode, corrupt = json_options(options)
-    reader = spark.read.options(**opts, mode=mode, columnNameOfCorruptRecord=corrupt)
     if schema is None:
+        opts, mode, corrupt = json_options(options)
+        reader = spark.read.options(**opts, mode=mode, columnNameOfCorruptRecord=corrupt)
         return reader.json(as_paths(paths))
+    return _typed_rows(lambda reader: reader.json(as_paths(paths)), spark, schema, options)
+
+
+def _json_of(reader: DataFrameReader, lines: DataFrame) -> DataFrame:
+    """Text lines through a JSON reader; the JVM takes the column as it is, without a pass through Python."""
+    spark = lines.sparkSession
+    text = lines._jdf.select("value", spark._jvm.PythonUtils.toSeq([]))
+    strings = getattr(text, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(reader._jreader.json(strings), spark)
+
+
+def _typed_rows(
+    read: Callable[[DataFrameReader], DataFrame],
+    spark: SparkSession,
+    schema: StructType,
+    options: dict[str, str] | None,
+) -> DataFrame:
+    """What a JSON reader gives for a schema, with rows of malformed lines all NULL."""
+    opts, mode, corrupt = json_options(options)
+    reader = spark.read.options(**opts, mode=mode, columnNameOfCorruptRecord=corrupt)
     body = [f for f in schema.fields if f.name != corrupt]
     if mode != "PERMISSIVE":
-        found = reader.schema(StructType(body)).json(as_paths(paths))
+        found = read(reader.schema(StructType(body)))
         blank = F.lit(None).cast("string")
         return found.select(
             *[(blank if f.name == corrupt else F.col(quoted(f.name))).alias(f.name) for f in schema.fields]
         )
-    found = reader.schema(StructType([*body, StructField(corrupt, StringType())])).json(as_paths(paths))
+    found = read(reader.schema(StructType([*body, StructField(corrupt, StringType())])))
     text = F.col(quoted(corrupt))
     return found.select(
         *[
@@ -229,11 +250,7 @@ def infer_json_schema(
     if encoding.upper() != "GBK":
         schema = reader.json(as_paths(paths)).schema
     else:
-        lines = read_lines(spark, paths, encoding)
-        # the JVM reader takes the decoded column as it is, without a pass through Python
-        text = lines._jdf.select("value", spark._jvm.PythonUtils.toSeq([]))
-        strings = getattr(text, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
-        schema = StructType.fromJson(json.loads(reader._jreader.json(strings).schema().json()))
+        schema = _json_of(reader, read_lines(spark, paths, encoding)).schema
     return schema
 
 
