@@ -6,11 +6,11 @@ words in at least a stated share of the documents need an entry, all rarer ones
 so the table of frequencies is bounded by the mean number of distinct words of a text over that share.
 
 Documents that agree on a band meet in a bucket. A bucket is worked through one document after the
-other: each is compared, by signature, with the leaders so far, forms pairs with the most similar
-leaders of every cluster of leaders that it resembles, and is a leader itself unless it is almost equal
-to one. So a bucket gives some pairs for each document, not one for each two. Tasks do so for their own
-rows first, and a bucket of many copies sends few rows on. Bands differ in the order of documents, so
-that they differ in leaders. Candidate pairs are then verified by the exact weighted Jaccard
+other: each is compared, by signature, with the leaders so far, forms pairs with some leaders of every
+cluster of leaders that it resembles, and is a leader itself, unless the cluster has many and one is
+almost equal to it. So a bucket gives some pairs for each document, not one for each two. Tasks thin out
+their own rows in the same way before the shuffle. Bands differ in the order of documents, so that they
+differ in leaders. Candidate pairs are then verified by the exact weighted Jaccard
 similarity of the whole texts.
 """
 
@@ -34,15 +34,20 @@ BANDS, ROWS = 12, 3
 SAMPLES = BANDS * ROWS
 #: Words in a smaller share of the documents all have the weight of this share.
 COMMON = 1e-3
-#: Of the samples, how many must agree for two documents to be of one cluster and be verified, and for
-#: a document to be no leader. At a similarity of 0.8 fewer than 19 of 36 agree once in 10,000 pairs.
-AGREE, ABSORB = 19, 31
-#: Leaders of a cluster that a document is verified against, in each bucket.
-BEST = 3
+#: Of the samples, how many must agree for two documents to be of one cluster and be verified. At a
+#: similarity of 0.8 fewer than 19 of 36 agree once in 10,000 pairs.
+AGREE = 19
+#: In a cluster of so many leaders a document is no leader if so many samples agree with one of them;
+#: before the shuffle, where a task sees a part of the bucket, only if nearly all agree.
+MANY, ABSORB, ABSORB_EARLY = 64, 31, 35
+#: Leaders of a cluster that a document is verified against, in each bucket: the most similar ones by
+#: signature, and the most central ones, those most similar to all documents met so far. Copies that
+#: were changed more or less link, if to any, to the least changed ones.
+BEST, CENTRAL = 3, 3
 #: Rows after which a task starts with new leaders in a bucket before the shuffle (not after it).
 BUCKET_RUN = 4096
-#: Orders of documents that the bands share.
-ORDERS = 4
+#: Orders of documents that the bands share; a pair is met in both directions in some of them.
+ORDERS = 12
 
 _CHUNK = 1 << 15
 _REMEMBERED = 1 << 19
@@ -260,43 +265,59 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
 class _Bucket:
     """The leaders of a bucket, in clusters of similar ones."""
 
-    def __init__(self):
+    def __init__(self, absorb: int = ABSORB):
+        self._absorb = absorb
         self._ids: list[int] = []
         self._held: np.ndarray | None = None
         self._clusters: np.ndarray | None = None
+        self._met = 0  # documents so far
+        self._since: np.ndarray | None = None  # how many of them before a leader
+        self._agreed: np.ndarray | None = None  # samples that a leader had in common with those after it
 
     def add(self, doc: int, signature: np.ndarray) -> tuple[list[int], bool]:
         """The leaders that the document is to be compared with, and whether it is a leader now."""
         used = len(self._ids)
+        self._met += 1
         if not used:
             # most buckets never hold more
             self._held, self._clusters = signature[None, :], np.zeros(1, np.int32)
+            self._since, self._agreed = np.ones(1), np.zeros(1)
             self._ids.append(doc)
             return [], True
         same = (self._held[:used] == signature).sum(axis=1)
+        self._agreed[:used] += same
         near = np.flatnonzero(same >= AGREE)
         near = near[np.lexsort((near, -same[near]))]
         clusters = self._clusters[near]
-        pairs = [self._ids[i] for c in np.unique(clusters) for i in near[clusters == c][:BEST]]
-        pairs = [p for p in pairs if p != doc]
-        if len(near) and same[near[0]] >= ABSORB:
+        pairs = []
+        for c in np.unique(clusters):
+            mine = near[clusters == c]
+            chosen = mine[:BEST].tolist()
+            if len(mine) > BEST:
+                central = self._agreed[mine] / (self._met - self._since[mine])
+                chosen += mine[np.argsort(-central, kind="stable")[:CENTRAL]].tolist()
+            pairs += [self._ids[i] for i in dict.fromkeys(chosen) if self._ids[i] != doc]
+        if len(near) >= MANY and same[near[0]] >= self._absorb:
             return pairs, False
         joined = np.unique(clusters)
         cluster = joined[0] if len(joined) else used
         if len(joined) > 1:
             self._clusters[:used][np.isin(self._clusters[:used], joined)] = cluster
         if used == len(self._held):
-            self._held = np.concatenate([self._held, np.empty((max(used, 8), SAMPLES), np.uint8)])
-            self._clusters = np.concatenate([self._clusters, np.zeros(max(used, 8), np.int32)])
-        self._held[used], self._clusters[used] = signature, cluster
+            more = max(used, 8)
+            self._held = np.concatenate([self._held, np.empty((more, SAMPLES), np.uint8)])
+            self._clusters = np.concatenate([self._clusters, np.zeros(more, np.int32)])
+            self._since, self._agreed = (np.concatenate([a, np.zeros(more)]) for a in (self._since, self._agreed))
+        self._held[used], self._clusters[used], self._since[used] = signature, cluster, self._met
         self._ids.append(doc)
         return pairs, True
 
 
-def _lead(run: int | None):
+def _lead(run: int | None, absorb: int):
     """Rows (band, bucket, id, signature), sorted by bucket: pairs (id, other), and leaders (other null).
 
-    ``run`` is the number of rows after which a bucket starts with new leaders.
+    ``run`` is for the pass before the shuffle: the number of rows after which a bucket starts with new
+    leaders. There only documents that are no leaders form pairs, as the others go on.
     """
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,10 +327,10 @@ def _lead(run: int | None):
             columns = (batch.column(c).to_pylist() for c in ("band", "bucket", "id", "signature"))
             for band, bucket, doc, signature in zip(*columns, strict=True):
                 if (band, bucket) != place or (run and rows >= run):
-                    place, rows, bucket_of = (band, bucket), 0, _Bucket()
+                    place, rows, bucket_of = (band, bucket), 0, _Bucket(absorb)
                 rows += 1
                 found, leads = bucket_of.add(doc, np.frombuffer(signature, np.uint8))
-                for leader in found:
+                for leader in () if run and leads else found:
                     for column, value in zip(out.values(), (band, bucket, leader, None, doc), strict=True):
                         column.append(value)
                 if leads:
@@ -332,13 +353,13 @@ def candidates(texts: DataFrame) -> DataFrame:
     rows = texts.select("id", "signature", F.posexplode("bands").alias("band", "bucket"))
     first = written(
         rows.sortWithinPartitions("band", "bucket", order, "id").select("band", "bucket", "id", "signature")
-        .mapInArrow(_lead(BUCKET_RUN), _LED),
+        .mapInArrow(_lead(BUCKET_RUN, ABSORB_EARLY), _LED),
         "led",
     )
     leaders = first.where("other IS NULL").select("band", "bucket", "id", "signature")
     second = (
         leaders.repartition("band", "bucket").sortWithinPartitions("band", "bucket", order, "id")
-        .mapInArrow(_lead(None), _LED)
+        .mapInArrow(_lead(None, ABSORB), _LED)
     )
     pairs = first.where("other IS NOT NULL").select("id", "other").unionByName(
         second.where("other IS NOT NULL").select("id", "other")
