@@ -8,6 +8,7 @@ with a weight become one Spark expression. Scoring runs no model code, only that
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -40,8 +41,8 @@ class Rule(NamedTuple):
 
     conditions: tuple[tuple[str, bool, float], ...]
 
-    def column(self) -> Column:
-        tests = [F.col(s) <= F.lit(t) if below else F.col(s) > F.lit(t) for s, below, t in self.conditions]
+    def column(self, of: Callable[[str], Column] = F.col) -> Column:
+        tests = [of(s) <= F.lit(t) if below else of(s) > F.lit(t) for s, below, t in self.conditions]
         return reduce(lambda a, b: a & b, tests).cast("double")
 
 
@@ -49,31 +50,35 @@ class Ensemble(NamedTuple):
     bias: float
     rules: tuple[tuple[float, Rule], ...]
 
-    def score(self) -> Column:
-        """Probability of label 1 from columns named as the statistics."""
-        total = reduce(lambda a, b: a + b, [F.lit(w) * r.column() for w, r in self.rules], F.lit(self.bias))
+    def score(self, of: Callable[[str], Column] = F.col) -> Column:
+        """Probability of label 1 from the statistics, which ``of`` gives by name."""
+        total = reduce(lambda a, b: a + b, [F.lit(w) * r.column(of) for w, r in self.rules], F.lit(self.bias))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
+    def score_text(self, text: Column) -> Column:
+        """The same from a text, as one expression that computes each statistic once wherever Spark
+        moves it (a filter on columns is pushed below them, and would compute them for every rule)."""
+        return let(statistics(text), lambda s: self.score(lambda name: s[name]))
+
 
 def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(0.0))
 
 
-def with_statistics(df: DataFrame) -> DataFrame:
-    """Adds the statistics of ``text`` as columns; a null text counts as empty, and all are 0 for it."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def statistics(text: Column) -> Column:
+    """Struct of the statistics of a text; a null text counts as empty, and all are 0 for it."""
+    text = F.coalesce(text, F.lit(""))
 
     def without(chars: str) -> Column:
         return F.length(text) - F.length(F.translate(text, chars, ""))
 
     def of_words(words: Column) -> Column:
-        n = F.size(words)
         marked = F.filter(words, lambda w: F.rlike(w, F.lit(r"[#*$%&|<>]")))
         shouted = F.filter(words, lambda w: F.endswith(w, F.lit("!!")))
         capital = F.filter(words, lambda w: (F.length(w) > 1) & (F.upper(w) == w) & (F.lower(w) != w))
         echo = F.filter(words, lambda w, i: w == F.get(words, i - 1))
         return F.struct(
-            n.alias("n"), F.size(F.array_distinct(words)).alias("distinct"), F.size(marked).alias("marked"),
+            F.size(words).alias("n"), F.size(F.array_distinct(words)).alias("distinct"), F.size(marked).alias("marked"),
             F.size(shouted).alias("shouted"), F.size(capital).alias("capital"), F.size(echo).alias("echo"),
         )
 
@@ -82,25 +87,28 @@ def with_statistics(df: DataFrame) -> DataFrame:
 
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda line: line != "")
-    raw = df.withColumns(
-        {
-            "_words": let(words, of_words), "_lines": let(lines, of_lines), "_chars": F.length(text),
-            "_marks": without(_MARKS), "_shouts": without("!"), "_digits": without(_DIGITS), "_pipes": without("|"),
-            "_capitals": F.length(F.regexp_replace(text, r"\P{Lu}+", "")), "_stops": without(".!?"),
-        }
+    counts = F.struct(
+        let(words, of_words).alias("words"), let(lines, of_lines).alias("lines"), F.length(text).alias("chars"),
+        without(_MARKS).alias("marks"), without("!").alias("shouts"), without(_DIGITS).alias("digits"),
+        without("|").alias("pipes"), F.length(F.regexp_replace(text, r"\P{Lu}+", "")).alias("capitals"),
+        without(".!?").alias("stops"),
     )
-    n, chars = F.col("_words.n"), F.col("_chars")
-    columns = {
-        "log_words": F.log1p(n), "word_length": _share(chars, n), "marks": _share(F.col("_marks"), chars),
-        "shouts": _share(F.col("_shouts"), chars), "digits": _share(F.col("_digits"), chars),
-        "capitals": _share(F.col("_capitals"), chars), "pipes": _share(F.col("_pipes"), n),
-        "distinct_words": _share(F.col("_words.distinct"), n), "echoes": _share(F.col("_words.echo"), n),
-        "distinct_lines": _share(F.col("_lines.distinct"), F.col("_lines.n")),
-        "marked_words": _share(F.col("_words.marked"), n), "shout_words": _share(F.col("_words.shouted"), n),
-        "capital_words": _share(F.col("_words.capital"), n), "line_words": _share(n, F.col("_lines.n")),
-        "stops": _share(F.col("_stops"), n),
-    }
-    return raw.withColumns(columns).drop(*[c for c in raw.columns if c not in df.columns])
+
+    def shares(c: Column) -> Column:
+        n, chars = c["words"]["n"], c["chars"]
+        found = {
+            "log_words": F.log1p(n), "word_length": _share(chars, n), "marks": _share(c["marks"], chars),
+            "shouts": _share(c["shouts"], chars), "digits": _share(c["digits"], chars),
+            "capitals": _share(c["capitals"], chars), "pipes": _share(c["pipes"], n),
+            "distinct_words": _share(c["words"]["distinct"], n), "echoes": _share(c["words"]["echo"], n),
+            "distinct_lines": _share(c["lines"]["distinct"], c["lines"]["n"]),
+            "marked_words": _share(c["words"]["marked"], n), "shout_words": _share(c["words"]["shouted"], n),
+            "capital_words": _share(c["words"]["capital"], n), "line_words": _share(n, c["lines"]["n"]),
+            "stops": _share(c["stops"], n),
+        }
+        return F.struct(*[found[name].alias(name) for name in STATISTICS])
+
+    return let(counts, shares)
 
 
 def _paths(tree) -> list[Rule]:
@@ -165,9 +173,10 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     )
     # at most ``rows`` narrow rows, so they are sent to the documents rather than the other way round
     texts = documents.select("doc_id", "text").join(F.broadcast(written(chosen, "labelled")), "doc_id")
-    sample = with_statistics(texts).select("label", *STATISTICS)
-    # one small file in a fixed order makes the fit repeatable
-    return fit(written(written(sample, "statistics").repartition(4, *STATISTICS).sortWithinPartitions("label", *STATISTICS), "training"))
+    sample = texts.select("label", statistics(F.col("text")).alias("s")).select("label", "s.*")
+    # at most ``rows`` narrow rows, in one file and a fixed order, make the fit repeatable
+    one = written(sample, "statistics").coalesce(1).sortWithinPartitions("label", *STATISTICS)
+    return fit(written(one, "training"))
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -178,7 +187,7 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     text alone.
     """
     ensemble = train(documents, labels)
-    scored = with_statistics(documents.select("doc_id", "text")).withColumn("score", ensemble.score())
+    scored = documents.select("doc_id", ensemble.score_text(F.col("text")).alias("score"))
     return scored.select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= CUT).cast("int").alias("predicted"),
@@ -188,5 +197,4 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``documents`` whose score reaches the cut."""
     ensemble = train(documents, labels)
-    row = with_statistics(documents.select(F.struct("*").alias("row"), "text"))
-    return row.where(ensemble.score() >= CUT).select("row.*")
+    return documents.where(ensemble.score_text(F.col("text")) >= CUT)

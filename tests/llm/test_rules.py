@@ -32,7 +32,7 @@ def test_score_is_of_the_text_alone(spark):
     model = rules.train(table(spark, SF, "documents"), labels)
     assert len(model.rules) > 0 and {s for _, r in model.rules for s, _, _ in r.conditions} <= set(rules.STATISTICS)
     changed = docs.withColumns({"lang": F.lit("xx"), "source": F.lit(None).cast("string"), "doc_id": F.col("doc_id") + 1_000_000})
-    score = lambda df: sorted(r[0] for r in rules.with_statistics(df).select(model.score()).collect())
+    score = lambda df: sorted(r[0] for r in df.select(model.score_text(F.col("text"))).collect())
     assert score(docs) == score(changed)
 
 
@@ -63,8 +63,8 @@ def test_odd_rows(spark):
 
 def test_statistics(spark):
     df = spark.createDataFrame([(1, "AB ab ab\nAB ab!! #x", "", "", ""), (2, None, "", "", "")], DOCS)
-    a, b = rules.with_statistics(df).orderBy("doc_id").collect()
-    assert a.words == "" and b.log_words == b.marks == b.stops == 0.0
+    a, b = (r.s for r in df.orderBy("doc_id").select(rules.statistics(F.col("text")).alias("s")).collect())
+    assert set(b) == {0.0} and len(b) == len(rules.STATISTICS)
     assert (a.distinct_words, a.echoes, a.distinct_lines) == (4 / 6, 1 / 6, 1.0)
     assert (a.capital_words, a.shout_words, a.marked_words) == (2 / 6, 1 / 6, 1 / 6)
     assert (a.marks, a.shouts, a.capitals, a.stops) == (1 / 19, 2 / 19, 4 / 19, 2 / 6)
