@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from logsilt.session import scratch_dir
 
@@ -18,6 +24,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out evenly again, where a filter may have left them in few tasks."""
-    return df.repartition()
+#: Most rows of a few numbers each that are broadcast (some 50 MB); beyond, the join shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(narrow: DataFrame) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if it is small, so that texts need not move."""
+    return F.broadcast(narrow) if narrow.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else narrow
+
+
+def by_batch(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow``, with this package on the workers' path where they share the file system.
+
+    Elsewhere the package comes the usual way, by ``--py-files`` or as part of the image.
+    """
+    home = str(Path(__file__).resolve().parents[2])
+    environment = df.sparkSession.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, known)])
+    return df.mapInArrow(function, schema)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsilt.llm.common import written
+from logsilt.llm.common import broadcast_if_small, by_batch, written
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 12, 3
@@ -212,7 +212,7 @@ def word_weights(docs: DataFrame) -> Weights:
                     seen.clear()
         yield from rows()
 
-    counts = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").transform(by_batch, count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     least = COMMON * n
     # at most (mean distinct words of a text) / COMMON rows, whatever the number of documents
     common = counts.where(F.col("n") >= least).toArrow()
@@ -259,7 +259,7 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
                     ["doc_id", "key", "bands", "signature"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, key binary, bands array<long>, signature binary")
+    return docs.select("doc_id", "text").transform(by_batch, sign, "doc_id long, key binary, bands array<long>, signature binary")
 
 
 class _Bucket:
@@ -353,13 +353,13 @@ def candidates(texts: DataFrame) -> DataFrame:
     rows = texts.select("id", "signature", F.posexplode("bands").alias("band", "bucket"))
     first = written(
         rows.sortWithinPartitions("band", "bucket", order, "id").select("band", "bucket", "id", "signature")
-        .mapInArrow(_lead(BUCKET_RUN, ABSORB_EARLY), _LED),
+        .transform(by_batch, _lead(BUCKET_RUN, ABSORB_EARLY), _LED),
         "led",
     )
     leaders = first.where("other IS NULL").select("band", "bucket", "id", "signature")
     second = (
         leaders.repartition("band", "bucket").sortWithinPartitions("band", "bucket", order, "id")
-        .mapInArrow(_lead(None, ABSORB), _LED)
+        .transform(by_batch, _lead(None, ABSORB), _LED)
     )
     pairs = first.where("other IS NOT NULL").select("id", "other").unionByName(
         second.where("other IS NOT NULL").select("id", "other")
@@ -376,6 +376,7 @@ def verified(docs: DataFrame, pairs: DataFrame, weights: Weights, least: float =
     wanted = pairs.select(F.col("id").alias("leader"), F.col("other").alias("doc_id"), F.lit(False).alias("leads")).unionByName(
         pairs.select(F.col("id").alias("leader"), F.col("id").alias("doc_id"), F.lit(True).alias("leads")).distinct()
     )
+    wanted = broadcast_if_small(written(wanted, "wanted"))
     texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("leader", "leads", "doc_id", "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,7 +399,7 @@ def verified(docs: DataFrame, pairs: DataFrame, weights: Weights, least: float =
 
     return (
         texts.repartition("leader").sortWithinPartitions("leader", F.desc("leads"), "doc_id")
-        .mapInArrow(verify, "id long, other long")
+        .transform(by_batch, verify, "id long, other long")
     )
 
 
@@ -455,7 +456,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         ),
         "texts",
     )
-    links = written(verified(named, candidates(texts), weights, least), "verified")
+    pairs = written(candidates(texts), "candidates")
+    links = written(verified(named, pairs, weights, least), "verified")
     # an id that is repeated with another text links the two texts
     twice = signed.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
     first = texts.select(F.col("key").alias("low"), F.col("id").alias("id"))

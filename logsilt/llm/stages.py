@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsilt.llm import near_dedup, ngram, packing, rules, secrets
-from logsilt.llm.common import table, written
+from logsilt.llm.common import broadcast_if_small, table, written
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each class. Rows without an id all stay."""
     classes = written(near_dedup.near_duplicates(docs), "near_duplicates").where("doc_id IS NOT NULL")
-    others = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    others = written(classes.where("doc_id <> class_id").select("doc_id").distinct(), "others")
+    kept = docs.join(broadcast_if_small(others), "doc_id", "left_anti").select(docs.columns)
     if classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         return kept
     # of rows that repeat an id, the one with the smallest text; rows without an id are told apart by hash
