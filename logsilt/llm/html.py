@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logsilt.llm.common import by_batch
 from logsilt.llm.seed_pages import SEED_PAGES
 
 #: About so many pages are labelled and learned from, chosen by hash of the url and id; all are extracted.
@@ -397,7 +398,7 @@ def train(pages: DataFrame, pages_wanted: int = TRAINING_PAGES) -> Model:
 
     counted = (
         some.select(F.coalesce("html", F.lit("")).alias("html"))
-        .mapInArrow(label, "bits long, edge long, above long, label long, n long")
+        .transform(by_batch, label, "bits long, edge long, above long, label long, n long")
         .groupBy("bits", "edge", "above", "label").agg(F.sum("n").alias("n"))
     )
     # one row per set of features that the training pages have, not per page
@@ -431,4 +432,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
     return pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html")
-    ).mapInArrow(read, "page_id long, url string, text string, n_chars long")
+    ).transform(by_batch, read, "page_id long, url string, text string, n_chars long")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logsilt.llm.bpe import split_text
-from logsilt.llm.common import written
+from logsilt.llm.common import by_batch, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -187,8 +187,8 @@ def cut_documents(
     return df.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.spark_partition_id().cast("long").alias("task"),
         F.coalesce("text", F.lit("")).alias("text"),
-    ).mapInArrow(
-        _cut(capacity, end_id, tokenizer_path, pattern),
+    ).transform(
+        by_batch, _cut(capacity, end_id, tokenizer_path, pattern),
         "doc_id long, piece long, start long, length long, ids_crc32 long, task long, nth long",
     )
 
@@ -229,8 +229,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     numbered = pieces.join(offsets, ["length", "task"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("number")
     )
-    return numbered.mapInArrow(
-        place, "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    return numbered.transform(
+        by_batch, place, "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )
 
 

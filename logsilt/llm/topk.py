@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logsilt.llm.common import by_batch
+
 SCALE = 256.0
 LEVELS = (4, 16)
 CANDIDATE_BLOCK = 2048
@@ -157,7 +159,7 @@ def exact_top_k(df: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         vectors.where("is_query")
         .select("vec_id", "vector", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int").alias("query_block"))
         .repartition("query_block")
-        .mapInArrow(_pack(QUERY_BLOCK, True), _BLOCK.format(key="query_block int,"))
+        .transform(by_batch, _pack(QUERY_BLOCK, True), _BLOCK.format(key="query_block int,"))
         .select(
             "dim", "query_block", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"),
             F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
@@ -165,13 +167,13 @@ def exact_top_k(df: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     )
     blocks = (
         vectors.select("vec_id", "vector")
-        .mapInArrow(_pack(CANDIDATE_BLOCK, False), _BLOCK.format(key=""))
+        .transform(by_batch, _pack(CANDIDATE_BLOCK, False), _BLOCK.format(key=""))
         .withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int"))
         .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     )
     # a stated query set against all rows, in blocks: each block of rows meets each block of queries once
-    found = blocks.join(queries, ["dim", "query_block", "salt"]).mapInArrow(
-        _search(k), "query_id long, vec_id long, score long"
+    found = blocks.join(queries, ["dim", "query_block", "salt"]).transform(
+        by_batch, _search(k), "query_id long, vec_id long, score long"
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

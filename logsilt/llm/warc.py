@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logsilt.llm.common import by_batch
+
 # The seekable format's magic numbers, and the ones of skippable frames used here.
 SEEK_MAGIC = 0x8F92EAB1
 SEEK_FRAME = 0x184D2A5E
@@ -232,7 +234,7 @@ def write_bundles(
     """
     bundles = with_revisits(pages, min_bytes).select(
         *[f.split()[0] for f in _RECORD.split(", ")]
-    ).mapInArrow(_bundles(frame_bytes, bundle_bytes), "bundle binary")
+    ).transform(by_batch, _bundles(frame_bytes, bundle_bytes), "bundle binary")
     magic = struct.pack("<I", SEEK_MAGIC)
     (
         bundles.select(F.expr(f"CAST(substr(bundle, 1, length(bundle) - {len(magic)}) AS string)").alias("value"))
@@ -262,7 +264,7 @@ def read_bundles(spark: SparkSession, path: str, payload: bool = True) -> DataFr
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
-    return _read_files(spark, path).select("content").mapInArrow(records, _RECORD)
+    return _read_files(spark, path).select("content").transform(by_batch, records, _RECORD)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -279,8 +281,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                     ["page_id", "path", "frame", "frame_offset", "length"],
                 )
 
-    return _read_files(spark, path).mapInArrow(
-        index, "page_id long, path string, frame long, frame_offset long, length long"
+    return _read_files(spark, path).transform(
+        by_batch, index, "page_id long, path string, frame long, frame_offset long, length long"
     )
 
 
@@ -300,4 +302,4 @@ def fetch(spark: SparkSession, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([r._asdict() for r in found], _ARROW)
 
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return files.join(places, "path").select("content", "places").mapInArrow(records, _RECORD)
+    return files.join(places, "path").select("content", "places").transform(by_batch, records, _RECORD)
