@@ -49,6 +49,9 @@ BUCKET_RUN = 4096
 #: Orders of documents that the bands share; a pair is met in both directions in some of them.
 ORDERS = 12
 
+#: Followers of a leader whose texts are sent to one place to be verified; more are dealt to several.
+FOLLOWERS = 256
+
 _CHUNK = 1 << 15
 _REMEMBERED = 1 << 19
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -370,26 +373,35 @@ def candidates(texts: DataFrame) -> DataFrame:
 def verified(docs: DataFrame, pairs: DataFrame, weights: Weights, least: float = SIMILARITY) -> DataFrame:
     """The pairs (id, other) whose texts have at least the given weighted Jaccard similarity.
 
-    The texts of a leader's followers are sent to the leader's text, which is read once for all.
+    ``pairs`` is a written table. The texts of a leader's followers are sent to the leader's text, which
+    is read once for all of them, or for every part of them where they are many.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    wanted = pairs.select(F.col("id").alias("leader"), F.col("other").alias("doc_id"), F.lit(False).alias("leads")).unionByName(
-        pairs.select(F.col("id").alias("leader"), F.col("id").alias("doc_id"), F.lit(True).alias("leads")).distinct()
+    parts = written(
+        pairs.groupBy("id").agg(F.ceil(F.count("*") / FOLLOWERS).alias("parts")).select(F.col("id").alias("leader"), "parts"),
+        "parts",
+    )
+    followers = pairs.join(parts, F.col("id") == F.col("leader")).select(
+        "leader", F.pmod(F.xxhash64("other"), "parts").alias("part"), F.col("other").alias("doc_id"), F.lit(False).alias("leads")
+    )
+    leaders = parts.select(
+        "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+        F.col("leader").alias("doc_id"), F.lit(True).alias("leads"),
     )
-    wanted = broadcast_if_small(written(wanted, "wanted"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("leader", "leads", "doc_id", "text")
+    wanted = broadcast_if_small(written(followers.unionByName(leaders), "wanted"))
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("leader", "part", "leads", "doc_id", "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words(shared.value)
         leader, own = None, []
         for batch in batches:
             ids, others = [], []
-            columns = (batch.column(c) for c in ("leader", "leads", "doc_id", "text"))
-            for at, leads, doc, text in zip(*columns, strict=True):
+            columns = (batch.column(c) for c in ("leader", "part", "leads", "doc_id", "text"))
+            for at, part, leads, doc, text in zip(*columns, strict=True):
                 at, doc = at.as_py(), doc.as_py()
                 found = shingles(words_of(text.as_py()), known)
-                if at != leader:
-                    leader, own = at, []
+                if (at, part) != leader:
+                    leader, own = (at, part), []
                 if leads.as_py():
                     own.append(found)  # more than one only where an id is repeated
                 elif any(similarity(o, found) >= least for o in own):
@@ -398,7 +410,7 @@ def verified(docs: DataFrame, pairs: DataFrame, weights: Weights, least: float =
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(others, pa.int64())], ["id", "other"])
 
     return (
-        texts.repartition("leader").sortWithinPartitions("leader", F.desc("leads"), "doc_id")
+        texts.repartition("leader", "part").sortWithinPartitions("leader", "part", F.desc("leads"), "doc_id")
         .transform(by_batch, verify, "id long, other long")
     )
 
