@@ -12,6 +12,10 @@ almost equal to it. So a bucket gives some pairs for each document, not one for
 their own rows in the same way before the shuffle. Bands differ in the order of documents, so that they
 differ in leaders. Candidate pairs are then verified by the exact weighted Jaccard
 similarity of the whole texts.
+
+Leaders can hide links. So once classes are known, every two documents of a bucket that resemble each
+other by signature and are still in different classes are verified as well, in blocks of a bucket: at
+first the most similar ones, then, with the classes so found, all that are left.
 """
 
 from __future__ import annotations
@@ -52,6 +56,9 @@ ORDERS = 12
 #: Followers of a leader whose texts are sent to one place to be verified; more are dealt to several.
 FOLLOWERS = 256
 
+#: Documents of a block: a larger bucket is compared in pairs of blocks, each of which is a row group of its own.
+BLOCK = 1024
+
 _CHUNK = 1 << 15
 _REMEMBERED = 1 << 19
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -370,6 +377,111 @@ def candidates(texts: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
+_DEALT = ("band", "bucket", "first", "second")
+
+
+def _resembling(most: int | None):
+    """Rows (band, bucket, first, second, block, id, class_id, signature), sorted by the first four: pairs
+    (id, other) of different classes with enough equal samples, one from each of the two blocks.
+
+    With ``most`` only so many for a document and a class, the most similar ones.
+    """
+
+    def of_group(blocks: np.ndarray, ids: np.ndarray, classes: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        one = blocks[0] == blocks[-1]
+        mine = np.arange(len(ids)) if one else np.flatnonzero(blocks == blocks[0])
+        theirs = mine if one else np.flatnonzero(blocks != blocks[0])
+        a, b, same = [], [], []
+        for at in range(0, len(mine), 256):
+            part = mine[at : at + 256]
+            equal = np.zeros((len(part), len(theirs)), np.uint8)
+            for k in range(SAMPLES):
+                equal += held[part, k][:, None] == held[theirs, k][None, :]
+            near = (equal >= AGREE) & (classes[part][:, None] != classes[theirs][None, :])
+            if one:
+                near &= part[:, None] < theirs[None, :]
+            x, y = np.nonzero(near)
+            a.append(part[x])
+            b.append(theirs[y])
+            same.append(equal[x, y])
+        a, b, same = (np.concatenate(c) for c in (a, b, same))
+        if most and len(a):
+            order = np.lexsort((ids[b], -same.astype(np.int16), classes[b], a))
+            a, b = a[order], b[order]
+            new = np.concatenate([[True], (a[1:] != a[:-1]) | (classes[b][1:] != classes[b][:-1])])
+            starts = np.flatnonzero(new)
+            rank = np.arange(len(a)) - starts[np.cumsum(new) - 1]
+            a, b = a[rank < most], b[rank < most]
+        return ids[a], ids[b]
+
+    def resembling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(groups: list) -> pa.RecordBatch:
+            a, b = (np.concatenate([g[i] for g in groups] or [np.empty(0, np.int64)]) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["id", "other"])
+
+        left: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            place = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _DEALT], axis=1)
+            rest = [batch.column(c).to_numpy() for c in ("block", "id", "class_id")]
+            signatures = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(-1, SAMPLES)
+            columns = [place, *rest, signatures]
+            if left:
+                columns = [np.concatenate(c) for c in zip(left, columns, strict=True)]
+            starts = np.flatnonzero(np.concatenate([[True], (columns[0][1:] != columns[0][:-1]).any(axis=1)]))
+            groups = [of_group(*(c[a:b] for c in columns[1:])) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
+            left = [c[starts[-1] :] for c in columns]  # may go on in the next batch
+            yield out(groups)
+        if left and len(left[0]) > 1:
+            yield out([of_group(*left[1:])])
+
+    return resembling
+
+
+def untested(texts: DataFrame, classes: DataFrame, tested: DataFrame, most: int | None) -> DataFrame:
+    """Pairs (id, other) that share a bucket and resemble each other, of different classes and not ``tested``.
+
+    Members of the largest class of a bucket need not meet each other, all else does: a bucket of more
+    than ``BLOCK`` documents is dealt by hash to counted blocks, and every two blocks are compared alone.
+    """
+    of = classes.select(F.col("id").alias("_id"), "class_id")
+    rows = texts.join(of, F.col("id") == F.col("_id"), "left").select(
+        "id", "signature", F.coalesce("class_id", "id").alias("class_id"), F.posexplode("bands").alias("band", "bucket")
+    )
+    largest = F.max(F.struct("n", "class_id")).alias("largest")
+    mixed = (
+        rows.groupBy("band", "bucket", "class_id").agg(F.count("*").alias("n"))
+        .groupBy("band", "bucket").agg(F.sum("n").alias("n"), largest).where("largest.n < n")
+    )
+    split = F.col("n") > BLOCK
+    mixed = written(
+        mixed.select(
+            "band", "bucket", F.when(split, F.col("largest.class_id")).alias("large"),
+            F.when(split, F.ceil((F.col("n") - F.col("largest.n")) / BLOCK)).otherwise(F.lit(1)).cast("int").alias("others"),
+            F.when(split, F.ceil(F.col("largest.n") / BLOCK)).otherwise(F.lit(0)).cast("int").alias("larges"),
+        ),
+        "mixed",
+    )
+    in_large = F.coalesce(F.col("class_id") == F.col("large"), F.lit(False))
+    block = F.when(in_large, F.col("others") + F.pmod(F.xxhash64("id"), "larges")).otherwise(F.pmod(F.xxhash64("id"), "others"))
+    # the blocks of the largest class meet the others only
+    meets = F.expr(
+        """concat(transform(sequence(0, least(block, others - 1)), i -> struct(i AS first, block AS second)),
+        CASE WHEN block < others AND block + 1 < others + larges
+        THEN transform(sequence(block + 1, others + larges - 1), j -> struct(block AS first, j AS second)) ELSE array() END)"""
+    )
+    found = (
+        rows.join(mixed, ["band", "bucket"]).withColumn("block", block.cast("int"))
+        .select("band", "bucket", F.inline(meets), "block", "id", "class_id", "signature")
+        .repartition(*_DEALT).sortWithinPartitions(*_DEALT, "block", "id")
+        .transform(by_batch, _resembling(most), "id long, other long")
+        .distinct()
+    )
+    both = tested.select("id", "other").unionByName(tested.select(F.col("other").alias("id"), F.col("id").alias("other")))
+    return found.join(both, ["id", "other"], "left_anti")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, weights: Weights, least: float = SIMILARITY) -> DataFrame:
     """The pairs (id, other) whose texts have at least the given weighted Jaccard similarity.
 
@@ -476,6 +588,15 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     second = texts.select(F.col("key").alias("high"), F.col("id").alias("other"))
     more = twice.join(first, "low").join(second, "high").select("id", "other")
     classes = components(links.unionByName(more))
+    tested = pairs
+    for most in (BEST, None):
+        pairs = written(untested(texts, classes, tested, most), "untested")
+        if pairs.isEmpty():
+            continue
+        links = written(verified(named, pairs, weights, least), "verified")
+        if not links.isEmpty():
+            classes = components(classes.select("id", F.col("class_id").alias("other")).unionByName(links))
+        tested = tested.unionByName(pairs)
     known = written(
         texts.join(classes, "id", "left").where("last <> id OR class_id IS NOT NULL")
         .select(F.col("key").alias("of"), F.coalesce("class_id", "id").alias("class_id")),

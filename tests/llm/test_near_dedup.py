@@ -145,3 +145,18 @@ def test_stage_keeps_one_of_each_class(spark, truth):
     odd = spark.createDataFrame([(None, "x"), (None, "x"), (1, "b b"), (1, "a a"), (2, "c"), (3, "c"), (2, "c")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.text) for r in stages.drop_near_duplicates(spark, odd, SF).collect()), key=str)
     assert got == [(1, "a a"), (2, "c"), (None, "x"), (None, "x")]
+
+
+def test_no_pair_of_a_bucket_is_left_untested(spark, monkeypatch):
+    """What the pass over leaders misses, here all of it, is found afterwards, also across blocks."""
+    rng = random.Random(2)
+    original, rows = words(rng, 120), []
+    for i in range(150):
+        near = list(original)
+        for _ in range(rng.randint(0, 8)):
+            near[rng.randrange(120)] = f"w{rng.random()}"
+        rows.append((i, " ".join(near)))
+    first = nd.candidates
+    monkeypatch.setattr(nd, "candidates", lambda texts: first(texts).limit(0))
+    monkeypatch.setattr(nd, "BLOCK", 16, raising=False)
+    assert dict(classes_of(spark, rows)) == brute(spark, rows)
