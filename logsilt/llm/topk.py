@@ -84,7 +84,10 @@ def segment_statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
 def best_of_block(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, vector id, score) of the k best rows of a block for each query of a block."""
+    """(query id, vector id, score) of the k best ids of a block for each query of a block.
+
+    An id with several rows counts once, with the best score of its rows.
+    """
     dim = queries.shape[1]
     if dim == 0:
         exact_q, exact_x = queries, vectors
@@ -94,6 +97,7 @@ def best_of_block(
         real_q, real_x = queries.astype(np.float64), vectors.astype(np.float64)
         exact_q, exact_x = (real_q, real_x) if top < 2**52 else (queries, vectors)
         stats = [(segment_statistics(real_q, s), segment_statistics(real_x, s)) for s in LEVELS]
+    repeated = len(np.unique(ids)) < len(ids)
     coarse = stats[0][0] @ stats[0][1].T
     slack = 1e-9 * (np.abs(coarse).max() + 1.0) if coarse.size else 0.0
     out_q, out_x, out_s = [], [], []
@@ -103,14 +107,25 @@ def best_of_block(
         if not len(left):
             continue
         if len(left) > k:
-            # the most promising rows give a score that k rows reach
-            first = left[np.argpartition(-bound[left], k - 1)[:k]]
-            reach = (exact_x[first] @ exact_q[i]).min() - slack
-            left = left[bound[left] >= reach]
+            # the most promising rows, of k ids, give a score that k ids reach
+            if repeated:
+                first = left[np.argsort(-bound[left], kind="stable")]
+                first = first[np.sort(np.unique(ids[first], return_index=True)[1])[:k]]
+            else:
+                first = left[np.argpartition(-bound[left], k - 1)[:k]]
+            if len(first) == k:
+                reach = (exact_x[first] @ exact_q[i]).min() - slack
+                left = left[bound[left] >= reach]
+            else:
+                reach = -np.inf  # fewer than k ids
             for mine, theirs in stats[1:]:
                 if len(left) > 4 * k:
                     left = left[theirs[left] @ mine[i] >= reach - slack]
         scores = (exact_x[left] @ exact_q[i]).astype(np.int64)
+        if repeated:
+            order = np.lexsort((-scores, ids[left]))
+            order = order[np.unique(ids[left][order], return_index=True)[1]]
+            left, scores = left[order], scores[order]
         if len(left) > k:
             kth = np.partition(scores, len(scores) - k)[len(scores) - k]
             left, scores = left[scores >= kth], scores[scores >= kth]

@@ -65,3 +65,25 @@ def test_pruning_is_exact():
         scores = vectors @ query
         want = sorted((-s, i) for s, i in zip(scores.tolist(), ids.tolist(), strict=True) if i != q)[:5]
         assert [(-s, i) for _, i, s in found if _ == q] == want
+
+
+def test_repeated_ids_leave_places_for_others(spark):
+    values = [(1, 0.9 - i / 100) for i in range(300)] + [(2 + i, 0.4 - i / 100) for i in range(8)] + [(0, 1.0)]
+    rows = [(i, [v, v / 2], 1, "x") for i, v in values]
+    found = top(spark, rows)
+    assert sorted(r[2] for r in found if r[0] == 0) == [1, 2, 3, 4, 5]
+    assert set(found) == brute(rows)
+
+
+def test_pruning_is_exact_with_repeated_ids():
+    rng = np.random.default_rng(6)
+    vectors = rng.integers(-200, 200, (900, 33))
+    ids = np.where(rng.random(900) < 0.5, 7, rng.integers(0, 60, 900)).astype(np.int64)
+    query_ids, queries = np.arange(40, dtype=np.int64), vectors[:40]
+    found = list(zip(*(a.tolist() for a in best_of_block(query_ids, queries, ids, vectors, 5)), strict=True))
+    for q, query in zip(query_ids.tolist(), queries, strict=True):
+        best = {}
+        for s, i in zip((vectors @ query).tolist(), ids.tolist(), strict=True):
+            best[i] = max(s, best.get(i, s))
+        want = sorted((-s, i) for i, s in best.items() if i != q)[:5]
+        assert [(-s, i) for _, i, s in found if _ == q] == want
