@@ -39,7 +39,7 @@ CLASSES = (CharacterClass(r"[0-9a-fA-F]{20,}", 3.1), CharacterClass(r"[A-Za-z0-9
 ALLOWED = (
     r"[A-Za-z]*", r"[0-9]*", r"(?:[A-Za-z]+[-_/+=]+)*[A-Za-z]+[-_]?[0-9]{0,4}", r"(.{1,8}?)\1{2,}.{0,8}",
     r"(?i)0?1234567890?abcdefg?.*", r"(?i)abcdefghijklmnopqrst.*", r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}",
-    r".*(?:EXAMPLE|example).*",
+    r"(?:[A-Za-z_-]+=)?(?:A[A-Z]{3}[A-Z0-9]{9}EXAMPLE|[A-Za-z0-9+/]{30}EXAMPLEKEY)",
 )
 _SPAN = "array<struct<start: int, kind: int, end: int>>"
 _CHUNK = 512
@@ -201,15 +201,15 @@ def entropy_spans(
 def secret_spans(df: DataFrame, **entropy) -> DataFrame:
     """Adds ``base`` and ``spans``, arrays of (start, kind, end) sorted by start, kind, end.
 
-    ``spans`` has all of ``base`` and the entropy spans that no base span or other entropy span
-    covers. A null text counts as empty and has no spans; other columns are kept, but none may be
+    ``spans`` has all of ``base`` and the entropy spans that no single base span or other entropy span
+    covers; one that a base span only overlaps stays whole. A null text counts as empty and has no spans; other columns are kept, but none may be
     called base or spans.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = df.withColumn("base", F.array_sort(base_spans(text)))
     more = F.filter(
         F.col("_entropy"),
-        lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"]))
+        lambda e: ~F.exists("base", lambda b: (b["start"] <= e["start"]) & (e["end"] <= b["end"]))
         & ~F.exists(
             "_entropy",
             lambda o: (o["start"] <= e["start"]) & (e["end"] <= o["end"]) & ((o["start"] != e["start"]) | (e["end"] != o["end"])),
