@@ -137,3 +137,15 @@ def test_empty_table_and_stage(spark):
     assert kept.columns == docs.columns
     good = {r.doc_id for r in queries.op9_ngram_quality(spark, SF).collect() if r.kept}
     assert {r.doc_id for r in kept.collect()} == good
+
+
+def test_a_rare_language_beside_a_large_one_is_kept(spark):
+    rng = np.random.default_rng(8)
+    draw = lambda letters, n: ["".join(rng.choice(list(letters), 5)) for _ in range(n)]
+    common = draw("etaoins", 40)
+    rows = [(i, " ".join(rng.choice(common, 80)), "en", "", "") for i in range(300)]
+    rows += [(1000 + i, " ".join(draw("bcdfghjklmpquvwxyz", 80)), "xx", "", "") for i in range(30)]
+    judged = ngram.judge(spark.createDataFrame(rows, SCHEMA)).collect()
+    passed = {r.doc_id for r in judged if not r.base_failed}
+    assert len([i for i in passed if i >= 1000]) == 30
+    assert {r.doc_id for r in judged if r.kept and r.doc_id >= 1000} == set(range(1000, 1030))
