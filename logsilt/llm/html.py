@@ -39,7 +39,6 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
 SILENT = frozenset("script style noscript template iframe object svg math canvas audio video head title textarea select".split())
-_RAW = re.compile(r"(?is)<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)")
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split()
@@ -134,7 +133,7 @@ class TreeBuilder(HTMLParser):
             self._links -= 1
         if tag in SILENT:
             self._silent -= 1
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in self.CDATA_CONTENT_ELEMENTS:
             self._leaf = None
 
     def _close(self, tags: tuple[str, ...], borders: tuple[str, ...]) -> None:
@@ -178,6 +177,8 @@ class TreeBuilder(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # a slash does not close an element that is not void
+        if tag in self.CDATA_CONTENT_ELEMENTS:
+            self.set_cdata_mode(tag)
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "p" and not any(t == "p" for t, _ in self._open):
@@ -216,8 +217,8 @@ class TreeBuilder(HTMLParser):
 def parse(html: str) -> list[Node]:
     """The tree of a page, with the evidence of every node."""
     builder = TreeBuilder()
-    # their text is no text of the page; what looks like a tag in it is none
-    builder.feed(_RAW.sub("", html))
+    # what looks like a tag in a script or style is none, and what looks like one of these in a comment neither
+    builder.feed(html)
     builder.close()
     nodes = builder.nodes
     # a container's own text is what it holds outside of other containers

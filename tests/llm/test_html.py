@@ -96,3 +96,12 @@ def test_odd_rows(spark):
     assert sorted((r.text for r in got if r.page_id in (1, None)), key=str) == ["Some words to read. And some more of them."] * 3
     assert all(r.text == "" and r.n_chars == 0 for r in got if r.page_id in (2, 3))
     assert html.extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "between",
+    ["<!-- <script src=a.js> -->", "<i title='<style>'></i>", "<style-guide></style-guide>", "<script>a = '<p>no</p>'</script>", "<style/>p {}</style>"],
+)
+def test_what_looks_like_a_script_cuts_nothing(between):
+    nodes = html.parse(f"<article><p>One.</p>{between}<p>Two.</p><p>Three.</p></article>")
+    assert [" ".join("".join(n.text).split()) for n in nodes if n.text] == ["One.", "Two.", "Three."]
