@@ -33,14 +33,19 @@ def broadcast_if_small(narrow: DataFrame) -> DataFrame:
     return F.broadcast(narrow) if narrow.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else narrow
 
 
-def by_batch(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow``, with this package on the workers' path where they share the file system.
+def on_path(spark: SparkSession) -> None:
+    """Put this package on the workers' path where they share the file system.
 
     Elsewhere the package comes the usual way, by ``--py-files`` or as part of the image.
     """
     home = str(Path(__file__).resolve().parents[2])
-    environment = df.sparkSession.sparkContext.environment
+    environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if home not in known:
         environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, known)])
+
+
+def by_batch(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow``, with this package on the workers' path."""
+    on_path(df.sparkSession)
     return df.mapInArrow(function, schema)

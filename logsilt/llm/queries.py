@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsilt.llm import bpe, chat, html, near_dedup, ngram, packing, rules, secrets, topk, warc
+from logsilt.llm import bpe, chat, divergence, html, near_dedup, ngram, packing, recompression, rules, secrets, topk, variants, warc
 from logsilt.llm.common import scratch_dir, table
 
 
@@ -69,6 +69,19 @@ def op10_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = recompression.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 _QUANTISED = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
 _USABLE = """embedding IS NOT NULL AND vec_id IS NOT NULL
  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
@@ -101,12 +114,41 @@ ORACLE_SQL = {
  CAST(sum(length({_ESCAPED.format('text')}) + CASE WHEN merged THEN {len(chat.BREAK)}
   ELSE {len(chat.START) + 1 + len(chat.END) + 1} + length({_ESCAPED.format('role')}) END) AS BIGINT) AS formatted_chars
  FROM t GROUP BY conv_id""",
+    "op11_source_divergence": r"""WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+ t AS (SELECT i, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+ k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+ l AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM k GROUP BY lang),
+ g AS (SELECT DISTINCT lang, source FROM d),
+ c AS (SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(x.n, 0)::HUGEINT AS n FROM g JOIN k USING (lang)
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) x USING (lang, source, term)),
+ s AS (SELECT c.*, 1 + 1000000000::HUGEINT * (n + 5) // (sum(n) OVER (PARTITION BY lang, source)::HUGEINT + 5 * v) AS p,
+  1 + 1000000000::HUGEINT * (lang_n + 5) // (total + 5 * v) AS q FROM c JOIN l USING (lang)),
+ pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+   FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+  ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+ terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM s WHERE n > 0 AND p > q),
+ r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50""",
+    "op13_recompression_dedup": r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS oid,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ g AS (SELECT r, oid, p, md5(array_to_string(w[p : p + 19], ' ')) AS k FROM d, unnest(range(1, len(w) - 18)) AS u(p)),
+ f AS (SELECT r, p, {'i': oid, 'p': p} > min({'i': oid, 'p': p}) OVER (PARTITION BY k) AS again FROM g),
+ x AS (SELECT DISTINCT r, unnest(range(p, p + 20)) AS i FROM f WHERE again),
+ t AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+ k AS (SELECT t.r, string_agg(word, ' ' ORDER BY t.i) AS kept, count(*) AS n FROM t ANTI JOIN x ON t.r = x.r AND t.i = x.i GROUP BY t.r)
+ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+ FROM d LEFT JOIN k USING (r)""",
 }
 
 QUERIES = {
     query.__name__: query
     for query in (
         op1_segment_topk, op2_warc_bundles, op3_rule_ensemble, op4_entropy_secrets, op5_icws_near_dedup, op6_chat_format,
-        op7_best_two_fit, op8_rank_queue_bpe, op9_ngram_quality, op10_html_tree,
+        op7_best_two_fit, op8_rank_queue_bpe, op9_ngram_quality, op10_html_tree, op11_source_divergence,
+        op12_spelling_variants, op13_recompression_dedup,
     )
 }
