@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -10,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from logsilt.catalog import ledger
-from logsilt.catalog.ledger import ADD, DELETE, ledger_events, newest_events, record, spec_column
+from logsilt.catalog.ledger import ADD, CATALOGUED, DELETE, commit, ledger_events, newest_events, record, spec_column
 from logsilt.layout import RANDOM_KEY, TIME_KEYS, Store, Subject, partition_keys, quoted
-from logsilt.session import delete_path
+from logsilt.session import delete_path, path_exists
 
 # Partitions named in one ALTER TABLE statement.
 _PER_STATEMENT = 200
+# One thread at a time makes or changes a table of the catalog.
+_TABLE_LOCKS: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 
 
 def _literal(text: str) -> str:
@@ -45,9 +49,14 @@ def create_external_table(
     lacks; one that has a column of that name in another type is an error, as its files could not be
     read together.
     """
-    if table_exists(spark, store, subject):
-        _extend(spark, store.table_name(subject), schema)
-        return
+    with _TABLE_LOCKS[store.table_name(subject)]:
+        if table_exists(spark, store, subject):
+            _extend(spark, store.table_name(subject), schema)
+        else:
+            _create(spark, store, subject, schema, rule)
+
+
+def _create(spark: SparkSession, store: Store, subject: Subject, schema: StructType, rule: str | None) -> None:
     keys = partition_keys(rule)
     database = quoted(store.database(subject))
     home = f"{store.root.rstrip('/')}/_catalog/{subject.db}"
@@ -88,7 +97,23 @@ def add_partitions(
     subject: Subject,
     folders: Iterable[tuple[str, str, str]],
 ) -> None:
-    """Register folders given as ``(partition, folder id, path)``, many per statement."""
+    """Register folders given as ``(partition, folder id, path)``, many per statement.
+
+    The ledger notes them as folders that only the catalog has: they are read, and never rewritten.
+    """
+    for batch in _batches(folders):
+        rows = [(*folder, ADD, CATALOGUED) for folder in batch]
+        entry = record(store, subject, spark.createDataFrame(rows, f"{_FOLDER}, op string, kind string"))
+        _add_to_catalog(spark, store, subject, batch)
+        ledger.mark_synced(spark, entry)
+
+
+_FOLDER = f"partition string, {RANDOM_KEY} string, path string"
+
+
+def _add_to_catalog(
+    spark: SparkSession, store: Store, subject: Subject, folders: Iterable[tuple[str, str, str]]
+) -> None:
     table = store.table_name(subject)
     for batch in _batches(folders):
         clauses = [
@@ -99,6 +124,19 @@ def add_partitions(
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(clauses)}")
 
 
+def adopt_partitions(spark: SparkSession, store: Store, subject: Subject) -> None:
+    """Note partitions that others have registered in the catalog, so that the ledger knows all there is."""
+    known = ledger.live_folders(ledger_events(spark, store, subject)).select(spec_column().alias("spec"))
+    bare = F.regexp_replace("spec", f"/{RANDOM_KEY}=.*$", "")
+    found = partitions(spark, store, subject).join(known, "spec", "left_anti").select(
+        F.regexp_replace(bare, "[a-z]+=", "").alias("partition"),
+        F.split_part("spec", F.lit(f"{RANDOM_KEY}="), F.lit(2)).alias(RANDOM_KEY),
+        F.col("spec").alias("path"), F.lit(ADD).alias("op"), F.lit(CATALOGUED).alias("kind"),
+    )
+    if not found.isEmpty():
+        ledger.mark_synced(spark, record(store, subject, found))
+
+
 def add_partition(
     spark: SparkSession, store: Store, subject: Subject, partition: str, path: str
 ) -> None:
@@ -136,26 +174,43 @@ def drop_partition(
     folder_id = values.pop(RANDOM_KEY, None)
     action_time = "/".join(values.values())
     partition = F.col("partition")
-    live = ledger.live_folders(
-        ledger_events(spark, store, subject).where(
-            (partition == action_time) | partition.startswith(f"{action_time}/")
+    while True:
+        number = ledger.latest_number(spark, store, subject)
+        live = ledger.live_folders(
+            ledger_events(spark, store, subject).where(
+                (partition == action_time) | partition.startswith(f"{action_time}/")
+            )
         )
-    )
-    if folder_id is not None:
-        live = live.where(F.col(RANDOM_KEY) == folder_id)
-    removed = live.select("partition", RANDOM_KEY, "path", F.lit(DELETE).alias("op"))
-    entry = None if removed.isEmpty() else record(store, subject, removed)
+        if folder_id is not None:
+            live = live.where(F.col(RANDOM_KEY) == folder_id)
+        removed = live.select("partition", RANDOM_KEY, "path", F.lit(DELETE).alias("op"))
+        # what came meanwhile may belong to the partition as well
+        done = commit(store, subject, removed, number, alone=True)
+        if done.conflicts is None:
+            entry = done.entry
+            break
     shown = partitions(spark, store, subject, spec)
     drop_partitions(spark, store, subject, (r.spec for r in shown.toLocalIterator()))
     if entry:
         ledger.mark_synced(spark, entry)
-        if data:
+        if data and not store.keep_versions:
             for row in spark.read.parquet(entry).select("path").toLocalIterator():
                 delete_path(spark, row.path)
     if path:
         delete_path(spark, path)
 
 
+def vacuum(spark: SparkSession, store: Store, subject: Subject) -> int:
+    """Delete folders under the table's root that went more than ``store.keep_versions`` entries ago, and
+    say how many. What is read as of an entry since then stays."""
+    number = ledger.latest_number(spark, store, subject)
+    spans = ledger.validity(ledger_events(spark, store, subject))
+    live = spans.where("removed IS NULL").select("path")
+    old = spans.where((F.col("removed") <= number - store.keep_versions) & F.startswith("path", F.lit(f"{store.table_root(subject)}/")))
+    gone = old.join(live, "path", "left_anti").select("path").distinct()
+    return sum(delete_path(spark, row.path) for row in gone.repartition(1).toLocalIterator())
+
+
 def partitions(
     spark: SparkSession, store: Store, subject: Subject, spec: str | None = None
 ) -> DataFrame:
@@ -167,13 +222,10 @@ def partitions(
 
 
 def existing_action_times(spark: SparkSession, store: Store, subject: Subject) -> DataFrame:
-    """Action times that have a registered folder, to semi-join with; one metadata call in all."""
-    bare = F.regexp_replace("spec", f"/{RANDOM_KEY}=.*$", "")
-    return (
-        partitions(spark, store, subject)
-        .select(F.regexp_replace(bare, "[a-z]+=", "").alias("action_time"))
-        .distinct()
-    )
+    """Action times that have a registered folder, to semi-join with: from the ledger's live view, a table
+    like any other, so no list of partitions passes through the driver."""
+    live = ledger.live_folders(ledger_events(spark, store, subject))
+    return live.where(F.col("partition") > "").select(F.col("partition").alias("action_time")).distinct()
 
 
 def partition_exists(
@@ -187,25 +239,30 @@ def partition_exists(
 def sync_with_ledger(spark: SparkSession, store: Store, subject: Subject) -> None:
     """Bring what the ledger has recorded since the last time to the catalog.
 
-    Only the folders named in ledger files without a mark are looked at, each by its newest event,
+    Only the folders named in ledger entries without a mark are looked at, each by its newest event,
     and go to the catalog a batch at a time. Safe to repeat, so it also repairs a run that stopped
-    between its ledger entry and its catalog calls. File listings the session may have cached are
-    dropped.
+    between its ledger entry and its catalog calls. If another writer's entry comes in meanwhile, its
+    calls may have been before ours, so the same folders are looked at again. File listings the session
+    may have cached are dropped.
     """
-    spark.catalog.refreshTable(store.table_name(subject))
-    pending = ledger.unsynced(spark, store, subject)
-    if not pending:
-        return
-    events = ledger_events(spark, store, subject)
-    fresh = events.where(F.col("batch").isin([p.rsplit("=", 1)[1] for p in pending]))
-    known = newest_events(events.join(fresh.select("path").distinct(), "path", "left_semi"))
-    # one task each: a local iterator runs a job per task, and this is a few rows of metadata
-    live = known.where(F.col("op") == ADD).select("partition", RANDOM_KEY, "path").repartition(1)
-    dead = known.where(F.col("op") == DELETE).select(spec_column().alias("spec")).repartition(1)
-    add_partitions(spark, store, subject, (tuple(r) for r in live.toLocalIterator()))
-    drop_partitions(spark, store, subject, (r.spec for r in dead.toLocalIterator()))
-    for batch in pending:
-        ledger.mark_synced(spark, batch)
+    with _TABLE_LOCKS[store.table_name(subject)]:
+        spark.catalog.refreshTable(store.table_name(subject))
+        pending = set(ledger.unsynced(spark, store, subject))
+        while pending:
+            number = ledger.latest_number(spark, store, subject)
+            events = ledger_events(spark, store, subject)
+            fresh = events.where(F.col("batch").isin([p.rsplit("=", 1)[1] for p in pending]))
+            known = newest_events(events.join(fresh.select("path").distinct(), "path", "left_semi"))
+            # one task: a local iterator runs a job per task, and this is a few rows of metadata
+            changes = known.select("op", "partition", RANDOM_KEY, "path", spec_column().alias("spec")).repartition(1).collect()
+            _add_to_catalog(spark, store, subject, ((r.partition, r[RANDOM_KEY], r.path) for r in changes if r.op == ADD))
+            drop_partitions(spark, store, subject, (r.spec for r in changes if r.op == DELETE))
+            for batch in pending:
+                if path_exists(spark, batch):
+                    ledger.mark_synced(spark, batch)
+            if ledger.latest_number(spark, store, subject) == number:
+                break
+            pending |= set(ledger.unsynced(spark, store, subject))
 
 
 def _folder_event(
@@ -221,7 +278,7 @@ def register_folder(
     """Enter a folder that is there already in ledger and catalog; its id is its own name."""
     folder_id = path.rstrip("/").split("/")[-1]
     entry = record(store, subject, _folder_event(spark, partition, folder_id, path, ADD))
-    add_partition(spark, store, subject, partition, path)
+    _add_to_catalog(spark, store, subject, [(partition, folder_id, path)])
     ledger.mark_synced(spark, entry)
 
 

@@ -75,11 +75,16 @@ class Rule:
 
 @dataclass(frozen=True)
 class Store:
-    """Where landed data, its ledger and its catalog database live."""
+    """Where landed data, its ledger and its catalog database live.
+
+    ``keep_versions`` is for how many ledger entries a folder that a compaction or a drop took out can
+    still be read as of an older one; ``catalog.tables.vacuum`` deletes older ones. 0 deletes at once.
+    """
 
     root: str
     db_prefix: str = "log_"
     names: TrackingNames = field(default_factory=TrackingNames)
+    keep_versions: int = 0
 
     def table_root(self, subject: Subject) -> str:
         return f"{self.root.rstrip('/')}/{subject.db}/{subject.table}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsilt.catalog import ledger, tables
@@ -25,29 +25,34 @@ def compact(
     files: int | None = None,
     partitions: Sequence[str] | None = None,
     min_folders: int = 2,
+    max_bytes: int | None = None,
 ) -> int:
     """Rewrite each partition's live folders as one folder.
 
     Without ``partitions`` every partition that has ``min_folders`` live folders is taken; all of
-    them in one plan. Files are sized by bytes, or with ``files`` a partition has at most so many.
+    them in one plan. With ``max_bytes`` a partition's smallest folders are taken, as many as have so
+    many bytes together, if these are ``min_folders`` at least; large folders are left alone, so that a
+    row is not written again each time some small folders have come. Files are sized by bytes, or with ``files`` a partition has at most so many.
     Rows are kept as they are: nothing is deduplicated. One ledger entry swaps the folders, so ledger
     readers see either the old or the new ones; the catalog follows, new folders first, and a reader
     of the table may see both in between. Folders that are gone from storage are only unregistered.
+    A partition that lost a folder to another writer meanwhile is left as that one made it. Old folders
+    are deleted, or with ``store.keep_versions`` stay for readers of older entries until a vacuum.
     Returns the number of partitions taken.
     """
     keys = time_keys(rule)
     tables.sync_with_ledger(spark, store, subject)
+    number = ledger.latest_number(spark, store, subject)
     events = ledger.ledger_events(spark, store, subject)
     if partitions is not None:
         wanted = spark.createDataFrame([(p,) for p in partitions], "partition string").distinct()
         events = events.join(wanted, "partition", "left_semi")
-    due = ledger.due_for_compaction(events, 1 if partitions is not None else min_folders)
+    least = 1 if partitions is not None and max_bytes is None else min_folders
     scratch = scratch_dir(spark, "compact")
     try:
         # exactly the folders of this snapshot; one that is registered meanwhile is left alone
-        live = ledger.live_folders(events).join(due.select("partition"), "partition", "left_semi")
-        live.select("partition", RANDOM_KEY, "path").write.parquet(scratch)
-        old = spark.read.parquet(scratch)
+        chosen_folders(events, least, max_bytes).write.parquet(f"{scratch}/old")
+        old = spark.read.parquet(f"{scratch}/old")
         done = old.select("partition").distinct().count()
         if not done:
             return 0
@@ -58,22 +63,46 @@ def compact(
         table = spark.table(store.table_name(subject))
         rows = table.join(chosen, [*keys, RANDOM_KEY], "left_semi").select(*table.columns).drop(RANDOM_KEY)
         folder_id = write_id()
-        # a running number spreads rows whatever they hold, and repeats itself over a plain file scan
-        spread = F.monotonically_increasing_id()
-        path = write_partition_parquet(rows, store.table_root(subject), keys, files, spread, folder_id)
+        # dealt by the number of the source task, which repeats itself over a file scan pruned by folder
+        path = write_partition_parquet(rows, store.table_root(subject), keys, files, folder_id=folder_id)
 
         removed = old.select("partition", RANDOM_KEY, "path", F.lit(ledger.DELETE).alias("op"))
         added = ledger.written_events(spark, path, folder_id, keys)
-        ledger.record(store, subject, added.unionByName(removed))
+        changes = added.unionByName(removed, allowMissingColumns=True).withColumn("kind", F.lit(ledger.MOVED))
+        changes.write.parquet(f"{scratch}/changes")
+        swap = spark.read.parquet(f"{scratch}/changes")
+        outcome = ledger.commit(store, subject, swap, number, needed=old)
+        while outcome.conflicts is not None:
+            # another writer took folders out: its partitions are left as they are now
+            lost = swap.where(F.col("op") == ledger.ADD).join(outcome.conflicts, "partition", "left_semi")
+            for row in lost.collect():
+                delete_path(spark, row.path)
+            old, swap = (rows.join(outcome.conflicts, "partition", "left_anti") for rows in (old, swap))
+            done = old.select("partition").distinct().count()
+            outcome = ledger.commit(store, subject, swap, outcome.number, needed=old)
         tables.sync_with_ledger(spark, store, subject)
-        with ThreadPoolExecutor(_DELETE_THREADS) as pool:
-            list(pool.map(lambda r: delete_path(spark, r["path"]), old.select("path").toLocalIterator()))
+        if not store.keep_versions:
+            with ThreadPoolExecutor(_DELETE_THREADS) as pool:
+                list(pool.map(lambda r: delete_path(spark, r["path"]), old.select("path").toLocalIterator()))
     finally:
         delete_path(spark, scratch)
-    ledger.roll_up(spark, store, subject)
+    ledger.trim(spark, store, subject)
     return done
 
 
+def chosen_folders(events: DataFrame, min_folders: int, max_bytes: int | None = None) -> DataFrame:
+    """Folders to rewrite (``partition, randompath, path``): of each partition all, or the smallest that
+    have ``max_bytes`` together, where they are ``min_folders`` at least. A folder whose size the ledger
+    does not know counts as empty."""
+    live = ledger.own_folders(ledger.live_folders(events))
+    if max_bytes is not None:
+        size = F.coalesce("bytes", F.lit(0))
+        smallest = Window.partitionBy("subject", "partition").orderBy(size, "path")
+        live = live.withColumn("total", F.sum(size).over(smallest)).where(F.col("total") <= max_bytes)
+    number = F.count("*").over(Window.partitionBy("subject", "partition"))
+    return live.withColumn("folders", number).where(F.col("folders") >= min_folders).select("partition", RANDOM_KEY, "path")
+
+
 def run_history(
     spark: SparkSession,
     store: Store,

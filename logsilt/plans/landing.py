@@ -20,6 +20,7 @@ from logsilt.operators.shape import (
     expand_header,
     with_partition_keys,
 )
+from logsilt.plans.intake import Manifest, new_files
 from logsilt.plans.merging import merge_new_rows
 from logsilt.session import delete_path, scratch_dir
 from logsilt.sources.avro import read_avro
@@ -133,6 +134,7 @@ def ingest(
     stage: bool = True,
     run: str | None = None,
     taken_prefix: str | None = None,
+    manifest: Manifest | None = None,
 ) -> Landed:
     """Add tracking columns to a batch and land its new rows.
 
@@ -141,18 +143,19 @@ def ingest(
     steps. Turn it off for input that is cheap to read twice and has a fixed time key.
 
     ``run`` names the run: rejects go to a folder of that name and replace those of an earlier
-    attempt. ``taken_prefix`` renames columns that have the name of a partition key.
+    attempt. ``taken_prefix`` renames columns that have the name of a partition key. ``manifest`` names
+    the input files, which count as taken from the ledger entry on that lands their rows.
     """
     expand = {"header": expand_header, "flat": expand_flat}[layout]
     expanded = expand(batch, rule.match_key, rule.time_key, store.names, now)
     match = store.names.match_path(layout)
     if not stage:
-        return _land(spark, store, rule, expanded, match, null_safe, run, taken_prefix)
+        return _land(spark, store, rule, expanded, match, null_safe, run, taken_prefix, manifest)
     scratch = scratch_dir(spark, "stage")
     try:
         expanded.write.parquet(scratch)
         staged = spark.read.schema(expanded.schema).parquet(scratch)
-        return _land(spark, store, rule, staged, match, null_safe, run, taken_prefix)
+        return _land(spark, store, rule, staged, match, null_safe, run, taken_prefix, manifest)
     finally:
         delete_path(spark, scratch)
 
@@ -178,6 +181,7 @@ def _land(
     null_safe: bool,
     run: str | None = None,
     taken_prefix: str | None = None,
+    manifest: Manifest | None = None,
 ) -> Landed:
     subject = Subject.parse(rule.subject)
     keys = time_keys(rule.partition)
@@ -198,22 +202,56 @@ def _land(
             rejects = f"{store.table_root(subject)}/_rejects/{run or folder_id}"
             expanded.where(~fits).write.mode("overwrite").parquet(rejects)
         if touched.isEmpty():
+            if manifest is not None:
+                ledger.record(store, subject, manifest.event(spark))
             return Landed(subject, folder_id, None, rejects)
-
-        tables.sync_with_ledger(spark, store, subject)
-        stored = prune_partitions(spark.table(store.table_name(subject)), keys, touched)
-        fresh = merge_new_rows(
-            keyed, stored, keys, match, order_by=rule.order_by, null_safe=null_safe
-        )
-        path = write_partition_parquet(
-            fresh, store.table_root(subject), keys, rule.files, F.col(match), folder_id
-        )
+        path = _merge_and_commit(spark, store, rule, keyed, touched, keys, match, null_safe, folder_id, scratch, manifest)
     finally:
         delete_path(spark, scratch)
-    register(spark, store, subject, path, folder_id, keys)
+    tables.sync_with_ledger(spark, store, subject)
+    ledger.trim(spark, store, subject)
     return Landed(subject, folder_id, path, rejects)
 
 
+def _merge_and_commit(
+    spark: SparkSession, store: Store, rule: Rule, keyed: DataFrame, touched: DataFrame, keys: list[str], match: str,
+    null_safe: bool, folder_id: str, scratch: str, manifest: Manifest | None,
+) -> str:
+    """Write the new rows and enter them in the ledger, all partitions at once; the (first) folder.
+
+    The merge holds for the entries there were when it read the stored rows. If other writers have
+    changed some of its partitions by the time it commits, these alone are merged again, against what
+    is stored now, and written to a folder of their own; the others stay as they are written.
+    """
+    subject = Subject.parse(rule.subject)
+    partitions = touched.withColumnRenamed("action_time", "partition")
+    todo, rows, done, first = touched, keyed, None, None
+    while True:
+        base = ledger.latest_number(spark, store, subject)
+        tables.sync_with_ledger(spark, store, subject)
+        stored = prune_partitions(spark.table(store.table_name(subject)), keys, todo)
+        fresh = merge_new_rows(rows, stored, keys, match, order_by=rule.order_by, null_safe=null_safe)
+        path = write_partition_parquet(fresh, store.table_root(subject), keys, rule.files, F.col(match), folder_id)
+        written = ledger.written_events(spark, path, folder_id, keys)
+        first = first or path
+        done = written if done is None else done.unionByName(written, allowMissingColumns=True)
+        if manifest is not None and first == path:
+            done = done.unionByName(manifest.event(spark), allowMissingColumns=True)
+        check = None if manifest is None else manifest.check
+        outcome = ledger.commit(store, subject, done, base, partitions, check=check)
+        if outcome.conflicts is None:
+            return first
+        known = f"{scratch}-{folder_id}"
+        done.write.parquet(known)
+        done = spark.read.parquet(known)
+        # their folders are in no entry and so in no view
+        for row in done.join(outcome.conflicts, "partition", "left_semi").collect():
+            delete_path(spark, row.path)
+        done = done.join(outcome.conflicts, "partition", "left_anti")
+        todo = outcome.conflicts.withColumnRenamed("partition", "action_time")
+        rows, folder_id = prune_partitions(keyed, keys, todo), write_id()
+
+
 def touched_partitions(
     expanded: DataFrame, fits: Column, action_time: str, scratch: str
 ) -> tuple[DataFrame, bool]:
@@ -239,6 +277,7 @@ def register(
     """Enter a written folder in the ledger, then in the catalog."""
     ledger.record(store, subject, ledger.written_events(spark, path, folder_id, keys))
     tables.sync_with_ledger(spark, store, subject)
+    ledger.trim(spark, store, subject)
 
 
 def run_online(
@@ -251,16 +290,45 @@ def run_online(
     record_exprs: Sequence[str] = (),
     now: int | None = None,
     run: str | None = None,
+    once: bool = True,
 ) -> Landed:
-    """Ingest files of a subject by its registered rule and schema."""
+    """Ingest files of a subject by its registered rule and schema, each file once (see ``ingest_files``)."""
     Subject.parse(subject)
     rule = load_rule(rules, subject)
     kind = rule.file_type.lower()
     schema = None if kind in ("avro", "td") else load_schema(schemas, subject)
+    if once:
+        return ingest_files(spark, store, rule, files, schema, record_exprs, now, run)
     batch = read_batch(spark, kind, files, schema, record_exprs)
     return ingest(spark, store, rule, batch, layout_of(kind), now, run=run)
 
 
+def ingest_files(
+    spark: SparkSession,
+    store: Store,
+    rule: Rule,
+    files: str | Sequence[str],
+    schema: StructType | None = None,
+    record_exprs: Sequence[str] = (),
+    now: int | None = None,
+    run: str | None = None,
+) -> Landed:
+    """Ingest those of the files that no earlier run has taken, as the rule's file type.
+
+    A file is known by path, length and time of change. What a run takes is written down before and
+    counts from the ledger entry that lands its rows, so a run that stops takes nothing, and a repeated
+    one reads nothing: rows whose match value is NULL are not added again. If another run lands some of
+    the same files first, this one fails and lands nothing.
+    """
+    subject, kind = Subject.parse(rule.subject), rule.file_type.lower()
+    manifest = new_files(spark, store, subject, files)
+    paths = manifest.paths(spark)
+    if not paths:
+        return Landed(subject, manifest.run, None, None)
+    batch = read_batch(spark, kind, paths, schema, record_exprs)
+    return ingest(spark, store, rule, batch, layout_of(kind), now, run=run, manifest=manifest)
+
+
 def run_offline(
     spark: SparkSession, store: Store, rules: DataFrame, subject: str, files: str | Sequence[str]
 ) -> Landed:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Runtime settings under which results match the documented semantics.
@@ -39,6 +43,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/logsilt/{name}-{uuid.uuid4().hex}"
 
 
+def on_path(spark: SparkSession) -> None:
+    """Put this package on the workers' path where they share the file system, for functions of ours that
+    run in Python workers. Elsewhere it comes the usual way, by ``--py-files`` or as part of the image."""
+    home = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, known)])
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -63,6 +77,36 @@ def child_folders(spark: SparkSession, pattern: str, hidden: bool = False) -> li
     return [p.toString() for p in paths if hidden or not p.getName().startswith(("_", "."))]
 
 
+def move_new(spark: SparkSession, folder: str, target: str) -> bool:
+    """Give a folder that holds files its final name in one step; False if the name is taken.
+
+    Of several that try the same name at once, one gets it. That takes a file system that renames in
+    one step and not onto what is there: HDFS and its like, or a local one.
+    """
+    source, fs = _hadoop_path(spark, folder)
+    final = spark._jvm.org.apache.hadoop.fs.Path(target)
+    gateway = spark.sparkContext._gateway
+    try:
+        if fs.getUri().getScheme() == "file":
+            # a folder is renamed onto an empty one only, and ours are not empty
+            files = spark._jvm.java.nio.file
+            paths = [files.Paths.get(p.toUri().getPath(), gateway.new_array(gateway.jvm.String, 0)) for p in (source, final)]
+            options = gateway.new_array(files.CopyOption, 1)
+            options[0] = files.StandardCopyOption.ATOMIC_MOVE
+            files.Files.move(*paths, options)
+        else:
+            rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+            options = gateway.new_array(rename, 1)
+            options[0] = rename.NONE
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            context.rename(source, final, options)
+    except Py4JJavaError:
+        if fs.exists(final):
+            return False
+        raise
+    return True
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Make an empty file."""
     hadoop_path, fs = _hadoop_path(spark, path)

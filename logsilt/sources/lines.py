@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from logsilt.functions.text import split_pipe
 from logsilt.layout import quoted
 from logsilt.operators.shape import rows_from_array
+from logsilt.session import on_path
 from logsilt.sources.files import as_paths
 
 _FIELDS, _LINE = "__fields", "__line"
@@ -46,25 +51,126 @@ def read_pipe_text(
 
 
 def read_paragraph_records(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    *record_exprs: str,
-    separator: str = "\n\n",
+    spark: SparkSession, paths: str | Sequence[str], *record_exprs: str, separator: str | None = None
 ) -> DataFrame:
     """Records separated by blank lines, each parsed by the caller's SQL over ``value``.
 
     ``read_paragraph_records(spark, p, "from_json(value, 'a int') AS r")``. Without expressions the
-    records come back as text. Blank records are skipped.
+    records come back as text. A line that is empty or white space separates, whether lines end in LF
+    or CRLF, so ``separator`` is not needed; a record keeps the line ends inside it.
 
-    A line that is empty or white space separates, whatever ends the lines. ``separator`` (``"\\n\\n"``
-    or, for files with CRLF, ``"\\r\\n\\r\\n"``) only tells Spark where it may cut a file into
-    tasks: with the wrong one no record is lost, but a file is read by one task.
+    Files are read by line and cut into tasks anywhere. A task joins the lines of its blocks; only what
+    touches a border between two blocks of a file is left open, and such pieces belong together if no
+    blank line stands between them, which the blank lines counted per block say. For that, files of more
+    than one block are read twice; files of one block have no borders.
     """
-    pieces = F.split("value", r"\r?\n(?:[ \t]*\r?\n)+|\r?\n[ \t]*$|^[ \t]*\r?\n", -1)
-    records = (
-        spark.read.option("lineSep", separator)
-        .text(as_paths(paths))
-        .select(F.explode(pieces).alias("value"))
-        .where(F.trim(F.translate("value", "\r\n\t", "   ")) != "")
+    lines = spark.read.option("lineSep", "\n").text(as_paths(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")).alias("stop"), F.col("_metadata.file_size").alias("size"),
     )
+    on_path(spark)
+    pieces = lines.mapInArrow(_pieces, "value string, file string, start bigint, number bigint, kind string")
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    ends = pieces.where(F.col("kind") != WHOLE)
+    counted = ends.where(F.col("kind") == COUNT).select(
+        "file", "start", F.coalesce(F.sum("number").over(before), F.lit(0)).alias("base")
+    )
+    joined = (
+        ends.where(F.col("kind") == OPEN).join(counted, ["file", "start"])
+        .groupBy("file", (F.col("base") + F.col("number")).alias("record"))
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "value"))), lambda p: p["value"]), "\n").alias("value"))
+    )
+    records = pieces.where(F.col("kind") == WHOLE).select("value").unionByName(joined.select("value"))
+    records = records.select(F.regexp_replace("value", "\r$", "").alias("value"))
     return records.selectExpr(*record_exprs) if record_exprs else records
+
+
+# What a row of pieces is: a whole record, one that may go on in a neighbouring block, a block's blank lines.
+WHOLE, OPEN, COUNT = "whole", "open", "count"
+
+
+@dataclass
+class _Block:
+    """Where the lines of one block stand: what is open, and the blank lines so far."""
+
+    file: str
+    start: int
+    last: bool
+    blanks: int = 0
+    text: str | None = None
+    at_start: bool = False
+
+    def close(self, at_stop: bool) -> tuple:
+        """The open piece, as a row; it may go on if it touches a border of the block inside the file."""
+        kind = OPEN if (self.at_start and self.start > 0) or (at_stop and not self.last) else WHOLE
+        row, self.text = (self.text, self.file, self.start, self.blanks, kind), None
+        return row
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block = None
+    for batch in batches:
+        file, start = batch.column("file"), batch.column("start")
+        other = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(start[1:], start[:-1])).to_numpy(zero_copy_only=False)
+        bounds = [0, *(np.flatnonzero(other) + 1).tolist(), batch.num_rows]
+        rows: list[tuple] = []
+        for low, high in zip(bounds, bounds[1:]):
+            if low == high:
+                continue
+            key = (file[low].as_py(), start[low].as_py())
+            if block is None or key != (block.file, block.start):
+                rows += _ended(block)
+                block = _Block(*key, batch.column("stop")[low].as_py() >= batch.column("size")[low].as_py())
+                block.at_start = True
+            rows += _joined(block, batch.column("value").slice(low, high - low))
+        yield _rows(rows)
+    yield _rows(_ended(block))
+
+
+def _joined(block: _Block, lines: pa.Array) -> list[tuple]:
+    """Rows that end among the next lines of a block; the last one stays open in it."""
+    blank = pc.equal(pc.utf8_trim(lines, " \t\r"), "").to_numpy(zero_copy_only=False)
+    full = np.flatnonzero(~blank)
+    rows = []
+    if block.text is not None and blank[0]:
+        rows.append(block.close(False))
+    if len(full):
+        first = np.flatnonzero(np.diff(full, prepend=-2) > 1)
+        offsets = pa.array(np.append(first, len(full)), pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(offsets, lines.take(pa.array(full))), "\n").to_pylist()
+        blanks = np.cumsum(blank)
+        begun = block.blanks
+        for text, at in zip(texts, full[first].tolist()):
+            if at == 0 and block.text is not None:
+                block.text += "\n" + text
+            else:
+                if block.text is not None:
+                    rows.append(block.close(False))
+                block.blanks = begun + int(blanks[at])
+                block.at_start = block.blanks == 0
+                block.text = text
+        block.blanks = begun
+        if blank[-1]:
+            block.blanks = begun + int(blanks[full[-1]])
+            rows.append(block.close(False))
+            block.blanks = begun
+        block.blanks += int(blanks[-1])
+    else:
+        block.blanks += len(lines)
+    return rows
+
+
+def _ended(block: _Block | None) -> list[tuple]:
+    if block is None:
+        return []
+    rows = [] if block.text is None else [block.close(True)]
+    if block.start == 0 and block.last:
+        return rows
+    return [*rows, (None, block.file, block.start, block.blanks, COUNT)]
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * 5
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
+    names = ("value", "file", "start", "number", "kind")
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)

@@ -268,3 +268,38 @@ def test_batch_reader_rejects_unknown_types(spark):
         read_batch(spark, "xml", "/nowhere")
     with pytest.raises(ValueError, match="schema"):
         read_batch(spark, "txt", "/nowhere")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("block", [64, 1000, 50_000])
+def test_paragraph_records_of_a_file_in_many_blocks(spark, tmp_path, end, block):
+    """Records of no, one or many lines, longer than a block or many in one; any number of blank lines."""
+    import random
+
+    draw = random.Random(block)
+    records, text = [], ""
+    for i in range(300):
+        lines = [f"{i} line {j} " + "x" * draw.choice([0, 3, 40, 700 if i % 50 == 0 else 5]) for j in range(draw.choice([1, 1, 2, 9]))]
+        records.append(end.join(lines))
+        text += records[-1] + end + "".join(draw.choice(["", " ", "\t "]) + end for _ in range(draw.choice([1, 1, 2, 30])))
+    Path(tmp_path, "log").write_bytes((end * 3 + text).encode())
+    Path(tmp_path, "other").write_bytes(b"alone")
+    Path(tmp_path, "empty").write_bytes(b"")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        found = sources.read_paragraph_records(spark, str(tmp_path))
+        assert sorted(r.value for r in found.collect()) == sorted([*records, "alone"])
+        if block < 50_000:
+            assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("blank", ["\r\n", " \n", "\t \r\n", "\n"])
+def test_a_hundred_thousand_blank_lines(spark, tmp_path, blank):
+    Path(tmp_path, "log").write_bytes(("first\n" + blank * 100_000 + "second\nline\n" + blank * 100_000).encode())
+    found = sources.read_paragraph_records(spark, str(tmp_path))
+    assert sorted(r.value for r in found.collect()) == ["first", "second\nline"]
