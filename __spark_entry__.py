@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -874,6 +876,41 @@ def drop_table_then_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _landed_events(spark, store)
 
 
+def ingest_parallel(spark: SparkSession, sf: str) -> DataFrame:
+    """All events and half of them, landed by two writers at the same time: no key is there twice."""
+    store = _store(spark, "parallel")
+    events = _events(spark, sf)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda batch: _land(spark, store, batch), [events, events.where("event_id % 2 = 0")]))
+    return _landed_table(spark, store).groupBy("year", "month", "day", "header.logMatchValue").agg(F.count("*").alias("n"))
+
+
+def read_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """A table as of each of its entries: two batches, a compaction, a dropped day."""
+    store, subject = Store(scratch_dir(spark, "as_of"), f"q{uuid.uuid4().hex[:12]}_", keep_versions=10), Subject.parse(_RULE.subject)
+    for batch in _two_batches(spark, sf):
+        _land(spark, store, batch)
+    plans.compact(spark, store, subject, DAY, files=1)
+    tables.drop_partition(spark, store, subject, "year=2024/month=01/day=02")
+    views = [
+        plans.read_as_of(spark, store, subject, DAY, number).select(F.lit(number).alias("number"), "event_id", "year", "month", "day")
+        for number in range(1, 5)
+    ]
+    return reduce(DataFrame.unionByName, views)
+
+
+def ledger_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Action times by the ledger after a commit for every day; its entries are folded on the way."""
+    store, subject = _store(spark, "folds"), Subject("web", "events")
+    days = [r[0] for r in _table(spark, sf, "events").select(_day()).distinct().collect()]
+    for day in days:
+        folder = (day, "x", f"{store.table_root(subject)}/{day}", ledger.ADD)
+        ledger.record(store, subject, spark.createDataFrame([folder], "partition string, randompath string, path string, op string"))
+        ledger.trim(spark, store, subject)
+    few = len(ledger.batches(spark, store, subject)) < 40
+    return tables.existing_action_times(spark, store, subject).withColumn("few_entries", F.lit(few))
+
+
 def ingest_damaged(spark: SparkSession, sf: str) -> DataFrame:
     """A file with damaged lines, landed twice: the sound rows once, the damaged lines once, as text."""
     store = _store(spark, "damaged")
@@ -918,7 +955,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partition_ledger, ledger_due, rule_lookup, latest_schema,
         ingest_merge, ingest_avro, ingest_td, offline_merge, rerun_adds_nothing, compact_partition,
         distinct_update_times, ingest_stream,
-        offline_merge_joined, drop_then_ingest, drop_table_then_ingest, ingest_damaged,
+        offline_merge_joined, drop_then_ingest, drop_table_then_ingest, ingest_parallel, read_as_of, ledger_folds, ingest_damaged,
     )
 }
 _QUERIES["ingest_txt"] = _ingest_as("txt", _write_pipe)
@@ -1096,6 +1133,12 @@ def core_oracle_sql() -> dict[str, str]:
         + ")",
         "drop_table_then_ingest": f"SELECT event_id, {_TS}, user_id, event_type, value, props, {_YMD} FROM ("
         + _LANDED.replace("FROM events", "FROM events WHERE extract(hour FROM ts) >= 8") + ")",
+        "ingest_parallel": """SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
+         user_id || '-' || event_type AS "logMatchValue", CAST(1 AS BIGINT) AS n FROM events GROUP BY ALL""",
+        "read_as_of": f"""WITH e AS (SELECT event_id, {_YMD}, extract(hour FROM ts) >= 8 AS late FROM ({_LANDED}))
+         SELECT CAST(n AS INTEGER) AS number, event_id, year, month, day FROM e, range(1, 5) AS r(n)
+         WHERE (n > 1 OR NOT late) AND (n < 4 OR year || month || day <> '20240102')""",
+        "ledger_folds": "SELECT DISTINCT strftime(ts, '%Y/%m/%d') AS action_time, true AS few_entries FROM events",
         "ingest_damaged": """SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS DOUBLE) AS price
          FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT NULL, NULL, o_orderstatus, o_totalprice FROM orders
          WHERE o_orderstatus = 'O'""",
