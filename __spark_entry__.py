@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ from logsilt import operators as op
 from logsilt import plans, sources
 from logsilt.catalog import ledger, registry, tables
 from logsilt.layout import partition_keys, time_keys
+from logsilt.plans import compaction
 from logsilt.plans.landing import register
 from logsilt.session import scratch_dir
 from logsilt.streaming import start_online
@@ -226,6 +228,17 @@ def read_paragraph_records(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_paragraph_records(spark, paths, f"from_json(value, '{ddl}') AS r").select("r.*")
 
 
+def read_paragraphs_far_apart(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of several lines, with two thousand blank lines of three kinds between any two."""
+    turns = _table(spark, sf, "conversations")
+    path = scratch_dir(spark, "far_paragraphs")
+    record = _json_value(*turns.columns)
+    lines = turns.select(F.replace(record, F.lit('","'), F.lit('",\r\n"')).alias("value"))
+    _write_lines(lines, path, separator="\r\n" + " \n\r\n\t\r\n" * 700)
+    ddl = "conv_id bigint, turn bigint, role string, text string"
+    return sources.read_paragraph_records(spark, path, f"from_json(value, '{ddl}') AS r").select("r.*")
+
+
 def read_avro(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "avro")
     sources.write_avro(_table(spark, sf, "embeddings"), path)
@@ -911,6 +924,51 @@ def ledger_folds(spark: SparkSession, sf: str) -> DataFrame:
     return tables.existing_action_times(spark, store, subject).withColumn("few_entries", F.lit(few))
 
 
+def ingest_files_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files given three times, with others in between; rows without a key are not added again."""
+    store, inbox = _store(spark, "files_once"), scratch_dir(spark, "inbox")
+    key = "CASE WHEN event_type <> 'error' THEN concat_ws('-', user_id, event_type) END"
+    rule = replace(_RULE, match_key=key, file_type="json")
+    for batch in _two_batches(spark, sf):
+        sources.write_json(batch, f"{inbox}/{uuid.uuid4().hex}")
+        for _ in range(2):
+            plans.ingest_files(spark, store, rule, inbox, _schema(EVENTS_TEXT_SCHEMA), now=NOW)
+    return _landed_table(spark, store).groupBy("year", "month", "day").agg(
+        F.count("header.logMatchValue").alias("keyed"), F.count_if(F.col("header.logMatchValue").isNull()).alias("unkeyed")
+    )
+
+
+def compaction_by_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Which folders of which months are rewritten: the smallest ones that fit together."""
+    events = _ledger_from_orders(spark, sf).withColumn("bytes", F.col("seq") % 1000)
+    return compaction.chosen_folders(events, 5, 4000).select("partition", "randompath")
+
+
+def compact_small(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches of a day, of which the two small ones become one folder; the rows stay."""
+    store, subject = _store(spark, "compact_small"), Subject("web", "events")
+    events = _events_by(spark, sf, "yyyy")
+    for part in ("event_id % 20 > 1", "event_id % 20 = 0", "event_id % 20 = 1"):
+        _registered(spark, store, subject, events.where(part), "yyyy")
+    sizes = ledger.live_folders(ledger.ledger_events(spark, store, subject)).agg(F.max("bytes")).first()[0]
+    plans.compact(spark, store, subject, "yyyy", files=2, max_bytes=sizes - 1)
+    table = spark.table(store.table_name(subject))
+    folders = table.groupBy("year").agg(F.countDistinct("randompath").alias("folders"))
+    return table.drop("randompath").join(folders, "year")
+
+
+def distinct_of_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Kept distinct values after two batches, a compaction and a dropped day, asked for after each."""
+    store, subject = _store(spark, "distinct"), Subject.parse(_RULE.subject)
+    for batch in _two_batches(spark, sf):
+        _land(spark, store, batch)
+        plans.distinct_of_table(spark, store, subject, "value", DAY)
+    plans.compact(spark, store, subject, DAY, files=1)
+    plans.distinct_of_table(spark, store, subject, "value", DAY)
+    tables.drop_partition(spark, store, subject, "year=2024/month=01/day=02")
+    return plans.distinct_of_table(spark, store, subject, "value", DAY)
+
+
 def ingest_damaged(spark: SparkSession, sf: str) -> DataFrame:
     """A file with damaged lines, landed twice: the sound rows once, the damaged lines once, as text."""
     store = _store(spark, "damaged")
@@ -941,7 +999,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         read_parquet_paths, read_pipe_text, read_csv_header, read_json_lines, read_json_typed,
-        read_gbk_json_flat, read_gbk_json_typed, infer_json_schema, read_paragraph_records,
+        read_gbk_json_flat, read_gbk_json_typed, infer_json_schema, read_paragraph_records, read_paragraphs_far_apart,
         read_avro, union_files, read_partition, read_glob,
         write_partition_parquet, write_backup_parquet, write_avro, write_json, write_text,
         expand_flat, expand_header, align_schema, project_exprs, drop_columns,
@@ -955,7 +1013,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partition_ledger, ledger_due, rule_lookup, latest_schema,
         ingest_merge, ingest_avro, ingest_td, offline_merge, rerun_adds_nothing, compact_partition,
         distinct_update_times, ingest_stream,
-        offline_merge_joined, drop_then_ingest, drop_table_then_ingest, ingest_parallel, read_as_of, ledger_folds, ingest_damaged,
+        offline_merge_joined, drop_then_ingest, drop_table_then_ingest, ingest_parallel, read_as_of, ledger_folds,
+        ingest_files_once, compaction_by_size, compact_small, distinct_of_table, ingest_damaged,
     )
 }
 _QUERIES["ingest_txt"] = _ingest_as("txt", _write_pipe)
@@ -1020,6 +1079,7 @@ def core_oracle_sql() -> dict[str, str]:
          ('who.名称', 'string')) v(path, type)
          WHERE (SELECT count(DISTINCT event_type = 'view') FROM events) = 2""",
         "read_paragraph_records": "SELECT * FROM conversations",
+        "read_paragraphs_far_apart": "SELECT * FROM conversations",
         "read_avro": """SELECT vec_id, label, array_to_string(list_transform(embedding,
          lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ',') AS micros FROM embeddings""",
         "write_avro": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_ms(o_orderdate) AS o_orderdate,
@@ -1139,6 +1199,16 @@ def core_oracle_sql() -> dict[str, str]:
          SELECT CAST(n AS INTEGER) AS number, event_id, year, month, day FROM e, range(1, 5) AS r(n)
          WHERE (n > 1 OR NOT late) AND (n < 4 OR year || month || day <> '20240102')""",
         "ledger_folds": "SELECT DISTINCT strftime(ts, '%Y/%m/%d') AS action_time, true AS few_entries FROM events",
+        "ingest_files_once": f"""SELECT {_YMD}, count(DISTINCT CASE WHEN event_type <> 'error' THEN match_value END) AS keyed,
+         CAST(max(event_type = 'error' AND extract(hour FROM ts) < 8) AS BIGINT)
+         + CAST(max(event_type = 'error' AND extract(hour FROM ts) >= 8) AS BIGINT) AS unkeyed FROM ({_KEYED}) GROUP BY 1, 2, 3""",
+        "compaction_by_size": f"""SELECT partition, randompath FROM (SELECT *, count(*) OVER (PARTITION BY partition) AS n FROM
+         (SELECT *, sum(seq % 1000) OVER (PARTITION BY partition ORDER BY seq % 1000, path) AS total
+          FROM (SELECT *, split_part(path, '/', 3) AS randompath FROM ({ledger_rows}) WHERE o_orderstatus <> 'F'))
+         WHERE total <= 4000) WHERE n >= 5""",
+        "compact_small": f"""SELECT event_id, {_TS}, user_id, event_type, value, props, strftime(ts, '%Y') AS year,
+         CAST(2 AS BIGINT) AS folders FROM events""",
+        "distinct_of_table": f"SELECT DISTINCT value FROM ({_LANDED}) WHERE strftime(ts, '%Y/%m/%d') <> '2024/01/02'",
         "ingest_damaged": """SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS DOUBLE) AS price
          FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT NULL, NULL, o_orderstatus, o_totalprice FROM orders
          WHERE o_orderstatus = 'O'""",
