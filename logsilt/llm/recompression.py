@@ -344,12 +344,12 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, *others: Column) -> DataFram
 def _judged(rows: DataFrame) -> DataFrame:
     """Spans that stand earlier too (kind AGAIN), and blocks whose anchor has others (SUSPECT).
 
-    One shuffle by anchor; both windows read the same order.
+    Rows are dealt by anchor once, which serves both windows.
     """
     by_name, by_anchor = Window.partitionBy("anchor", "name"), Window.partitionBy("anchor")
     place = F.struct("oid", "start")
     return (
-        rows.withColumn("again", (F.col("kind") == OPEN) & (place > F.min(F.when(F.col("kind") == OPEN, place)).over(by_name)))
+        rows.repartition("anchor").withColumn("again", (F.col("kind") == OPEN) & (place > F.min(F.when(F.col("kind") == OPEN, place)).over(by_name)))
         .withColumn("several", (F.min("name").over(by_anchor) != F.max("name").over(by_anchor)) | (F.max(F.col("kind") == MARK).over(by_anchor)))
         .withColumn("kind", F.when(F.col("again"), AGAIN).when((F.col("kind") == OPEN) & F.col("several"), SUSPECT).otherwise(F.col("kind")))
         .where(F.col("kind").isin(AGAIN, SUSPECT))
