@@ -357,24 +357,47 @@ def _judged(rows: DataFrame) -> DataFrame:
     )
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
+def _per_doc(spans: DataFrame) -> DataFrame:
+    """``oid, dk, spans``: the spans of each document in order, those that touch or overlap as one."""
+    def joined(found: Column, span: Column) -> Column:
+        last = F.get(found, F.size(found) - 1)
+        apart = (F.size(found) == 0) | (span["start"] > last["stop"])
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["stop"], span["stop"]).alias("stop"))
+        return F.when(apart, F.array_append(found, span)).otherwise(
+            F.array_append(F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(0))), wider)
+        )
+
+    none = F.expr("CAST(array() AS array<struct<start: int, stop: int>>)")
+    sorted_spans = F.array_sort(F.collect_list(F.struct("start", "stop")))
+    return spans.groupBy("oid", "dk").agg(F.aggregate(sorted_spans, none, joined).alias("spans"))
+
+
+def _with_spans(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
     """Documents with an array of their spans. If all spans are few, by a count, texts need not move."""
-    per_doc = spans.groupBy("oid", "dk").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
-    few = spans.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    some = per_doc.select(F.explode("spans")).limit(BROADCAST_ROWS + 1)
+    few = some.count() <= BROADCAST_ROWS
     return docs.join(F.broadcast(per_doc) if few else per_doc, ["oid", "dk"], how)
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
-    """``oid, dk, start, stop``: stretches of words whose windows all stand earlier too, and may overlap.
+    """``oid, dk, spans``: of each document that has any, the stretches of words whose windows all stand
+    earlier too, as an array of ``start, stop`` in words.
 
     ``oid`` is the id (null: the largest long) and ``dk`` Spark's xxhash64 of the text (null: empty).
     """
     keyed = _keyed(docs, doc_id, text)
     blocks = written(_judged(by_batch(keyed, _block_rows(width, rounds), _ROWS)), "repeat_blocks")
-    suspects = _with_spans(keyed, blocks.where(F.col("kind") == SUSPECT), "inner")
+    suspects = _with_spans(keyed, written(_suspects(blocks), "repeat_suspects"), "inner")
     windows = _judged(by_batch(suspects, _window_rows(width), _ROWS))
     spans = [rows.where(F.col("kind") == AGAIN).select("oid", "dk", "start", "stop") for rows in (blocks, windows)]
-    return written(spans[0].unionByName(spans[1]), "repeat_spans")
+    return written(_per_doc(spans[0].unionByName(spans[1])), "repeat_spans")
+
+
+def _suspects(blocks: DataFrame) -> DataFrame:
+    """Blocks whose windows are to be named, per document. They hold windows that no other block has, so
+    they are not joined: a window across two blocks is in neither."""
+    spans = F.array_sort(F.collect_set(F.struct("start", "stop")))
+    return blocks.where(F.col("kind") == SUSPECT).groupBy("oid", "dk").agg(spans.alias("spans"))
 
 
 def _stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
