@@ -67,7 +67,8 @@ def _folder(store: Store, subject: Subject) -> str:
     return f"{store.ledger_root()}/subject={subject}"
 
 
-def _number(batch: str) -> int:
+def number_of(batch: str) -> int:
+    """The number of an entry's folder."""
     return int(batch.rsplit("=", 1)[1].split(".")[0])
 
 
@@ -78,7 +79,7 @@ def batches(spark: SparkSession, store: Store, subject: Subject) -> list[str]:
 
 def latest_number(spark: SparkSession, store: Store, subject: Subject) -> int:
     """The number of the newest entry; 0 when there is none."""
-    return max(map(_number, batches(spark, store, subject)), default=0)
+    return max(map(number_of, batches(spark, store, subject)), default=0)
 
 
 def record(store: Store, subject: Subject, events: DataFrame) -> str | None:
@@ -153,7 +154,7 @@ def _conflicts(events: DataFrame, base: int, touched: DataFrame | None, needed:
 
 
 def _folded_past(spark: SparkSession, store: Store, subject: Subject, number: int) -> bool:
-    return any(_is_fold(b) and _number(b) >= number for b in batches(spark, store, subject))
+    return any(_is_fold(b) and number_of(b) >= number for b in batches(spark, store, subject))
 
 
 def unsynced(spark: SparkSession, store: Store, subject: Subject) -> list[str]:
@@ -193,12 +194,12 @@ def trim(spark: SparkSession, store: Store, subject: Subject) -> None:
     for readers that have just listed them.
     """
     old = batches(spark, store, subject)
-    last = max((_number(b) for b in old if _is_fold(b)), default=0)
-    if sum(_number(b) > last for b in old) <= _ROLL_UP:
+    last = max((number_of(b) for b in old if _is_fold(b)), default=0)
+    if sum(number_of(b) > last for b in old) <= _ROLL_UP:
         return
     _fold(spark, store, subject, old)
     for batch in old:
-        if _number(batch) < last or (_number(batch) == last and not _is_fold(batch)):
+        if number_of(batch) < last or (number_of(batch) == last and not _is_fold(batch)):
             delete_path(spark, batch)
 
 
@@ -214,7 +215,7 @@ def _fold(spark: SparkSession, store: Store, subject: Subject, old: list[str]) -
     stopped run and must not bring the folder back.
     """
     pending = unsynced(spark, store, subject)
-    number = max(map(_number, old))
+    number = max(map(number_of, old))
     events = ledger_events(spark, store, subject).where(F.col("batch").isin([b.rsplit("=", 1)[1] for b in old]))
     newest = newest_events(events)
     added = events.where(F.col("op") == ADD).select(*newest.columns).distinct()

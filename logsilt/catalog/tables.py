@@ -251,8 +251,10 @@ def sync_with_ledger(spark: SparkSession, store: Store, subject: Subject) -> Non
         while pending:
             number = ledger.latest_number(spark, store, subject)
             events = ledger_events(spark, store, subject)
-            fresh = events.where(F.col("batch").isin([p.rsplit("=", 1)[1] for p in pending]))
-            known = newest_events(events.join(fresh.select("path").distinct(), "path", "left_semi"))
+            known = fresh = events.where(F.col("batch").isin([p.rsplit("=", 1)[1] for p in pending]))
+            if {ledger.number_of(p) for p in pending} != {number}:
+                # of the newest entry all events are the newest ones of their folders
+                known = newest_events(events.join(fresh.select("path").distinct(), "path", "left_semi"))
             # one task: a local iterator runs a job per task, and this is a few rows of metadata
             changes = known.select("op", "partition", RANDOM_KEY, "path", spec_column().alias("spec")).repartition(1).collect()
             _add_to_catalog(spark, store, subject, ((r.partition, r[RANDOM_KEY], r.path) for r in changes if r.op == ADD))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -196,12 +196,12 @@ def _land(
     folder_id = write_id()
     scratch = scratch_dir(spark, "touched")
     try:
-        touched, unfit = touched_partitions(expanded, fits, store.names.action_time, scratch)
+        touched, times, unfit = touched_partitions(expanded, fits, store.names.action_time, scratch)
         rejects = None
         if unfit:
             rejects = f"{store.table_root(subject)}/_rejects/{run or folder_id}"
             expanded.where(~fits).write.mode("overwrite").parquet(rejects)
-        if touched.isEmpty():
+        if not times:
             if manifest is not None:
                 ledger.record(store, subject, manifest.event(spark))
             return Landed(subject, folder_id, None, rejects)
@@ -254,13 +254,16 @@ def _merge_and_commit(
 
 def touched_partitions(
     expanded: DataFrame, fits: Column, action_time: str, scratch: str
-) -> tuple[DataFrame, bool]:
-    """The action times of rows that fit, as a small table, and whether there are rows that do not."""
+) -> tuple[DataFrame, int, bool]:
+    """The action times of rows that fit, as a small table, their number, and whether there are rows that
+    do not."""
     spark = expanded.sparkSession
     times = expanded.select(F.when(fits, F.col(quoted(action_time))).alias("action_time")).distinct()
-    times.write.parquet(scratch)
+    seen = Observation()
+    counted = times.observe(seen, F.count("action_time").alias("n"), F.count_if(F.col("action_time").isNull()).alias("unfit"))
+    counted.write.parquet(scratch)
     found = spark.read.schema(times.schema).parquet(scratch)
-    return found.where(F.col("action_time") > ""), not found.where("action_time IS NULL").isEmpty()
+    return found.where(F.col("action_time") > ""), seen.get["n"], seen.get["unfit"] > 0
 
 
 def prune_partitions(table: DataFrame, keys: Sequence[str], touched: DataFrame) -> DataFrame:

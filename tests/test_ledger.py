@@ -202,7 +202,7 @@ def test_many_entries_are_folded_and_stay_few(spark, store, monkeypatch):
 def test_writers_take_turns_for_a_number(spark, store):
     rows = [spark.createDataFrame([("2024", str(i), f"/p/{i}", "add")], EVENT) for i in range(8)]
     at_once(*[lambda r=r: ledger.record(store, SUBJECT, r) for r in rows])
-    numbers = [ledger._number(b) for b in ledger.batches(spark, store, SUBJECT)]
+    numbers = [ledger.number_of(b) for b in ledger.batches(spark, store, SUBJECT)]
     assert sorted(numbers) == list(range(1, 9)) and len(live(spark, store)) == 8
 
 
