@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsilt.layout import quoted
+from logsilt.session import settings
 
 
 def split_pipe(text: Column, drop_trailing_empty: bool = False) -> Column:
@@ -26,22 +24,9 @@ def json_map(text: Column, options: dict[str, str] | None = None) -> Column:
     return F.from_json(text, "map<string,string>", options or {})
 
 
-@contextmanager
-def _java_charsets(spark: SparkSession) -> Iterator[None]:
-    """Allow Java charsets, with replacement of undecodable bytes, for expressions analysed inside.
-
-    Spark fixes both choices in the expression when it is analysed, so nothing has to stay set
-    while the query runs.
-    """
-    keys = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
-    before = {key: spark.conf.get(key, None) for key in keys}
-    try:
-        for key in keys:
-            spark.conf.set(key, "true")
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+# Allows Java charsets, with replacement of undecodable bytes. Spark fixes both choices in an expression
+# when it is analysed, so nothing has to stay set while a query runs.
+_JAVA_CHARSETS = {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true"}
 
 
 def decode_gbk(df: DataFrame, source: str, target: str | None = None) -> DataFrame:
@@ -50,12 +35,12 @@ def decode_gbk(df: DataFrame, source: str, target: str | None = None) -> DataFra
     Decode before looking for ``|`` or parsing JSON: 0x7C and 0x5C can be the second byte of a
     character. Splitting into lines first is safe, 0x0A never is.
     """
-    with _java_charsets(df.sparkSession):
+    with settings(df.sparkSession, _JAVA_CHARSETS):
         raw = F.col(quoted(source)).cast("binary")
         return df.withColumn(target or source, F.decode(raw, "GBK"))
 
 
 def encode_gbk(df: DataFrame, source: str, target: str | None = None) -> DataFrame:
     """Text to GBK bytes, the inverse of :func:`decode_gbk`."""
-    with _java_charsets(df.sparkSession):
+    with settings(df.sparkSession, _JAVA_CHARSETS):
         return df.withColumn(target or source, F.encode(F.col(quoted(source)), "GBK"))

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings under which results match the documented semantics.
 RUNTIME_CONF = {
@@ -28,6 +31,43 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Settings that an analysis needs for a moment are changed by one thread at a time.
+_SETTINGS = threading.RLock()
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Some settings of the session for the moment of an analysis, put back afterwards."""
+    with _SETTINGS:
+        before = {key: spark.conf.get(key, None) for key in values}
+        try:
+            for key, value in values.items():
+                spark.conf.set(key, value)
+            yield
+        finally:
+            for key, value in before.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@contextmanager
+def apart(df: DataFrame, values: dict[str, str]) -> Iterator[DataFrame]:
+    """``df`` in a session of its own, with the settings of its session and some more, which that one never
+    sees."""
+    spark = df.sparkSession
+    name = f"logsilt_{uuid.uuid4().hex}"
+    other = spark.newSession()
+    for row in spark.sql("SET").collect():
+        if spark.conf.isModifiable(row.key):
+            other.conf.set(row.key, row.value)
+    for key, value in values.items():
+        other.conf.set(key, value)
+    df.createGlobalTempView(name)
+    try:
+        yield other.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder on storage that every executor can reach.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsilt.layout import quoted
+from logsilt.session import apart
 from logsilt.sources.files import as_paths
 
 # The Avro source ships with Spark 4.1, but only the separate package registers its short name.
@@ -72,16 +73,13 @@ def write_avro(
     """Write Avro files, one per task."""
     if codec not in CODECS:
         raise ValueError(f"codec must be one of {CODECS}: {codec!r}")
-    conf = df.sparkSession.conf
     out = df.select(
         *[avro_value(F.col(quoted(f.name)), f.dataType).alias(f.name) for f in df.schema.fields]
     )
-    before = conf.get(_DEFLATE_LEVEL, None)
-    try:
-        if deflate_level is not None:
-            conf.set(_DEFLATE_LEVEL, str(deflate_level))
-        out.write.format(AVRO).options(
-            compression=codec, recordName=record_name, recordNamespace=record_namespace
-        ).save(path)
-    finally:
-        conf.unset(_DEFLATE_LEVEL) if before is None else conf.set(_DEFLATE_LEVEL, before)
+    options = {"compression": codec, "recordName": record_name, "recordNamespace": record_namespace}
+    if deflate_level is None:
+        out.write.format(AVRO).options(**options).save(path)
+        return
+    # the level is a setting, so the write gets a session of its own
+    with apart(out, {_DEFLATE_LEVEL: str(deflate_level)}) as own:
+        own.write.format(AVRO).options(**options).save(path)

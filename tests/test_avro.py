@@ -133,3 +133,33 @@ def test_avro_batches_land_flat(spark, store, tmp_path):
     assert table.columns[:6] == ["id", "k", "p", "logUpdateTime", "logMatchValue", "year"]
     assert sorted(r.id for r in table.collect()) == [2, 3]
     assert rule.file_type == "avro"
+
+
+def test_levels_of_writes_at_the_same_time_do_not_mix(spark, tmp_path):
+    """Each write has its own level, whatever others run, and the session's settings never change."""
+    import threading
+
+    from logsilt.session import configure
+
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    key = "spark.sql.avro.deflate.level"
+    seen, stop = set(), threading.Event()
+    watch = threading.Thread(target=lambda: [seen.add(spark.conf.get(key, None)) for _ in iter(stop.is_set, True)])
+    try:
+        rows = spark.range(20_000).selectExpr("id", "repeat(md5(cast(id % 500 AS string)), 4) AS t", "timestamp_seconds(id) AS at")
+        watch.start()
+        writers = [
+            threading.Thread(target=write_avro, args=(rows, str(tmp_path / str(level)), "deflate", level)) for level in (1, 9)
+        ]
+        for writer in writers:
+            writer.start()
+        for writer in writers:
+            writer.join()
+        stop.set()
+        watch.join()
+        size = lambda level: sum(f.stat().st_size for f in (tmp_path / str(level)).glob("*.avro"))
+        assert size(9) < size(1) and len(seen) == 1
+        found = read_avro(spark, str(tmp_path / "9"))
+        assert found.count() == 20_000 and found.where("at = 10000000").count() == 1
+    finally:
+        configure(spark)
