@@ -35,9 +35,10 @@ class CharacterClass(NamedTuple):
 #: Random hex digits have about 3.4 bits in a window of 20 characters, base64 about 4.1, words under 3.7.
 CLASSES = (CharacterClass(r"[0-9a-fA-F]{20,}", 3.1), CharacterClass(r"[A-Za-z0-9+/=_-]{20,}", 3.9))
 #: Candidates that are no secrets, whole: words and names with a number, one repeated part, ordered
-#: digits and letters, UUIDs, and published example keys.
+#: digits and letters, UUIDs, and published example keys. Repeats of a group are possessive, as Java's
+#: matcher would otherwise go one call deeper for each.
 ALLOWED = (
-    r"[A-Za-z]*", r"[0-9]*", r"(?:[A-Za-z]+[-_/+=]+)*[A-Za-z]+[-_]?[0-9]{0,4}", r"(.{1,8}?)\1{2,}.{0,8}",
+    r"[A-Za-z]*", r"[0-9]*", r"[A-Za-z]++(?:[-_/+=]++[A-Za-z]++)*+[-_]?[0-9]{0,4}", r"(.{1,8}?)\1{2,}.{0,8}",
     r"(?i)0?1234567890?abcdefg?.*", r"(?i)abcdefghijklmnopqrst.*", r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}",
     r"(?:[A-Za-z_-]+=)?(?:A[A-Z]{3}[A-Z0-9]{9}EXAMPLE|[A-Za-z0-9+/]{30}EXAMPLEKEY)",
 )

@@ -134,3 +134,20 @@ def test_a_base_match_hides_no_longer_secret(spark):
     ).orderBy("doc_id").collect()]
     assert not any(KEY[8:] in t for t in got) and f"access:0:20,entropy:0:{len(joined)}" == found(spark, [joined])[0][4]
     assert got[3] == "[SECRET]" and got[4] == texts[4] and got[5] == "[SECRET]"
+
+
+def test_very_long_candidates(spark):
+    """A million characters of every shape that the allow-list names or nearly names, and no call too deep."""
+    size = 1_000_000
+    shapes = ["ab-", "a/b_", "x=", "Word+", "0", "a", "ab1", "abc-123-", "deadbeef-", KEY]
+    texts = [(s * (size // len(s) + 1))[:size] for s in shapes] + ["ab-" * 300_000 + "end2024", "ab-" * 300_000 + "-9"]
+    frame = spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], SCHEMA)
+    rows = {r.doc_id: r.spans for r in secrets.find_secrets(frame).collect()}
+    assert len(rows) == len(texts) and rows[0] == rows[1] == rows[3] == rows[5] == rows[10] == ""
+    assert rows[9] and rows[4].startswith("hex:0:")
+
+
+@pytest.mark.parametrize("text", ["ab-12", "ab", "some-long-name-2024", "a+b/c_d", "ab--12", "-ab", "ab-cd-", "a1", "ab_12345", "ab=cd=9"])
+def test_words_with_a_number_are_allowed_as_before(text):
+    plain = r"(?:[A-Za-z]+[-_/+=]+)*[A-Za-z]+[-_]?[0-9]{0,4}"
+    assert bool(re.fullmatch(secrets.ALLOWED[2], text)) == bool(re.fullmatch(plain, text))
