@@ -165,7 +165,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Ensemble:
-    """Fit on at most ``rows`` labelled documents that are not held out, those of smallest hash."""
+    """Fit on at most ``rows`` labelled documents that are not held out, those of smallest hash.
+
+    Of rows that repeat an id, the text of smallest hash counts, once per label.
+    """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     chosen = (
         usable.select("doc_id", F.col("quality").cast("double").alias("label"))
@@ -173,7 +176,8 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     )
     # at most ``rows`` narrow rows, so they are sent to the documents rather than the other way round
     texts = documents.select("doc_id", "text").join(F.broadcast(written(chosen, "labelled")), "doc_id")
-    sample = texts.select("label", statistics(F.col("text")).alias("s")).select("label", "s.*")
+    each = texts.select("doc_id", "label", F.struct(F.xxhash64("text"), statistics(F.col("text")).alias("s")).alias("one"))
+    sample = each.groupBy("doc_id", "label").agg(F.min("one").alias("one")).select("label", "one.s.*")
     # at most ``rows`` narrow rows, in one file and a fixed order, make the fit repeatable
     one = written(sample, "statistics").coalesce(1).sortWithinPartitions("label", *STATISTICS)
     return fit(written(one, "training"))

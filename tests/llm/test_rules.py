@@ -76,3 +76,31 @@ def test_stage_keeps_columns(spark):
     assert kept.columns == docs.columns
     good = {r.doc_id for r in queries.op3_rule_ensemble(spark, SF).collect() if r.predicted}
     assert {r.doc_id for r in kept.collect()} == good
+
+
+def test_the_bound_holds_for_repeated_ids(spark, monkeypatch):
+    """Many rows of one labelled id, with two texts, count once; so do repeated labels."""
+    rows = [(7, "good words " * 40 if i % 2 else "bad %% " * 30, "en", "s", "") for i in range(3000)]
+    rows += [(i, "word " * (50 + i % 9) if i % 2 else "%%% " * 60, "en", "s", "") for i in range(100, 300)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(7, 1), (7, 1), *[(i, i % 2) for i in range(100, 300)]], "doc_id long, quality int")
+    fitted, fit = [], rules.fit
+    monkeypatch.setattr(rules, "fit", lambda frame: fitted.append(frame.count()) or fit(frame))
+    rules.train(docs, labels, rows=50)
+    rules.train(docs.union(docs), labels, rows=1000)
+    assert fitted[0] <= 50 and fitted[1] == 1 + sum(not is_held_out(i) for i in range(100, 300))
+
+
+def test_score_expression_equals_trees_and_weights(spark):
+    """The compiled column against rules and weights taken one by one in Python."""
+    import math
+
+    documents = table(spark, SF, "documents")
+    model = rules.train(documents, table(spark, SF, "labels"))
+    stats = documents.select("doc_id", rules.statistics(F.col("text")).alias("s"), model.score_text(F.col("text")).alias("score"))
+    for row in stats.collect():
+        total = model.bias
+        for weight, rule in model.rules:
+            if all((row.s[name] <= cut) == below for name, below, cut in rule.conditions):
+                total += weight
+        assert math.isclose(row.score, 1 / (1 + math.exp(-total)), abs_tol=1e-9)
