@@ -69,7 +69,6 @@ def test_bpe_odd_rows(spark):
 def check_packing(rows, texts, capacity=1024):
     """Pieces give back every document, and bins have no gaps and are not too full."""
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     pieces, bins = {}, {}
     for r in rows:
         pieces.setdefault(r.doc_id, []).append(r)
@@ -129,3 +128,11 @@ def test_two_for_one():
 
 def test_vocabulary_is_the_rank_file():
     assert packing.byte_ranks(Tokenizer.from_file(JSON)) == bpe.read_ranks(RANKS)
+
+
+def test_added_tokens_in_a_text_are_themselves(spark):
+    texts = {1: "hi <|endoftext|> there", 2: "<|endoftext|>" * 700, 3: "<|endoftext|", 4: "\u00a0<|endoftext|>  x"}
+    found = packing.pack_documents(spark.createDataFrame([(i, t, "x", 1) for i, t in texts.items()], SCHEMA), JSON, P.PATTERN).collect()
+    check_packing(found, texts)
+    one = np.array([5303, 220, 50256, 612, 2], "<u4")
+    assert {r.ids_crc32 for r in found if r.doc_id == 1} == {zlib.crc32(one.tobytes())}
