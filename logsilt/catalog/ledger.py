@@ -18,6 +18,8 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -191,13 +193,18 @@ def trim(spark: SparkSession, store: Store, subject: Subject) -> None:
     """Fold the entries once there are many since the last fold, so that no run reads more than some.
 
     What the fold before this one covers is deleted; the entries folded now stay until the next time,
-    for readers that have just listed them.
+    for readers that have just listed them. A writer that finds another one folding leaves it to that.
     """
     old = batches(spark, store, subject)
     last = max((number_of(b) for b in old if _is_fold(b)), default=0)
     if sum(number_of(b) > last for b in old) <= _ROLL_UP:
         return
-    _fold(spark, store, subject, old)
+    try:
+        _fold(spark, store, subject, old)
+    except (PySparkException, Py4JJavaError):
+        if set(old) <= set(batches(spark, store, subject)):
+            raise
+        return  # entries went while they were read: they are folded already
     for batch in old:
         if number_of(batch) < last or (number_of(batch) == last and not _is_fold(batch)):
             delete_path(spark, batch)

@@ -18,6 +18,8 @@ from logsilt.session import delete_path, path_exists
 
 # Partitions named in one ALTER TABLE statement.
 _PER_STATEMENT = 200
+# In place of a path, for a partition of which only the catalog knows where it lies.
+_ADOPTED = "adopted:"
 # One thread at a time makes or changes a table of the catalog.
 _TABLE_LOCKS: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 
@@ -125,13 +127,14 @@ def _add_to_catalog(
 
 
 def adopt_partitions(spark: SparkSession, store: Store, subject: Subject) -> None:
-    """Note partitions that others have registered in the catalog, so that the ledger knows all there is."""
+    """Note partitions that others have registered in the catalog, so that the ledger knows all there is.
+    Their data stays where it is, also when they are dropped."""
     known = ledger.live_folders(ledger_events(spark, store, subject)).select(spec_column().alias("spec"))
     bare = F.regexp_replace("spec", f"/{RANDOM_KEY}=.*$", "")
     found = partitions(spark, store, subject).join(known, "spec", "left_anti").select(
         F.regexp_replace(bare, "[a-z]+=", "").alias("partition"),
         F.split_part("spec", F.lit(f"{RANDOM_KEY}="), F.lit(2)).alias(RANDOM_KEY),
-        F.col("spec").alias("path"), F.lit(ADD).alias("op"), F.lit(CATALOGUED).alias("kind"),
+        F.concat(F.lit(_ADOPTED), "spec").alias("path"), F.lit(ADD).alias("op"), F.lit(CATALOGUED).alias("kind"),
     )
     if not found.isEmpty():
         ledger.mark_synced(spark, record(store, subject, found))
@@ -194,7 +197,8 @@ def drop_partition(
     if entry:
         ledger.mark_synced(spark, entry)
         if data and not store.keep_versions:
-            for row in spark.read.parquet(entry).select("path").toLocalIterator():
+            gone = spark.read.parquet(entry).where(~F.startswith("path", F.lit(_ADOPTED)))
+            for row in gone.select("path").toLocalIterator():
                 delete_path(spark, row.path)
     if path:
         delete_path(spark, path)
@@ -257,7 +261,8 @@ def sync_with_ledger(spark: SparkSession, store: Store, subject: Subject) -> Non
                 known = newest_events(events.join(fresh.select("path").distinct(), "path", "left_semi"))
             # one task: a local iterator runs a job per task, and this is a few rows of metadata
             changes = known.select("op", "partition", RANDOM_KEY, "path", spec_column().alias("spec")).repartition(1).collect()
-            _add_to_catalog(spark, store, subject, ((r.partition, r[RANDOM_KEY], r.path) for r in changes if r.op == ADD))
+            added = [r for r in changes if r.op == ADD and not r.path.startswith(_ADOPTED)]
+            _add_to_catalog(spark, store, subject, ((r.partition, r[RANDOM_KEY], r.path) for r in added))
             drop_partitions(spark, store, subject, (r.spec for r in changes if r.op == DELETE))
             for batch in pending:
                 if path_exists(spark, batch):
