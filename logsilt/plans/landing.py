@@ -196,7 +196,7 @@ def _land(
     folder_id = write_id()
     scratch = scratch_dir(spark, "touched")
     try:
-        touched, times, unfit = touched_partitions(expanded, fits, store.names.action_time, scratch)
+        touched, times, unfit = _touched(expanded, fits, store.names.action_time, scratch)
         rejects = None
         if unfit:
             rejects = f"{store.table_root(subject)}/_rejects/{run or folder_id}"
@@ -254,9 +254,16 @@ def _merge_and_commit(
 
 def touched_partitions(
     expanded: DataFrame, fits: Column, action_time: str, scratch: str
+) -> tuple[DataFrame, bool]:
+    """The action times of rows that fit, as a small table, and whether there are rows that do not."""
+    found, _, unfit = _touched(expanded, fits, action_time, scratch)
+    return found, unfit
+
+
+def _touched(
+    expanded: DataFrame, fits: Column, action_time: str, scratch: str
 ) -> tuple[DataFrame, int, bool]:
-    """The action times of rows that fit, as a small table, their number, and whether there are rows that
-    do not."""
+    """The same with the number of action times, all from the job that writes them."""
     spark = expanded.sparkSession
     times = expanded.select(F.when(fits, F.col(quoted(action_time))).alias("action_time")).distinct()
     seen = Observation()
