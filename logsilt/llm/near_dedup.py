@@ -14,14 +14,16 @@ differ in leaders. Candidate pairs are then verified by the exact weighted Jacca
 similarity of the whole texts.
 
 Leaders can hide links. So once classes are known, every two documents of a bucket that resemble each
-other by signature and are still in different classes are verified as well, in blocks of a bucket: at
-first the most similar ones, then, with the classes so found, all that are left.
+other by signature and are still in different classes are verified as well, in blocks of a bucket. A pair
+is no row there: a task finds which documents of two blocks have a partner, their texts go to the task
+of these two blocks, and it hands on the links of a spanning forest of the classes alone. Most pairs fall
+to an upper bound of their similarity, from histograms of shingle weights.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 from typing import NamedTuple
 
@@ -56,6 +58,9 @@ ORDERS = 12
 #: Followers of a leader whose texts are sent to one place to be verified; more are dealt to several.
 FOLLOWERS = 256
 
+#: Most rows of meetings (some 200 bytes each) that are broadcast, so that other texts need not move.
+MEETINGS = 200_000
+
 #: Documents of a block: a larger bucket is compared in pairs of blocks, each of which is a row group of its own.
 BLOCK = 1024
 
@@ -378,76 +383,92 @@ def candidates(texts: DataFrame) -> DataFrame:
 
 
 _DEALT = ("band", "bucket", "first", "second")
-
-
-def _resembling(most: int | None):
-    """Rows (band, bucket, first, second, block, id, class_id, signature), sorted by the first four: pairs
-    (id, other) of different classes with enough equal samples, one from each of the two blocks.
-
-    With ``most`` only so many for a document and a class, the most similar ones.
-    """
-
-    def of_group(blocks: np.ndarray, ids: np.ndarray, classes: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        one = blocks[0] == blocks[-1]
-        mine = np.arange(len(ids)) if one else np.flatnonzero(blocks == blocks[0])
-        theirs = mine if one else np.flatnonzero(blocks != blocks[0])
-        a, b, same = [], [], []
-        for at in range(0, len(mine), 256):
-            part = mine[at : at + 256]
-            equal = np.zeros((len(part), len(theirs)), np.uint8)
-            for k in range(SAMPLES):
-                equal += held[part, k][:, None] == held[theirs, k][None, :]
-            near = (equal >= AGREE) & (classes[part][:, None] != classes[theirs][None, :])
-            if one:
-                near &= part[:, None] < theirs[None, :]
-            x, y = np.nonzero(near)
-            a.append(part[x])
-            b.append(theirs[y])
-            same.append(equal[x, y])
-        a, b, same = (np.concatenate(c) for c in (a, b, same))
-        if most and len(a):
-            order = np.lexsort((ids[b], -same.astype(np.int16), classes[b], a))
-            a, b = a[order], b[order]
-            new = np.concatenate([[True], (a[1:] != a[:-1]) | (classes[b][1:] != classes[b][:-1])])
-            starts = np.flatnonzero(new)
-            rank = np.arange(len(a)) - starts[np.cumsum(new) - 1]
-            a, b = a[rank < most], b[rank < most]
-        return ids[a], ids[b]
-
-    def resembling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(groups: list) -> pa.RecordBatch:
-            a, b = (np.concatenate([g[i] for g in groups] or [np.empty(0, np.int64)]) for i in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["id", "other"])
-
-        left: list[np.ndarray] | None = None
+_MEETING = "band int, bucket long, first int, second int, block int, id long, class_id long, signature binary, bands array<long>"
+
+
+class _Members(NamedTuple):
+    """Documents of two blocks of a bucket, or of one; ``first`` and ``second`` say who is in which."""
+
+    first: np.ndarray
+    second: np.ndarray
+    classes: np.ndarray
+    signatures: np.ndarray
+    bands: np.ndarray
+
+
+def _members(table: pa.Table) -> _Members:
+    signed = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, SAMPLES)
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    block = table.column("block").to_numpy()
+    first, second = (np.flatnonzero(block == table.column(c)[0].as_py()) for c in ("first", "second"))
+    return _Members(first, second, table.column("class_id").to_numpy(), signed, bands)
+
+
+def _resembling(m: _Members, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of members of different classes with enough equal samples, one from each block, that share
+    no bucket of an earlier band; and their equal samples."""
+    mine, theirs = m.first, m.second
+    one = len(mine) == len(m.classes)
+    none = np.empty(0, np.int64)
+    a, b, same = [none], [none], [np.empty(0, np.uint8)]
+    for at in range(0, len(mine), 256):
+        part = mine[at : at + 256]
+        equal = np.zeros((len(part), len(theirs)), np.uint8)
+        for k in range(SAMPLES):
+            equal += m.signatures[part, k][:, None] == m.signatures[theirs, k][None, :]
+        near = (equal >= AGREE) & (m.classes[part][:, None] != m.classes[theirs][None, :])
+        if one:
+            near &= part[:, None] < theirs[None, :]
+        x, y = np.nonzero(near)
+        earlier = (m.bands[part[x], :band] == m.bands[theirs[y], :band]).any(axis=1)
+        x, y = x[~earlier], y[~earlier]
+        a.append(part[x])
+        b.append(theirs[y])
+        same.append(equal[x, y])
+    return tuple(np.concatenate(c) for c in (a, b, same))
+
+
+def _by_group(of_group: Callable[[pa.Table], pa.Table]) -> Callable:
+    """Whole groups of rows sorted by ``_DEALT``, one after the other."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left: list[pa.Table] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
+            table = pa.Table.from_batches([batch])
             place = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _DEALT], axis=1)
-            rest = [batch.column(c).to_numpy() for c in ("block", "id", "class_id")]
-            signatures = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(-1, SAMPLES)
-            columns = [place, *rest, signatures]
-            if left:
-                columns = [np.concatenate(c) for c in zip(left, columns, strict=True)]
-            starts = np.flatnonzero(np.concatenate([[True], (columns[0][1:] != columns[0][:-1]).any(axis=1)]))
-            groups = [of_group(*(c[a:b] for c in columns[1:])) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
-            left = [c[starts[-1] :] for c in columns]  # may go on in the next batch
-            yield out(groups)
-        if left and len(left[0]) > 1:
-            yield out([of_group(*left[1:])])
+            starts = np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1
+            if left and any(left[-1].column(c)[-1].as_py() != table.column(c)[0].as_py() for c in _DEALT):
+                yield from of_group(pa.concat_tables(left)).to_batches()
+                left = []
+            bounds = [0, *starts.tolist()]
+            for low, high in zip(bounds, bounds[1:]):
+                yield from of_group(pa.concat_tables([*left, table.slice(low, high - low)])).to_batches()
+                left = []
+            left.append(table.slice(bounds[-1]))
+        if left:
+            yield from of_group(pa.concat_tables(left)).to_batches()
+
+    return run
+
 
-    return resembling
+def _with_partners(group: pa.Table) -> pa.Table:
+    """Those documents of a group that resemble one of another class."""
+    if group.num_rows < 2:
+        return group.slice(0, 0)
+    a, b, _ = _resembling(_members(group), group.column("band")[0].as_py())
+    return group.take(pa.array(np.union1d(a, b)))
 
 
-def untested(texts: DataFrame, classes: DataFrame, tested: DataFrame, most: int | None) -> DataFrame:
-    """Pairs (id, other) that share a bucket and resemble each other, of different classes and not ``tested``.
+def meetings(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Documents, per two blocks of a bucket, that resemble one of another class there.
 
     Members of the largest class of a bucket need not meet each other, all else does: a bucket of more
     than ``BLOCK`` documents is dealt by hash to counted blocks, and every two blocks are compared alone.
     """
     of = classes.select(F.col("id").alias("_id"), "class_id")
     rows = texts.join(of, F.col("id") == F.col("_id"), "left").select(
-        "id", "signature", F.coalesce("class_id", "id").alias("class_id"), F.posexplode("bands").alias("band", "bucket")
+        "id", "signature", "bands", F.coalesce("class_id", "id").alias("class_id"), F.posexplode("bands").alias("band", "bucket")
     )
     largest = F.max(F.struct("n", "class_id")).alias("largest")
     mixed = (
@@ -471,15 +492,65 @@ def untested(texts: DataFrame, classes: DataFrame, tested: DataFrame, most: int
         CASE WHEN block < others AND block + 1 < others + larges
         THEN transform(sequence(block + 1, others + larges - 1), j -> struct(block AS first, j AS second)) ELSE array() END)"""
     )
-    found = (
+    return (
         rows.join(mixed, ["band", "bucket"]).withColumn("block", block.cast("int"))
-        .select("band", "bucket", F.inline(meets), "block", "id", "class_id", "signature")
+        .select("band", "bucket", F.inline(meets), "block", "id", "class_id", "signature", "bands")
         .repartition(*_DEALT).sortWithinPartitions(*_DEALT, "block", "id")
-        .transform(by_batch, _resembling(most), "id long, other long")
-        .distinct()
+        .transform(by_batch, _by_group(_with_partners), _MEETING)
     )
-    both = tested.select("id", "other").unionByName(tested.select(F.col("other").alias("id"), F.col("id").alias("other")))
-    return found.join(both, ["id", "other"], "left_anti")
+
+
+def _forest(group: pa.Table, known: _Words, least: float) -> pa.Table:
+    """Links (id, other) that join classes of a group, no more than it takes, by exact similarity."""
+    edges: list[tuple[int, int]] = []
+    if group.num_rows > 1:
+        m = _members(group)
+        a, b, same = _resembling(m, group.column("band")[0].as_py())
+        order = np.argsort(-same.astype(np.int16), kind="stable")
+        a, b = a[order], b[order]
+        ids = group.column("id").to_pylist()
+        found = [shingles(words_of(text), known) for text in group.column("text").to_pylist()]
+        totals = np.array([f[1].sum() for f in found])
+        histograms = np.stack([np.bincount((k >> _HIGH).astype(np.int64), w, _CELLS) for k, w in found])
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while (up := parent.get(c, c)) != c:
+                parent[c] = parent.get(up, up)
+                c = up
+            return c
+
+        for at in range(0, len(a), 4096):
+            x, y = a[at : at + 4096], b[at : at + 4096]
+            # what two texts share in a cell of the histogram is at most the smaller weight there
+            shared = np.minimum(histograms[x], histograms[y]).sum(axis=1)
+            near = shared >= (least - 1e-9) * (totals[x] + totals[y] - shared)
+            for i, j in zip(x[near].tolist(), y[near].tolist()):
+                one, two = root(int(m.classes[i])), root(int(m.classes[j]))
+                if one != two and similarity(found[i], found[j]) >= least:
+                    parent[max(one, two)] = min(one, two)
+                    edges.append((ids[i], ids[j]))
+    columns = list(zip(*edges)) or [(), ()]
+    return pa.table({"id": pa.array(columns[0], pa.int64()), "other": pa.array(columns[1], pa.int64())})
+
+
+# Cells of a histogram of shingle weights, by the highest bits of a shingle's hash.
+_CELLS, _HIGH = 256, np.uint64(56)
+
+
+def hidden_links(docs: DataFrame, texts: DataFrame, classes: DataFrame, weights: Weights, least: float = SIMILARITY) -> DataFrame:
+    """Links (id, other) between different classes that the leaders have not shown."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words(shared.value)
+        return _by_group(lambda group: _forest(group, known, least))(batches)
+
+    met = written(meetings(texts, classes), "meetings")
+    if met.limit(MEETINGS + 1).count() <= MEETINGS:
+        met = F.broadcast(met)
+    held = docs.select("doc_id", "text").join(met, F.col("doc_id") == F.col("id")).drop("doc_id")
+    return held.repartition(*_DEALT).sortWithinPartitions(*_DEALT, "block", "id").transform(by_batch, verify, "id long, other long")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, weights: Weights, least: float = SIMILARITY) -> DataFrame:
@@ -588,15 +659,9 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     second = texts.select(F.col("key").alias("high"), F.col("id").alias("other"))
     more = twice.join(first, "low").join(second, "high").select("id", "other")
     classes = components(links.unionByName(more))
-    tested = pairs
-    for most in (BEST, None):
-        pairs = written(untested(texts, classes, tested, most), "untested")
-        if pairs.isEmpty():
-            continue
-        links = written(verified(named, pairs, weights, least), "verified")
-        if not links.isEmpty():
-            classes = components(classes.select("id", F.col("class_id").alias("other")).unionByName(links))
-        tested = tested.unionByName(pairs)
+    links = written(hidden_links(named, texts, classes, weights, least), "hidden")
+    if not links.isEmpty():
+        classes = components(classes.select("id", F.col("class_id").alias("other")).unionByName(links))
     known = written(
         texts.join(classes, "id", "left").where("last <> id OR class_id IS NOT NULL")
         .select(F.col("key").alias("of"), F.coalesce("class_id", "id").alias("class_id")),
