@@ -1,14 +1,16 @@
 """Quality rules: counting rules, and the perplexity of a modified Kneser-Ney model.
 
-The model is one of 4-grams over an alphabet of 64 symbols that UTF-8 bytes are folded to, so it has at
-most 64 ** 4 entries however large the corpus is: tasks hand on counts, not occurrences, and the
-finished model, sorted arrays of gram keys and log probabilities, has a size bound for its broadcast.
-Bands of accepted perplexity are set per language from exact histograms over all documents.
+The model is one of 4-grams of the bytes of the texts in UTF-8, each byte a symbol of its own: case,
+digits, marks and the letters of all scripts are told apart. Tasks hand on counts, not occurrences. The
+finished model is a table; a task holds sorted arrays of it, all of them or, of a model with more than
+SLICE 4-grams, a range at a time. Bands of accepted perplexity are set per language from exact
+histograms over all documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -17,11 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from logsilt.llm.common import by_batch, written
+from logsilt.llm.common import broadcast_if_small, by_batch, written
 
 ORDER = 4
-BITS = 6
+BITS = 8
 SYMBOLS = 1 << BITS
+#: Most 4-grams of the model that a task holds at once, 64 MB of them. Of shorter grams and contexts there
+#: are at most 64 ** 4 each, far fewer in UTF-8.
+SLICE = 1 << 23
 #: Log perplexity is counted in steps of this many nats.
 STEP = 1e-3
 #: A band is median - LOWER * spread to median + UPPER * spread, spread being the distance from the
@@ -35,6 +40,7 @@ LEAST_DOCS = 200
 BROADCAST_BANDS = 10_000
 
 _CHUNK = 1 << 21
+_ROW = "__row"
 _SPACE = b" \t\n\r\x0b\x0c"
 _MARKS = b"#*$%&|<>"
 _FEATURES = (
@@ -43,63 +49,56 @@ _FEATURES = (
 
 
 def _alphabet() -> np.ndarray:
-    """Symbol of each byte: 0 spaces, 1 line end, letters without case, a digit, marks, rest by class."""
-    table = np.zeros(256, np.uint8)
-    table[ord("\n")] = 1
-    for i in range(26):
-        table[ord("a") + i] = table[ord("A") + i] = 2 + i
-    table[ord("0") : ord("9") + 1] = 28
-    singles = [".", ",", "!", "?", "'\"`", "-_", "()[]{}", *map(chr, _MARKS)]
-    for i, group in enumerate(singles):
-        for char in group:
-            table[ord(char)] = 29 + i
-    other = 29 + len(singles)
-    for byte in range(33, 127):
-        if not table[byte]:
-            table[byte] = other
-    for byte in range(0x80, 0xC0):
-        table[byte] = 48 + (byte & 15)  # continuation bytes
-    for byte in range(0xC0, 0x100):
-        table[byte] = 45 + (0 if byte < 0xC4 else 1 if byte < 0xE0 else 2)
-    return table
+    """Symbol of each byte: itself."""
+    return np.arange(SYMBOLS, dtype=np.uint8)
 
 
 ALPHABET = _alphabet()
 
 
 def grams_of(data: bytes) -> Iterator[np.ndarray]:
-    """Keys of the 4-grams that end at each byte; before the text stand line ends."""
+    """Keys of the 4-grams that end at each byte; before the text stand bytes 0x01."""
     start = np.ones(ORDER - 1, np.uint8)
     for at in range(0, len(data), _CHUNK):
         symbols = np.concatenate([start, ALPHABET[np.frombuffer(data[at : at + _CHUNK], np.uint8)]])
-        keys = np.zeros(len(symbols) - ORDER + 1, np.int32)
+        keys = np.zeros(len(symbols) - ORDER + 1, np.uint32)
         for i in range(ORDER):
             keys = (keys << BITS) | symbols[i : len(symbols) - ORDER + 1 + i]
         start = symbols[len(symbols) - ORDER + 1 :]
         yield keys
 
 
+def _added(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams in order, and the sum of the counts of each."""
+    order = np.argsort(grams, kind="stable")
+    grams, n = grams[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    return grams[first], np.add.reduceat(n, first)
+
+
 def count_grams(df: DataFrame) -> DataFrame:
-    """(gram, n) over all texts: a task adds up its own counts before anything is shuffled."""
+    """(gram, n) over all texts: a task adds up its own counts before anything is shuffled, and hands them
+    on whenever it has so many grams that they would fill its memory."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**ORDER, np.int64)
+        total = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         waiting, size = [], 0
         texts = (t.as_buffer().to_pybytes() for batch in batches for t in batch.column("text").cast(pa.binary()))
-        for keys in chain.from_iterable(map(grams_of, texts)):
-            waiting.append(keys)
-            size += len(keys)
-            if size >= 4 * _CHUNK:
-                total += np.bincount(np.concatenate(waiting), minlength=len(total))
+        for keys in chain(chain.from_iterable(map(grams_of, texts)), [None]):
+            if keys is not None:
+                waiting.append(keys)
+                size += len(keys)
+            if size >= 4 * _CHUNK or (size and keys is None):
+                new = np.unique(np.concatenate(waiting), return_counts=True)
+                total = _added(*map(np.concatenate, zip(total, new, strict=True)))
                 waiting, size = [], 0
-        if waiting:
-            total += np.bincount(np.concatenate(waiting), minlength=len(total))
-        seen = np.flatnonzero(total)
-        for at in range(0, len(seen), 1 << 16):
-            part = seen[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["gram", "n"])
-
-    counted = df.select(F.coalesce("text", F.lit("")).alias("text")).transform(by_batch, count, "gram int, n long")
+            if len(total[0]) and (keys is None or len(total[0]) >= SLICE):
+                for at in range(0, len(total[0]), 1 << 16):
+                    gram, n = (part[at : at + (1 << 16)] for part in total)
+                    yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(n)], ["gram", "n"])
+                total = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    counted = df.select(F.coalesce("text", F.lit("")).alias("text")).transform(by_batch, count, "gram long, n long")
     return counted.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
@@ -153,14 +152,15 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
 
 class SortedModel:
-    """The model as sorted arrays: by size, gram keys with log probabilities and with backoffs."""
+    """The model, or a range of its 4-grams, as sorted arrays: by size, gram keys with log probabilities and
+    with backoffs."""
 
     def __init__(self, rows: pa.Table):
         # a missing value becomes NaN
         size, gram, log_p, backoff = (rows.column(c).to_numpy() for c in ("size", "gram", "log_p", "log_backoff"))
 
         def sorted_pair(mask: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            keys = gram[mask].astype(np.int32)
+            keys = gram[mask].astype(np.uint32)
             order = np.argsort(keys)
             return keys[order], values[mask][order].astype(np.float32)
 
@@ -176,7 +176,8 @@ class SortedModel:
         return values[at], known[at] == keys
 
     def log_probabilities(self, keys: np.ndarray) -> np.ndarray:
-        """Of the last symbol of each gram, given those before it."""
+        """Of the last symbol of each gram, given those before it. All grams are of the range held."""
+        keys = keys.astype(np.uint32, copy=False)
         out, found = self._find(self.grams[ORDER], keys)
         out = out.astype(np.float64)
         missing = np.flatnonzero(~found)
@@ -197,10 +198,29 @@ class SortedModel:
         return out
 
 
-def train(df: DataFrame) -> SortedModel:
-    """The model of all texts. Its table has at most 64 ** 4 grams, so it may be collected."""
-    model = kneser_ney(written(count_grams(df), "grams"))
-    return SortedModel(written(model, "kneser_ney").toArrow())
+def train(df: DataFrame) -> DataFrame:
+    """The model of all texts, a written table as from ``kneser_ney``."""
+    return written(kneser_ney(written(count_grams(df), "grams")), "kneser_ney")
+
+
+def ranges(model: DataFrame) -> list[tuple[int, int]]:
+    """Ranges of 4-grams, from one key up to another, that hold SLICE grams of the model at most; all
+    together every key there is. Counts of the first two bytes pass through the driver, not grams."""
+    prefix = F.shiftright("gram", 2 * BITS).alias("prefix")
+    counts = model.where(F.col("size") == ORDER).groupBy(prefix).agg(F.count("*").alias("n")).collect()
+    bounds, held = [0], 0
+    for at, n in sorted((r.prefix, r.n) for r in counts):
+        if held and held + n > SLICE:
+            bounds.append(at << 2 * BITS)
+            held = 0
+        held += n
+    return list(zip(bounds, [*bounds[1:], SYMBOLS**ORDER], strict=True))
+
+
+def load(model: DataFrame, low: int = 0, high: int = SYMBOLS**ORDER) -> SortedModel:
+    """All shorter grams and contexts of the model, and its 4-grams of one range."""
+    inside = (F.col("gram") >= low) & (F.col("gram") < high)
+    return SortedModel(model.where((F.col("size") < ORDER) | inside).toArrow())
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -230,11 +250,35 @@ def text_counts(data: bytes) -> tuple[int, int, int, int, int]:
     return len(words), word_chars, n_symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
-def score(df: DataFrame, model: SortedModel) -> DataFrame:
-    """Adds the counts of the rules and the mean negative log probability (``log_perplexity``)."""
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+def score(df: DataFrame, model: DataFrame) -> DataFrame:
+    """Adds the counts of the rules and the mean negative log probability (``log_perplexity``).
+
+    Every gram of a text belongs to one range of the model. If there are several, the rows are written
+    with a number, read once per range, and the sums of a row over the ranges added in their order.
+    """
+    parts = ranges(model)
+    if len(parts) == 1:
+        return _scored(df, model, *parts[0])
+    rows = written(df.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+    texts = rows.select(_ROW, "text")
+    sums = [
+        _scored(texts, model, *part).select(_ROW, F.lit(i).alias("part"), (F.col("log_perplexity") * F.col("n_grams")).alias("total"))
+        for i, part in enumerate(parts[1:])
+    ]
+    others = reduce(DataFrame.unionByName, sums).groupBy(_ROW).agg(F.array_sort(F.collect_list(F.struct("part", "total"))).alias("others"))
+    others = broadcast_if_small(written(others.select(
+        F.col(_ROW).alias("_of"), F.aggregate("others", F.lit(0.0), lambda total, o: total + o["total"]).alias("_others")
+    ), "sums"))
+    joined = _scored(rows, model, *parts[0]).join(others, F.col(_ROW) == F.col("_of"))
+    whole = F.col("log_perplexity") + F.col("_others") / F.col("n_grams")
+    return joined.withColumn("log_perplexity", F.when(F.col("n_grams") > 0, whole)).drop(_ROW, "_of", "_others")
+
+
+def _scored(df: DataFrame, model: DataFrame, low: int, high: int) -> DataFrame:
+    """``score`` with the grams of one range alone: the others of a text add 0."""
+    shared = df.sparkSession.sparkContext.broadcast(load(model, low, high))
     names = df.columns
+    whole = high - low == SYMBOLS**ORDER
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lm = shared.value
@@ -244,8 +288,9 @@ def score(df: DataFrame, model: SortedModel) -> DataFrame:
                 data = (text.as_py() or "").encode()
                 total, n = 0.0, 0
                 for keys in grams_of(data):
-                    total -= float(lm.log_probabilities(keys).sum())
                     n += len(keys)
+                    inside = keys if whole else keys[(keys >= low) & (keys < high)]
+                    total -= float(lm.log_probabilities(inside).sum())
                 rows.append((*text_counts(data), n, total / n if n else None))
             columns = list(zip(*rows, strict=True)) or [[]] * 7
             arrays = [pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.float64())]
@@ -271,7 +316,7 @@ def bands(scored: DataFrame) -> DataFrame:
         F.coalesce("lang", F.lit("")).alias("language"), F.floor(F.col("log_perplexity") / STEP).alias("step")
     ).agg(F.count("*").alias("n"))
     steps = steps.unionByName(steps.groupBy(F.lit(None).cast("string").alias("language"), "step").agg(F.sum("n").alias("n")))
-    # a histogram has at most 64 * ln(64) / STEP rows for a language, whatever the corpus holds
+    # a histogram is of log perplexities in steps, so its size for a language does not grow with the corpus
     per = steps.groupBy("language").agg(F.sort_array(F.collect_list(F.struct("step", "n"))).alias("steps"), F.sum("n").alias("docs"))
 
     def quantile(share: float) -> Column:

@@ -70,14 +70,14 @@ def brute_model(texts):
 def test_model_is_kneser_ney(spark):
     texts = ["the cat sat on the mat.", "the dog sat on the log!", "a cat, a dog.\nThe end", "é日本 x", ""]
     df = spark.createDataFrame([(i, t, "en", "", "") for i, t in enumerate(texts)], SCHEMA)
-    model, p = ngram.train(df), brute_model(texts)
+    model, p = ngram.load(ngram.train(df)), brute_model(texts)
     for text in [*texts, "the zebra sat", "日x本 9", "THE CAT"]:
         keys = np.concatenate([k for k in ngram.grams_of(text.encode())] or [np.zeros(0, np.int32)])
-        want = [math.log(p(tuple((int(k) >> (6 * i)) & 63 for i in range(3, -1, -1)))) for k in keys]
+        want = [math.log(p(tuple((int(k) >> (8 * i)) & 255 for i in range(3, -1, -1)))) for k in keys]
         assert np.allclose(model.log_probabilities(keys), want, rtol=1e-5, atol=1e-5)
     # a distribution over what may follow
-    context = int(next(ngram.grams_of(b"the"))[-1] & (64**3 - 1))
-    keys = np.array([(context << 6) | s for s in range(64)], np.int32)
+    context = int(next(ngram.grams_of(b"the"))[-1] & (256**3 - 1))
+    keys = np.array([(context << 8) | s for s in range(256)], np.int64)
     assert abs(np.exp(model.log_probabilities(keys)).sum() - 1) < 1e-5
 
 
@@ -103,7 +103,7 @@ def test_query(spark):
         if len(data) == len(docs[r.doc_id].text) and data:
             keys = np.concatenate(list(ngram.grams_of(data.encode())))
             for k in set(keys.tolist()) - memo.keys():
-                memo[k] = math.log(p(tuple((k >> (6 * i)) & 63 for i in range(3, -1, -1))))
+                memo[k] = math.log(p(tuple((k >> (8 * i)) & 255 for i in range(3, -1, -1))))
             assert abs(r.log_perplexity + sum(memo[k] for k in keys.tolist()) / len(keys)) < 1e-4
         scores[r.doc_id] = r
     # bands from their definition
@@ -149,3 +149,38 @@ def test_a_rare_language_beside_a_large_one_is_kept(spark):
     passed = {r.doc_id for r in judged if not r.base_failed}
     assert len([i for i in passed if i >= 1000]) == 30
     assert {r.doc_id for r in judged if r.kept and r.doc_id >= 1000} == set(range(1000, 1030))
+
+
+def test_symbols_are_not_folded(spark):
+    """Case, digits, marks and letters of other scripts make different grams."""
+    assert len(set(ngram.ALPHABET.tolist())) == 256
+    pairs = [("the cat", "THE CAT"), ("in 1999", "in 2024"), ("f(x)", "f[x]"), ("привет", "аистсф"), ("日本", "火未")]
+    for a, b in pairs:
+        assert len(a.encode()) == len(b.encode())
+        assert (np.concatenate(list(ngram.grams_of(a.encode()))) != np.concatenate(list(ngram.grams_of(b.encode())))).any()
+    own = ["привет мир как дела сегодня " * 3, "the cat sat on the mat " * 3]
+    df = spark.createDataFrame([(i, t, "xx", "", "") for i, t in enumerate(own * 3)], SCHEMA)
+    model = ngram.load(ngram.train(df))
+    mean = lambda text: float(np.mean(np.concatenate([model.log_probabilities(k) for k in ngram.grams_of(text.encode())])))
+    # folded, Р and А were one symbol, as were all letters a multiple of 16 apart, and both cases
+    assert mean(own[0]) > mean(own[0].translate({ord(a): ord(a) ^ 16 for a in "абвгдежзиклмноп"})) + 1
+    assert mean(own[1]) > mean(own[1].upper()) + 1
+
+
+def test_a_large_model_is_used_in_ranges(spark, monkeypatch):
+    texts = ["the cat sat on the mat. " * 9, "日本語のテキスト, привет", "", None, "Zebra!", "the cat sat on the mat. " * 9]
+    rows = [(i % 4, t, "en", "", "") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "lang").repartition(3)
+    ordered = lambda model: sorted(ngram.score(df, model).collect(), key=lambda r: (r.doc_id, r.n_grams))
+    model = ngram.train(df)
+    want = ordered(model)
+    counts = sorted(map(tuple, ngram.count_grams(df).collect()))
+    monkeypatch.setattr(ngram, "SLICE", 20)
+    assert len(ngram.ranges(model)) > 3
+    got = ordered(model)
+    assert [r[:-1] for r in got] == [r[:-1] for r in want] and len(got) == len(texts)
+    for a, b in zip(got, want):
+        assert (a.log_perplexity is None) == (b.log_perplexity is None)
+        assert a.log_perplexity is None or abs(a.log_perplexity - b.log_perplexity) < 1e-9
+    monkeypatch.setattr(ngram, "_CHUNK", 5)
+    assert sorted(map(tuple, ngram.count_grams(df).collect())) == counts
