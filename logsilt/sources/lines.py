@@ -59,118 +59,94 @@ def read_paragraph_records(
     records come back as text. A line that is empty or white space separates, whether lines end in LF
     or CRLF, so ``separator`` is not needed; a record keeps the line ends inside it.
 
-    Files are read by line and cut into tasks anywhere. A task joins the lines of its blocks; only what
-    touches a border between two blocks of a file is left open, and such pieces belong together if no
-    blank line stands between them, which the blank lines counted per block say. For that, files of more
-    than one block are read twice; files of one block have no borders.
+    Files are read by line and cut into tasks anywhere. Blank lines are told and counted by Spark and go no
+    further; a task joins the other lines of its blocks where no number is missing between them. Only the
+    first and the last piece of a block, where a file has several, are left open; such pieces belong
+    together if no blank line stands between them, which the blank lines counted per block say. For that,
+    the lines are read three times.
     """
+    start, stop = F.col("_metadata.file_block_start"), F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")
     lines = spark.read.option("lineSep", "\n").text(as_paths(paths)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")).alias("stop"), F.col("_metadata.file_size").alias("size"),
+        "value", F.col("_metadata.file_path").alias("file"), start.alias("start"),
+        ((start == 0) & (stop >= F.col("_metadata.file_size"))).alias("alone"),
+        # within a task, lines are numbered as they are read
+        F.monotonically_increasing_id().alias("line"), (F.ltrim("value", F.lit(" \t\r")) == "").alias("blank"),
     )
     on_path(spark)
-    pieces = lines.mapInArrow(_pieces, "value string, file string, start bigint, number bigint, kind string")
+    full = lines.where(~F.col("blank")).drop("blank")
+    pieces = full.mapInArrow(_pieces, "value string, file string, start bigint, line bigint, full bigint, open boolean")
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    ends = pieces.where(F.col("kind") != WHOLE)
-    counted = ends.where(F.col("kind") == COUNT).select(
-        "file", "start", F.coalesce(F.sum("number").over(before), F.lit(0)).alias("base")
+    blocks = (
+        lines.where(~F.col("alone")).groupBy("file", "start")
+        .agg(F.min("line").alias("head"), F.count_if("blank").alias("blanks"))
+        .select("file", "start", "head", F.coalesce(F.sum("blanks").over(before), F.lit(0)).alias("base"))
     )
+    # the blank lines of the file before a piece
+    record = F.col("base") + F.col("line") - F.col("head") - F.col("full")
     joined = (
-        ends.where(F.col("kind") == OPEN).join(counted, ["file", "start"])
-        .groupBy("file", (F.col("base") + F.col("number")).alias("record"))
+        pieces.where("open").join(blocks, ["file", "start"]).groupBy("file", record.alias("record"))
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "value"))), lambda p: p["value"]), "\n").alias("value"))
     )
-    records = pieces.where(F.col("kind") == WHOLE).select("value").unionByName(joined.select("value"))
+    records = pieces.where(~F.col("open")).select("value").unionByName(joined.select("value"))
     records = records.select(F.regexp_replace("value", "\r$", "").alias("value"))
     return records.selectExpr(*record_exprs) if record_exprs else records
 
 
-# What a row of pieces is: a whole record, one that may go on in a neighbouring block, a block's blank lines.
-WHOLE, OPEN, COUNT = "whole", "open", "count"
-
-
 @dataclass
-class _Block:
-    """Where the lines of one block stand: what is open, and the blank lines so far."""
+class _Piece:
+    """Lines without a gap, as far as they were read: the number of the first and of the next one, and how
+    many lines of the block that are not blank come before."""
 
     file: str
     start: int
-    last: bool
-    blanks: int = 0
-    text: str | None = None
-    at_start: bool = False
+    alone: bool
+    line: int
+    next: int
+    full: int
+    first: bool
+    texts: list[str]
 
-    def close(self, at_stop: bool) -> tuple:
-        """The open piece, as a row; it may go on if it touches a border of the block inside the file."""
-        kind = OPEN if (self.at_start and self.start > 0) or (at_stop and not self.last) else WHOLE
-        row, self.text = (self.text, self.file, self.start, self.blanks, kind), None
-        return row
+    def row(self, last: bool) -> tuple:
+        """The first and the last piece of a block may go on in its neighbours."""
+        is_open = not self.alone and (self.first or last)
+        return ("\n".join(self.texts), self.file, self.start, self.line, self.full, is_open)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = None
+    piece = None
     for batch in batches:
-        file, start = batch.column("file"), batch.column("start")
+        if not batch.num_rows:
+            continue
+        value, file, start, alone, line = (batch.column(c) for c in ("value", "file", "start", "alone", "line"))
         other = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(start[1:], start[:-1])).to_numpy(zero_copy_only=False)
-        bounds = [0, *(np.flatnonzero(other) + 1).tolist(), batch.num_rows]
+        numbers = line.to_numpy()
+        begins = np.flatnonzero(np.concatenate([[True], other | (np.diff(numbers) > 1)]))
+        ends = np.append(begins[1:], batch.num_rows)
+        offsets = pa.array(np.append(begins, batch.num_rows), pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(offsets, value), "\n").to_pylist()
+        of_block = np.concatenate([[0], np.cumsum(other)])[begins]
         rows: list[tuple] = []
-        for low, high in zip(bounds, bounds[1:]):
-            if low == high:
+        block = -1
+        for text, at, end, number in zip(texts, begins.tolist(), ends.tolist(), of_block.tolist(), strict=True):
+            if number != block:
+                block, key = number, (file[at].as_py(), start[at].as_py(), alone[at].as_py())
+            first = int(numbers[at])
+            same = piece is not None and key == (piece.file, piece.start, piece.alone)
+            if same and first == piece.next:
+                piece.texts.append(text)
+                piece.next += end - at
                 continue
-            key = (file[low].as_py(), start[low].as_py())
-            if block is None or key != (block.file, block.start):
-                rows += _ended(block)
-                block = _Block(*key, batch.column("stop")[low].as_py() >= batch.column("size")[low].as_py())
-                block.at_start = True
-            rows += _joined(block, batch.column("value").slice(low, high - low))
+            if piece is not None:
+                rows.append(piece.row(last=not same))
+            full = piece.full + piece.next - piece.line if same else 0
+            piece = _Piece(*key, first, first + end - at, full, not same, [text])
         yield _rows(rows)
-    yield _rows(_ended(block))
-
-
-def _joined(block: _Block, lines: pa.Array) -> list[tuple]:
-    """Rows that end among the next lines of a block; the last one stays open in it."""
-    blank = pc.equal(pc.utf8_trim(lines, " \t\r"), "").to_numpy(zero_copy_only=False)
-    full = np.flatnonzero(~blank)
-    rows = []
-    if block.text is not None and blank[0]:
-        rows.append(block.close(False))
-    if len(full):
-        first = np.flatnonzero(np.diff(full, prepend=-2) > 1)
-        offsets = pa.array(np.append(first, len(full)), pa.int32())
-        texts = pc.binary_join(pa.ListArray.from_arrays(offsets, lines.take(pa.array(full))), "\n").to_pylist()
-        blanks = np.cumsum(blank)
-        begun = block.blanks
-        for text, at in zip(texts, full[first].tolist()):
-            if at == 0 and block.text is not None:
-                block.text += "\n" + text
-            else:
-                if block.text is not None:
-                    rows.append(block.close(False))
-                block.blanks = begun + int(blanks[at])
-                block.at_start = block.blanks == 0
-                block.text = text
-        block.blanks = begun
-        if blank[-1]:
-            block.blanks = begun + int(blanks[full[-1]])
-            rows.append(block.close(False))
-            block.blanks = begun
-        block.blanks += int(blanks[-1])
-    else:
-        block.blanks += len(lines)
-    return rows
-
-
-def _ended(block: _Block | None) -> list[tuple]:
-    if block is None:
-        return []
-    rows = [] if block.text is None else [block.close(True)]
-    if block.start == 0 and block.last:
-        return rows
-    return [*rows, (None, block.file, block.start, block.blanks, COUNT)]
+    if piece is not None:
+        yield _rows([piece.row(last=True)])
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [()] * 5
-    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
-    names = ("value", "file", "start", "number", "kind")
+    columns = list(zip(*rows)) if rows else [()] * 6
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+    names = ("value", "file", "start", "line", "full", "open")
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)

@@ -303,3 +303,23 @@ def test_a_hundred_thousand_blank_lines(spark, tmp_path, blank):
     Path(tmp_path, "log").write_bytes(("first\n" + blank * 100_000 + "second\nline\n" + blank * 100_000).encode())
     found = sources.read_paragraph_records(spark, str(tmp_path))
     assert sorted(r.value for r in found.collect()) == ["first", "second\nline"]
+
+
+def test_blank_lines_do_not_reach_python(spark, tmp_path, monkeypatch):
+    from logsilt.sources import lines
+
+    inner, seen = lines._pieces, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        def each():
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return inner(each())
+
+    monkeypatch.setattr(lines, "_pieces", counted)
+    Path(tmp_path, "log").write_bytes(("first\n" + " \t\r\n" * 50_000 + "second\nline\n" + "\n" * 50_000).encode())
+    found = sources.read_paragraph_records(spark, str(tmp_path))
+    assert sorted(r.value for r in found.collect()) == ["first", "second\nline"]
+    assert 3 <= seen.value < 100
