@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsilt.layout import RANDOM_KEY, Store, Subject
+from logsilt.session import apart
 
 BACKUP = "_backup"
 _SLOT = "__file_slot"
+# Files a task may have open at once; rows of more partitions than that are sorted first.
+_OPEN_FILES = 8
 
 
 def write_id() -> str:
@@ -38,6 +41,8 @@ def write_partition_parquet(
     a hot partition whatever its rows are and does not change when a task is run again). A slot is
     one task, so ``files`` is for partitions of a known, moderate size. Without it, the form for
     large partitions, Spark sizes files by bytes and gives a partition as many writers as it needs.
+    Either way a task hands its rows on to its files as they come: sorted by ``keys`` beforehand, as is
+    Spark's way otherwise, all rows of a slot would be held in memory.
     """
     path = write_folder(root, folder_id or write_id())
     if files is None:
@@ -49,7 +54,8 @@ def write_partition_parquet(
         # no stated number of tasks: Spark may merge small slots into a task but never splits one
         slotted = df.withColumn(_SLOT, F.pmod(source, F.lit(files)))
         out = slotted.repartition(*keys, _SLOT).drop(_SLOT)
-    out.write.partitionBy(*keys).parquet(path)
+    with apart(out, {"spark.sql.maxConcurrentOutputFileWriters": str(_OPEN_FILES)}) as alone:
+        alone.write.partitionBy(*keys).parquet(path)
     return path
 
 

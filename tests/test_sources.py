@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import json
 from pathlib import Path
 
 import pytest
@@ -323,3 +324,41 @@ def test_blank_lines_do_not_reach_python(spark, tmp_path, monkeypatch):
     found = sources.read_paragraph_records(spark, str(tmp_path))
     assert sorted(r.value for r in found.collect()) == ["first", "second\nline"]
     assert 3 <= seen.value < 100
+
+
+_WRITE_AND_LOG = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession, functions as F
+from logsilt import sources
+config = {"spark.ui.enabled": "false", "spark.eventLog.enabled": "true", "spark.eventLog.dir": sys.argv[2],
+          "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"}
+builder = SparkSession.builder.master("local[2]")
+for key, value in config.items():
+    builder = builder.config(key, value)
+spark = builder.getOrCreate()
+rows = spark.range(300_000).select("id", (F.col("id") % 2 + 2024).cast("string").alias("year"))
+for name, files in (("slots", 1), ("sized", None)):
+    path = sources.write_partition_parquet(rows, f"{sys.argv[3]}/{name}", ["year"], files)
+    assert spark.read.parquet(path).agg(F.countDistinct("id")).first()[0] == 300_000
+    assert path.startswith(f"{sys.argv[3]}/{name}/randompath=")
+spark.stop()
+"""
+
+
+def test_a_partition_is_written_without_holding_its_rows(spark, tmp_path):
+    """The memory that a task takes to sort is in Spark's event log, of a session of its own."""
+    import subprocess
+    import sys
+
+    log = tmp_path / "log"
+    log.mkdir()
+    home = str(Path(__file__).resolve().parents[1])
+    subprocess.run([sys.executable, "-c", _WRITE_AND_LOG, home, str(log), str(tmp_path)], check=True, timeout=120, capture_output=True)
+    peaks = []
+    for line in next(log.iterdir()).read_text().splitlines():
+        event = json.loads(line)
+        if event["Event"] == "SparkListenerTaskEnd" and event["Task Metrics"]["Output Metrics"]["Records Written"]:
+            peaks.append(event["Task Metrics"]["Peak Execution Memory"])
+    assert peaks and max(peaks) == 0
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
