@@ -45,7 +45,22 @@ def on_path(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, known)])
 
 
+#: Most bytes of rows that a task hands to its Python worker at once, give or take a row. Both sides hold
+#: some batches outside the Java heap: with Spark's own 64 MB, texts take several hundred MB an executor.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Limit the session's batches to ``BATCH_BYTES``, unless it was given a limit.
+
+    The setting counts when a plan runs, which may be after our functions have returned, so it stays.
+    """
+    spark.conf.set(BATCH_SETTING, spark.conf.get(BATCH_SETTING, f"{BATCH_BYTES}b"))
+
+
 def by_batch(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow``, with this package on the workers' path."""
+    """``df.mapInArrow`` in small batches, with this package on the workers' path."""
     on_path(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.mapInArrow(function, schema)

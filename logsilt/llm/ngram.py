@@ -88,7 +88,7 @@ def count_grams(df: DataFrame) -> DataFrame:
             if keys is not None:
                 waiting.append(keys)
                 size += len(keys)
-            if size >= 4 * _CHUNK or (size and keys is None):
+            if size >= max(_CHUNK, len(total[0])) or (size and keys is None):
                 new = np.unique(np.concatenate(waiting), return_counts=True)
                 total = _added(*map(np.concatenate, zip(total, new, strict=True)))
                 waiting, size = [], 0
@@ -372,9 +372,10 @@ def judge(df: DataFrame) -> DataFrame:
 
 def keep_good(df: DataFrame) -> DataFrame:
     """The rows of ``df`` (with at least lang and text) that the rules keep."""
-    names = df.columns
+    # other columns by number, as theirs may be the names of counts; each value goes to Python once
+    held = [n.lower() if n.lower() in ("lang", "text") else f"_column{i}" for i, n in enumerate(df.columns)]
     counted = [f.split()[0] for f in _FEATURES.split(", ")]
-    wide = score(df.select(F.struct("*").alias("row"), "lang", "text"), train(df))
+    wide = score(df.toDF(*held), train(df))
     measured = written(wide.select("lang", *counted), "scored")
     kept = with_verdict(wide, written(bands(measured), "bands")).where("kept")
-    return kept.select(*[F.col("row").getField(n).alias(n) for n in names])
+    return kept.select(*[F.col(own).alias(n) for own, n in zip(held, df.columns, strict=True)])

@@ -5,9 +5,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from logsilt.llm import ngram, queries, stages
+from logsilt.llm import common, ngram, queries, stages
 from logsilt.llm.common import table, written
 from pyspark.sql import functions as F
 
@@ -139,6 +140,38 @@ def test_empty_table_and_stage(spark):
     assert {r.doc_id for r in kept.collect()} == good
 
 
+def test_rows_go_to_python_in_small_batches(spark):
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_pydict({"n": [b.num_rows], "bytes": [b.nbytes]}) for b in batches)
+
+    rows = spark.range(0, 400, 1, 1).select("id", F.repeat(F.lit("x"), 100_000).alias("text"))
+    got = common.by_batch(rows, sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 400
+    assert max(r.bytes for r in got) <= common.BATCH_BYTES + 200_000
+    other = spark.newSession()
+    other.conf.set(common.BATCH_SETTING, "1m")
+    common.small_batches(other)
+    assert other.conf.get(common.BATCH_SETTING) == "1m"
+
+
+def test_a_stage_sends_each_text_to_python_once(spark, monkeypatch):
+    seen = []
+
+    def watched(df, function, schema):
+        seen.append(df.schema.simpleString().count("text"))
+        return common.by_batch(df, function, schema)
+
+    monkeypatch.setattr(ngram, "by_batch", watched)
+    own = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, own, "en", "own", None) for i in range(3)] + [(None, None, None, None, None), (4, "", "en", "x", "y")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = ngram.keep_good(df)
+    assert kept.schema == df.schema
+    assert sorted(map(tuple, kept.collect())) == sorted(rows[:3])
+    # counted, then scored
+    assert seen == [1, 1]
+
+
 def test_a_rare_language_beside_a_large_one_is_kept(spark):
     rng = np.random.default_rng(8)
     draw = lambda letters, n: ["".join(rng.choice(list(letters), 5)) for _ in range(n)]
